@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from receiptflow.llm.decontaminate import decontaminate
+from receiptflow.llm.jaccard_join import class_name, jaccard_groups
+from receiptflow.llm.language_id import identify
 from receiptflow.llm.quality_rules import judge_quality
 from receiptflow.llm.url_filter import Rule, filter_urls
+from receiptflow.llm.warc import archive_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +44,23 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = jaccard_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", "class_id", class_name(F.col("key")).alias("text_key"), "n_links", "n_copies", "kept")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    found = identify(docs.drop("lang"), docs.filter(fold != 2))
+    return found.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = archive_pages(_table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -50,6 +70,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_decontaminate": op4_decontaminate,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op6_language_id": op6_language_id,
+    "op7_warc": op7_warc,
     "op10_quality_rules": op10_quality_rules,
 }
 
