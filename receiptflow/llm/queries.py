@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from receiptflow.llm.decontaminate import decontaminate
 from receiptflow.llm.jaccard_join import class_name, jaccard_groups
 from receiptflow.llm.language_id import identify
+from receiptflow.llm.line_dedup import dedup_lines
 from receiptflow.llm.quality_rules import judge_quality
 from receiptflow.llm.url_filter import Rule, filter_urls
 from receiptflow.llm.warc import archive_pages
@@ -26,6 +27,19 @@ URL_RULES = [
 ]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text, clean = (F.coalesce(c, F.lit("")) for c in ("text", "clean_text"))
+    removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+    return found.select(
+        "doc_id",
+        (F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).cast("long").alias("n_lines"),
+        removed.alias("n_removed_lines"),
+        F.length(clean).cast("long").alias("clean_chars"),
+        F.sha2(clean, 256).alias("clean_sha256"),
+    )
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -68,6 +82,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_decontaminate": op4_decontaminate,
     "op5_jaccard_join": op5_jaccard_join,
@@ -79,6 +94,33 @@ QUERIES = {
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}', {i})" for i, r in enumerate(URL_RULES))
 
 ORACLE_SQL = {
+    "op1_line_dedup": r"""
+WITH raw AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS pos
+  FROM documents),
+counted AS (
+  SELECT doc_id, pos, trim(line, ' ') AS line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM raw),
+placed AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS past FROM counted WHERE words > 0),
+runs AS (
+  SELECT doc_id, pos AS first, max(pos) OVER w AS last, string_agg(line, chr(10)) OVER w AS run, sum(words) OVER w AS n
+  FROM (SELECT *, past - words AS start FROM placed)
+  WINDOW w AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION ALL
+  SELECT doc_id, min(pos) OVER w, pos, string_agg(line, chr(10)) OVER w, sum(words) OVER w
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY past RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+long_runs AS (SELECT doc_id, first, last, md5(run) AS run FROM runs WHERE n >= 50),
+origins AS (SELECT run, min({'d': doc_id, 'f': first}) AS origin FROM long_runs GROUP BY run),
+later AS (
+  SELECT DISTINCT r.doc_id, r.first, r.last FROM long_runs r JOIN origins o ON r.run = o.run
+  WHERE {'d': r.doc_id, 'f': r.first} > o.origin),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS pos FROM later),
+lines AS (SELECT r.*, g.pos IS NOT NULL AS cut FROM raw r LEFT JOIN gone g ON r.doc_id = g.doc_id AND r.pos = g.pos)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE cut) AS n_removed_lines,
+       length(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT cut), '')) AS clean_chars,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT cut), '')) AS clean_sha256
+FROM lines GROUP BY doc_id""",
     "op3_url_filter": rf"""
 WITH parsed AS (
   SELECT page_id,
