@@ -10,6 +10,7 @@ from receiptflow.llm.jaccard_join import class_name, jaccard_groups
 from receiptflow.llm.language_id import identify
 from receiptflow.llm.line_dedup import dedup_lines
 from receiptflow.llm.quality_rules import judge_quality
+from receiptflow.llm.sentencepiece_codec import decode_ids, encode_texts
 from receiptflow.llm.url_filter import Rule, filter_urls
 from receiptflow.llm.warc import archive_pages
 
@@ -75,6 +76,16 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length")
 
 
+#: The public vocabulary the codec queries use.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = decode_ids(encode_texts(docs, PIECE_MODEL), PIECE_MODEL)
+    return back.select("doc_id", "n_tokens", "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -88,6 +99,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_warc": op7_warc,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
 }
 

@@ -83,8 +83,10 @@ def add_columns(
 
 
 def blocks(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of ``batch`` of about ``most`` bytes of ``column``, one row at least each."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    """Slices of ``batch`` of about ``most`` bytes of ``column``, of list elements if it has lists, one row at least each."""
+    values = batch.column(column)
+    size = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+    lengths = pc.fill_null(size(values), 0).to_numpy(zero_copy_only=False)
     first, total = 0, 0
     for i, n in enumerate(lengths):
         if total and total + n > most:
