@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from receiptflow.llm.decontaminate import decontaminate
+from receiptflow.llm.html_text import extract_text
 from receiptflow.llm.jaccard_join import class_name, jaccard_groups
 from receiptflow.llm.language_id import identify
 from receiptflow.llm.line_dedup import dedup_lines
+from receiptflow.llm.quality_classifier import classify_quality
 from receiptflow.llm.quality_rules import judge_quality
 from receiptflow.llm.sentencepiece_codec import decode_ids, encode_texts
 from receiptflow.llm.url_filter import Rule, filter_urls
@@ -41,6 +43,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "html")
+    return extract_text(pages).select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -76,6 +83,14 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    # a quarter of the labels stays out of the fit, to measure it by
+    labels = _table(spark, sf_dir, "labels").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
+    found = classify_quality(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"))
+    return found.select("doc_id", "host", "path", "p_text", "host_prior", "path_prior", "p_good", "kept")
+
+
 #: The public vocabulary the codec queries use.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -94,11 +109,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_html_text": op2_html_text,
     "op3_url_filter": op3_url_filter,
     "op4_decontaminate": op4_decontaminate,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_warc": op7_warc,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
 }
