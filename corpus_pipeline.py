@@ -14,7 +14,7 @@ from receiptflow.llm.jaccard_join import keep_one_of_each
 from receiptflow.llm.language_id import identify
 from receiptflow.llm.line_dedup import WORD, dedup_lines
 from receiptflow.llm.queries import PIECE_MODEL
-from receiptflow.llm.sentencepiece_codec import decode_ids, encode_texts
+from receiptflow.llm.sentencepiece_codec import encode_texts
 from receiptflow.llm.shared import written
 
 
@@ -50,7 +50,7 @@ def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
-    back = decode_ids(encode_texts(docs, PIECE_MODEL), PIECE_MODEL)
+    back = encode_texts(docs, PIECE_MODEL, decoded="decoded")
     back = back.withColumn("round_trip", F.col("decoded").eqNullSafe(F.col("text")))
     return back.select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "round_trip")
 

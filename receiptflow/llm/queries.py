@@ -12,7 +12,7 @@ from receiptflow.llm.language_id import identify
 from receiptflow.llm.line_dedup import dedup_lines
 from receiptflow.llm.quality_classifier import classify_quality
 from receiptflow.llm.quality_rules import judge_quality
-from receiptflow.llm.sentencepiece_codec import decode_ids, encode_texts
+from receiptflow.llm.sentencepiece_codec import encode_texts
 from receiptflow.llm.url_filter import Rule, filter_urls
 from receiptflow.llm.warc import archive_pages
 
@@ -97,7 +97,7 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode_ids(encode_texts(docs, PIECE_MODEL), PIECE_MODEL)
+    back = encode_texts(docs, PIECE_MODEL, decoded="decoded")
     return back.select("doc_id", "n_tokens", "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 

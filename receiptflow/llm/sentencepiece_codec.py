@@ -127,7 +127,7 @@ class PieceModel:
 class Encoder:
     """Encodes blocks of texts; remembers the segments met before in this task, and which pieces stay side by side."""
 
-    def __init__(self, model: PieceModel, remember: int = 1_000_000):
+    def __init__(self, model: PieceModel, remember: int = 300_000):
         self.model, self.remember = model, remember
         usable = [k for k in model.steps if len(model.pieces[k]) > 1]
         raw = [model.pieces[k].encode() for k in usable]
@@ -329,29 +329,34 @@ class Decoder:
         return out
 
 
-def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
+def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", decoded: str | None = None) -> DataFrame:
     """Each row of ``docs`` with ``ids``, as the model's own encoder gives them, and ``n_tokens``.
 
+    With ``decoded`` a column of that name has the text that the ids give back, made in the same pass.
     The model file is read on the driver and sent to the tasks; it is a vocabulary, which does not grow with the texts.
-    Null ids and no tokens for a null text, an empty list for an empty one; repeated rows are encoded alike; input columns named like
-    the outputs are replaced; an empty table gives an empty one. A character that is in no piece comes as its bytes.
+    Null ids and no tokens for a null text, an empty list for an empty one; repeated rows are encoded alike; input columns
+    named like the outputs are replaced; an empty table gives an empty one. A character that is in no piece comes as its
+    bytes.
     """
     model = docs.sparkSession.sparkContext.broadcast(PieceModel.load(model_path))
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
+    fields += [T.StructField(decoded, T.StringType())] if decoded else []
 
     def make():
-        encoder = Encoder(model.value)
+        encoder, decoder = Encoder(model.value), Decoder(model.value)
 
         def encode(batch: pa.RecordBatch) -> list[pa.Array]:
             column = batch.column(batch.schema.get_field_index(text_col))
             ids = encoder.encode(column)
             counts = pc.list_value_length(ids).cast(pa.int64())
             none = pa.scalar(None, ids.type)
-            return [pc.if_else(column.is_valid(), ids, none) if column.null_count else ids, counts]
+            ids = pc.if_else(column.is_valid(), ids, none) if column.null_count else ids
+            return [ids, counts, *([pa.array(decoder.decode(ids), pa.string())] if decoded else [])]
 
         return encode
 
-    return add_columns(docs, fields, make, weigh=text_col)
+    # matching a block takes some two hundred times its size at first, when all its segments are new
+    return add_columns(docs, fields, make, weigh=text_col, block_bytes=1 << 19)
 
 
 def decode_ids(encoded: DataFrame, model_path: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:

@@ -85,7 +85,7 @@ def test_codec_equals_the_library(spark):
     texts += ["".join(rng.choices(PARTS, k=rng.randint(1, 60))) for _ in range(400)] + ["same text"] * 3
     rows = list(enumerate(texts))
     table = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS IDS")
-    back = decode_ids(encode_texts(table, MODEL), MODEL)
+    back = decode_ids(encode_texts(table, MODEL, decoded="again"), MODEL)
     own = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     got = {r.doc_id: r for r in back.collect()}
     assert len(got) == len(texts)
@@ -93,7 +93,7 @@ def test_codec_equals_the_library(spark):
         want = None if text is None else own.encode(text)
         assert got[k].ids == want, (text, got[k].ids, want)
         assert got[k].decoded == (None if text is None else text.replace("▁", " "))
-        assert got[k].n_tokens == len(want or [])
+        assert got[k].n_tokens == len(want or []) and got[k].again == got[k].decoded
     assert encode_texts(table.limit(0), MODEL).count() == 0
 
 
