@@ -80,7 +80,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = archive_pages(_table(spark, sf_dir, "pages"))
-    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length")
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,4 +167,10 @@ SELECT page_id, host, path,
         WHERE ends_with('.' || c.host, '.' || r.rule_host) AND starts_with(c.path, r.rule_path)
         ORDER BY length(r.rule_host || r.rule_path) DESC, r.k LIMIT 1), 'allow') AS verdict
 FROM canonical c""",
+    "op7_warc": """
+WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT payload_digest, min(page_id) AS first FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, payload_bytes, p.payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM payloads p LEFT JOIN firsts f ON p.payload_digest = f.payload_digest AND payload_bytes >= 100""",
 }
