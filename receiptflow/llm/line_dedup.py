@@ -79,7 +79,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near = written(found.join(shared, "print").select(*_DOC, "first", "last", "w1", "w2"), "line-matches")
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("th"), F.col("first"))
     earliest = near.groupBy("w1", "w2").agg(F.min(place).alias("origin"), F.max(place).alias("latest"))
-    earliest = earliest.filter("origin <> latest").drop("latest")
+    # written, so that the next join deals out both sides itself and Spark may split the rows of a frequent run
+    earliest = written(earliest.filter("origin <> latest").drop("latest"), "line-origins")
     later = near.join(earliest, ["w1", "w2"]).filter(place > F.col("origin")).select(*_DOC, "first", "last")
     order = Window.partitionBy(*_DOC).orderBy("first", "last")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
