@@ -319,16 +319,16 @@ def r5_normalize_description(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("p_partkey", normal_text(raw).alias("key"))
 
 
-def _members(df: DataFrame) -> DataFrame:
-    """A row for each item of receipts that need no helper, with its group."""
-    rows = match_items(df).filter("exact").select("receipt_id", F.posexplode("items").alias("i", "x"), "group_of")
+def _members(matched: DataFrame) -> DataFrame:
+    """A row for each item, with its group."""
+    rows = matched.select("receipt_id", F.posexplode("items").alias("i", "x"), "group_of")
     return rows.select("receipt_id", (F.col("x.result")).alias("result"), "x.pos", "x.source", "x.key", F.get("group_of", F.col("i")).alias("group_pos"))
 
 
 @query(GROUPS_SQL + """
 SELECT receipt_id, key, group_pos, members AS n_members FROM numbered""")
 def r6_match_items_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _members(_gathered(spark, sf_dir)).groupBy("receipt_id", "key", "group_pos").agg(F.count(F.lit(1)).alias("n_members")).withColumn(
+    return _members(match_items(_gathered(spark, sf_dir)).filter("exact")).groupBy("receipt_id", "key", "group_pos").agg(F.count(F.lit(1)).alias("n_members")).withColumn(
         "group_pos", F.col("group_pos").cast("long")
     )
 
@@ -342,12 +342,12 @@ def r7_match_items_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(GROUPS_SQL + """
 SELECT receipt_id, source, pos AS item_pos, group_pos FROM members""")
 def r8_item_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _members(_gathered(spark, sf_dir))
+    rows = _members(match_items(_gathered(spark, sf_dir)))
     return rows.select("receipt_id", "source", (F.col("pos") + 1).cast("long").alias("item_pos"), F.col("group_pos").cast("long"))
 
 
 def _item_reviews(spark: SparkSession, sf_dir: str, of) -> DataFrame:
-    df = item_groups(match_items(_gathered(spark, sf_dir)).filter("exact"))
+    df = item_groups(match_items(_gathered(spark, sf_dir)))
     note = lambda p: F.concat(F.lit("line item "), p + 1)
     rows = df.withColumn("v", F.flatten(F.transform("groups", lambda g, p: of(g, note(p))))).select("receipt_id", F.explode("v").alias("v"))
     names = ("field_name", "extractor_source", "extracted_value", "confidence_score", "flagged_reason", "extractor_notes")
@@ -369,7 +369,7 @@ def r10_uncorroborated_item_reviews(spark: SparkSession, sf_dir: str) -> DataFra
 @query(GROUPS_SQL + """
 SELECT receipt_id, group_pos, description, quantity, unit_price, line_total FROM members WHERE members = 1""")
 def r11_single_item_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = item_groups(match_items(_gathered(spark, sf_dir)).filter("exact"))
+    df = item_groups(match_items(_gathered(spark, sf_dir)))
     rows = df.select("receipt_id", F.posexplode("groups").alias("p", "g")).filter(F.size("g") == 1)
     item = F.get("g", F.lit(0))["item"]
     return rows.select("receipt_id", (F.col("p") + 1).cast("long").alias("group_pos"), *[item[f].alias(f) for f in schemas.ITEM])
@@ -391,17 +391,16 @@ item_count AS (SELECT receipt_id, count(*) AS n FROM numbered GROUP BY receipt_i
 review_count AS (SELECT receipt_id, count(*) AS n FROM all_reviews GROUP BY receipt_id)"""
 
 
-def _exact_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gathered receipts for which SQL can repeat the item matching."""
-    gathered = _gathered(spark, sf_dir)
-    return materialised(match_items(gathered).filter("exact").select(*gathered.columns), "gathered")
+def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All receipts with a candidate, those that need the helper too; the SQL of these queries holds the others only."""
+    return materialised(reconcile(_gathered(spark, sf_dir)), "reconciled")
 
 
 @query(RECONCILED_SQL + """
 SELECT g.receipt_id, g.n_results, coalesce(i.n, 0) AS n_items, coalesce(r.n, 0) AS n_reviews FROM gate g
 LEFT JOIN item_count i USING (receipt_id) LEFT JOIN review_count r USING (receipt_id)""")
 def r13_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = reconcile(_exact_only(spark, sf_dir))
+    df = _reconciled(spark, sf_dir)
     return df.select(
         "receipt_id",
         F.col("n_results").cast("long").alias("n_results"),
@@ -552,9 +551,9 @@ best AS (SELECT g.receipt_id, any_value(r.name) AS name FROM gate g JOIN results
 SELECT 'reconcile' AS origin, field_name, flagged_reason, count(*) AS n_reviews FROM all_reviews GROUP BY ALL
 UNION ALL SELECT 'extract', 'receipt', 'extraction_failed', count(*) FROM failures GROUP BY ALL""")
 def e1_emit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    validated = checks.validate(reconcile(_exact_only(spark, sf_dir)))
+    validated = checks.validate(_reconciled(spark, sf_dir))
     _, failures = split_results(extractions_from_orders(spark, sf_dir))
-    rows = all_reviews(validated, failures).filter("origin <> 'validate'")
+    rows = all_reviews(validated, failures)
     return rows.groupBy("origin", "field_name", "flagged_reason").agg(F.count(F.lit(1)).alias("n_reviews"))
 
 
@@ -622,7 +621,7 @@ def p1_run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT extractor_source, flagged_reason, field_name, count(*) AS n_reviews, count(DISTINCT receipt_id) AS n_receipts,
        round(1e6 * avg(confidence_score)) / 1e6 AS mean_confidence FROM all_reviews GROUP BY ALL""")
 def q1_review_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = review_rows(reconcile(_exact_only(spark, sf_dir)), "reviews", "reconcile")
+    rows = review_rows(_reconciled(spark, sf_dir), "reviews", "reconcile")
     return review_summary(rows).withColumn("mean_confidence", F.round(1e6 * F.col("mean_confidence")) / 1e6)
 
 
