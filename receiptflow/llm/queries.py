@@ -85,9 +85,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    # a quarter of the labels stays out of the fit, to measure it by
-    labels = _table(spark, sf_dir, "labels").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
-    found = classify_quality(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"))
+    found = classify_quality(docs, _table(spark, sf_dir, "labels"), F.col("source"), F.concat_ws("/", "source", "lang"))
     return found.select("doc_id", "host", "path", "p_text", "host_prior", "path_prior", "p_good", "kept")
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from receiptflow.llm.queries import op8_quality_classifier
 from receiptflow.llm.quality_classifier import _strength, classify_quality, fit_logistic, site_posteriors
 
 
@@ -83,3 +84,32 @@ def test_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {round(r.p_text, 6) for r in classify_quality(table, none, F.col("h"), F.col("p")).collect()} == {0.5}
     assert classify_quality(table.limit(0), none, F.col("h"), F.col("p")).count() == 0
+
+
+def test_query_counts_every_label(spark, tmp_path):
+    """Two texts alike on one site: what is said of the one moves the prior of the other, whatever its id hashes to."""
+    rows = [(k, t, h, p) for k, t, h, p, _ in corpus(60)] + [(k, "the same text here", "site", "de") for k in range(100, 140)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    fold = [r.doc_id for r in spark.createDataFrame([(k,) for k in range(100, 140)], "doc_id long").filter("crc32(cast(cast(doc_id AS string) AS binary)) % 4 = 2").collect()]
+    assert fold
+    labels = [(k, g) for k, *_, g in corpus(60)]
+    seen = []
+    for quality in (0, 1):
+        path = tmp_path / str(quality)
+        path.mkdir()
+        (path / "documents.parquet").symlink_to(tmp_path / "documents.parquet")
+        spark.createDataFrame(labels + [(k, quality) for k in fold], "doc_id long, quality int").write.parquet(f"{path}/labels.parquet")
+        rows_of = op8_quality_classifier(spark, str(path)).filter("host = 'site'").collect()
+        seen.append({r.doc_id: r.host_prior for r in rows_of})
+    assert all(seen[0][k] < seen[1][k] for k in seen[0])
+
+
+def test_held_out_labels_of_the_tables(spark):
+    """A quarter of the given labels stays out, to measure by."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source", "lang")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    found = classify_quality(docs, labels.filter(fold != 2), F.col("source"), F.concat_ws("/", "source", "lang"))
+    held = found.join(labels.filter(fold == 2).select("doc_id", "quality"), "doc_id").collect()
+    assert len(held) == 94 and sum(r.kept == bool(r.quality) for r in held) == 94
