@@ -144,9 +144,8 @@ def extractions_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resolved_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Resolved receipts of one extractor, some with faults: no store name, no reference, no quantity, a wrong subtotal."""
-    rows = extractions_from_orders(spark, sf_dir).filter("result_index = 0")
-    df = reconcile(gather(rows)).withColumn("k", F.regexp_replace("receipt_id", "-2$", "").cast("long"))
+    """Receipts resolved from all their results, some with faults: no store name, no reference, no quantity, a wrong subtotal."""
+    df = reconcile(gather(extractions_from_orders(spark, sf_dir))).withColumn("k", F.regexp_replace("receipt_id", "-2$", "").cast("long"))
     k = F.col("k")
     none = F.lit(None).cast("string")
     store = F.col("store").withField("name", F.when(k % 41 == 0, F.lit("")).otherwise(F.col("store.name")))

@@ -649,9 +649,8 @@ def w3_audit_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 ids AS (SELECT *, {STORE_ID_SQL} AS store_id FROM base)
 SELECT sha256(concat_ws('|', store_id, transaction_ref, date::VARCHAR, total::VARCHAR)) AS content_hash, count(*) AS n_photos, 1::BIGINT AS n_created FROM ids GROUP BY 1""")
 def x1_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = extractions_from_orders(spark, sf_dir).filter("result_index = 0")
     folder = fresh_folder(spark, "stream")
-    docs = collect_documents(rows)
+    docs = collect_documents(extractions_from_orders(spark, sf_dir))
     docs.filter("receipt_id NOT LIKE '%-2'").write.json(f"{folder}/in/first")
     docs.filter("receipt_id LIKE '%-2'").write.json(f"{folder}/in/second")
     stream_ingest(spark, f"{folder}/in/*", f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()

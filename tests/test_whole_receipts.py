@@ -131,3 +131,50 @@ def test_emit_and_summary_count_all_reviews(spark, plain, extractions):
     assert got.keys() == summary.keys()
     for k, v in summary.items():
         assert got[k] == (len(v), len({rid for rid, _ in v}), pytest.approx(sum(c for _, c in v) / len(v), abs=2e-6))
+
+
+def with_holes(rid, resolved, lines):
+    """The faults that ``resolved_from_orders`` puts in."""
+    k = int(rid.removesuffix("-2"))
+    resolved = dict(resolved)
+    if k % 41 == 0:
+        resolved["name"] = ""
+    if k % 43 == 0:
+        resolved["transaction_ref"] = None
+    if k % 53 == 0 and resolved["subtotal"] is not None:
+        resolved["subtotal"] += 5
+    return resolved, [x | ({"quantity": None} if k % 47 == 0 and i == 0 else {}) for i, x in enumerate(lines)]
+
+
+def passes(resolved, lines):
+    asked = [resolved[f] for s in ("store", "receipt") for f in schemas.REQUIRED[s]] + [x[f] for x in lines for f in schemas.REQUIRED["line_item"]]
+    return None not in asked
+
+
+RESOLVED = {
+    "v9_validate": lambda plain: Counter((rid, f) for rid, x in plain.items() for f in faults(*with_holes(rid, *x[3:]))),
+    "h4_shapeable": lambda plain: Counter((rid, passes(*with_holes(rid, *x[3:]))) for rid, x in plain.items()),
+    "l4_ingest": lambda plain: Counter(rid for rid, x in plain.items() if passes(*with_holes(rid, *x[3:]))),
+}
+
+
+@pytest.mark.parametrize("name", RESOLVED)
+def test_resolved_from_all_results_and_sql_on_the_undisputed(spark, plain, name):
+    df = queries.QUERIES[name](spark, SF)
+    rows, columns = [tuple(r) for r in df.collect()], df.columns
+    bare = [r[0] for r in rows] if name == "l4_ingest" else [r[:2] for r in rows]
+    assert Counter(bare) == RESOLVED[name](plain)
+    con = duckdb.connect()
+    for t in ("lineitem", "part", "orders", "customer", "nation"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    said = con.execute(f"SELECT {', '.join(columns)} FROM ({queries.ORACLE_SQL[name]})").fetchall()
+    calm = {rid for rid, x in plain.items() if not x[1] and not x[2]}
+    assert Counter(r for r in rows if r[0] in calm) == Counter(r for r in said if r[0] in calm)
+
+
+def test_stream_takes_all_results(spark, plain):
+    """A receipt whose results dispute a required field is not stored."""
+    stored = Counter(rid.removesuffix("-2") for rid, x in plain.items() if passes(*x[3:]))
+    assert len(stored) < len({rid.removesuffix("-2") for rid in plain})
+    got = queries.x1_stream_ingest(spark, SF).collect()
+    assert len(got) == len(stored) and sum(r.n_photos for r in got) == sum(stored.values()) and {r.n_created for r in got} == {1}
