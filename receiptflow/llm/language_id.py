@@ -210,20 +210,21 @@ class _Memory:
         return out, of
 
 
-def sample_labelled(docs: DataFrame, text_col: str, lang_col: str, per_language: int, languages: int, sample_bytes: int) -> pa.Table:
-    """At most about ``per_language`` texts of each of the ``languages`` most frequent labels, picked by hash.
+def sample_labelled(docs: DataFrame, text_col: str, lang_col: str, per_language: int, sample_bytes: int) -> pa.Table:
+    """About ``per_language`` different texts of every label, or all it has, picked by hash.
 
     Of a picked text a stretch of at most ``sample_bytes`` from a place given by its hash is used.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
-    rows = rows.join(F.broadcast(counts), "lang").withColumn("h", F.xxhash64("text"))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    counts = rows.select("lang", "h").distinct().groupBy("lang").count()
+    rows = rows.join(F.broadcast(counts), "lang")
     share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count"))
     rows = rows.filter(F.pmod("h", F.lit(1_000_003)) < share * 1_000_003)
     start = F.pmod(F.shiftright("h", 20), F.greatest(F.lit(1), F.length("text") - sample_bytes)).cast("int") + 1
     picked = rows.select("lang", F.substring("text", start, F.lit(sample_bytes)).alias("text"), "h")
-    return picked.orderBy("lang", "h", "text").limit(2 * per_language * languages).drop("h").toArrow()
+    return picked.dropDuplicates(["lang", "h"]).orderBy("lang", "h").drop("h").toArrow()
 
 
 def train(sample: pa.Table, hidden: int = 16, steps: int = 250, seed: int = 1) -> Network | None:
@@ -255,19 +256,18 @@ def identify(
     text_col: str = "text",
     lang_col: str = "lang",
     per_language: int = 300,
-    languages: int = 64,
     sample_bytes: int = 2000,
 ) -> DataFrame:
     """Each row of ``docs`` with ``lang_pred`` and ``score``, learned from the rows of ``learn`` with text and label.
 
-    The network is trained on the driver on at most about ``per_language`` stretches of ``sample_bytes`` characters of
-    each of the ``languages`` most frequent labels, whatever the size of ``learn``. Prediction reads every byte of
+    The network is trained on the driver on about ``per_language`` stretches of ``sample_bytes`` characters at most of
+    every label, whatever the size of ``learn``; copies of a text count once. Prediction reads every byte of
     every text and no column but the text. ``score`` is the pooled probability of the predicted language, from 0 to 1;
     of languages with equal probability the first in order is taken. A text that is null or without a letter, and
     every text if nothing could be learned, gets ``und`` and 0. Repeated rows are predicted alike; input columns named
     like the outputs are replaced; an empty table gives an empty one.
     """
-    network = train(sample_labelled(learn, text_col, lang_col, per_language, languages, sample_bytes))
+    network = train(sample_labelled(learn, text_col, lang_col, per_language, sample_bytes))
     shared = docs.sparkSession.sparkContext.broadcast(network)
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
 

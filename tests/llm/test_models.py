@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 from receiptflow.llm import warc
-from receiptflow.llm.language_id import Network, identify, padded, segments
+from receiptflow.llm.language_id import Network, identify, padded, sample_labelled, segments
 from receiptflow.llm.sentencepiece_codec import PieceModel, decode_ids, encode_texts
 from receiptflow.llm.shared import fresh_path
 
@@ -179,3 +179,10 @@ def test_streams_of_members_and_cut_streams():
         list(warc.parsed(warc.inflated(io.BytesIO(many[:-20]))))
     with pytest.raises(ValueError, match="inside a record"):
         list(warc.parsed(iter([record[:-10]])))
+
+
+def test_every_label_is_sampled_and_copies_count_once(spark):
+    rows = [(f"text {k} of label {n}", f"l{n:02}") for n in range(70) for k in range(2)] + [("a hot text", "zz")] * 500
+    sample = sample_labelled(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", per_language=300, sample_bytes=2000)
+    langs = sample.column("lang").to_pylist()
+    assert len(set(langs)) == 71 and langs.count("zz") == 1 and len(langs) == 141
