@@ -13,7 +13,6 @@ from receiptflow import schemas
 from receiptflow.operators.reconcile import gather, reconcile
 
 
-
 def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, date, name, address, items, subtotal, consumption_tax, total): one row for each order."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
@@ -158,10 +157,9 @@ def resolved_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumns({"store": store, "receipt": receipt, "line_items": items})
 
 
-#: The same receipts for DuckDB: ``results``, ``ritems`` (items of results), ``failures``; ``res0`` and ``items0``
-#: are the resolved ones with holes.
+#: The same receipts for DuckDB: ``results``, ``ritems`` (items of results) and ``failures``.
 FLAT_SQL = """
-WITH priced AS (
+WITH RECURSIVE priced AS (
   SELECT l_orderkey AS k, l_partkey, l_extendedprice, l_tax, p_name || ' ' || p_brand AS description,
          row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS pos,
          count(*) OVER (PARTITION BY l_orderkey) AS n, l_quantity::DOUBLE AS quantity,
@@ -195,13 +193,84 @@ ritems AS (
          CASE WHEN r.k % 19 = 0 THEN n - (CASE WHEN r.k % 13 = 0 THEN 1 ELSE 0 END) + 1 - l.pos ELSE l.pos END,
          CASE WHEN r.k % 17 = 0 AND l.pos = 1 THEN substr(description, 1, 2) || substr(description, 4) ELSE description END,
          CASE WHEN r.k % 11 = 0 AND l.pos = 1 THEN quantity + 1 ELSE quantity END, unit_price, line_total
-  FROM results r JOIN lines l ON r.k = l.k WHERE r.result_index = 1 AND NOT (r.k % 13 = 0 AND l.pos = n)),
-res0 AS (
-  SELECT k, receipt_id, source_image_id, CASE WHEN k % 43 <> 0 THEN transaction_ref END AS transaction_ref, date,
-         CASE WHEN k % 41 = 0 THEN '' ELSE name END AS name, address, CASE WHEN k % 53 = 0 THEN subtotal + 5 ELSE subtotal END AS subtotal,
-         consumption_tax, total,
-         CASE WHEN k % 4 = 0 THEN '{"loyalty_points":' || k || '}' END AS extras
-  FROM base),
-items0 AS (
-  SELECT b.receipt_id, l.k, pos, n, description, CASE WHEN l.k % 47 = 0 AND pos = 1 THEN NULL ELSE quantity END AS quantity, unit_price, line_total
-  FROM base b JOIN lines l ON b.k = l.k)"""
+  FROM results r JOIN lines l ON r.k = l.k WHERE r.result_index = 1 AND NOT (r.k % 13 = 0 AND l.pos = n))"""
+
+#: All items' groups (``members``), by text and occurrence or, for the receipts of ``fuzzy``, by the greedy matching:
+#: ``spans`` takes the longest common stretch of two texts and goes on left and right of it, ``picked`` gives the items
+#: of a receipt to groups one by one.
+GROUPS_SQL = """,
+keyed AS MATERIALIZED (
+  SELECT *, lower(trim(description)) AS key, row_number() OVER (PARTITION BY receipt_id ORDER BY result_index, pos) AS n FROM ritems),
+near AS MATERIALIZED (
+  SELECT DISTINCT a.receipt_id, b.key AS new, a.key AS old FROM keyed a
+  JOIN keyed b ON a.receipt_id = b.receipt_id AND a.result_index < b.result_index AND a.key <> b.key
+  WHERE 10 * levenshtein(a.key, b.key) < length(a.key) + length(b.key)),
+lists AS (
+  SELECT r.receipt_id, r.result_index, coalesce(list(i.key ORDER BY i.key) FILTER (WHERE i.key IS NOT NULL), []) AS keys
+  FROM results r LEFT JOIN keyed i ON r.receipt_id = i.receipt_id AND r.result_index = i.result_index GROUP BY ALL),
+alike AS MATERIALIZED (SELECT receipt_id, count(*) AS n_results, count(DISTINCT keys) = 1 AS same FROM lists GROUP BY receipt_id),
+fuzzy AS MATERIALIZED (SELECT receipt_id FROM alike SEMI JOIN near USING (receipt_id) WHERE NOT same),
+pairs AS MATERIALIZED (SELECT DISTINCT new, old FROM near SEMI JOIN fuzzy USING (receipt_id)),
+letters AS (
+  SELECT new, old, i, j FROM (
+    SELECT new, old, i, unnest(range(length(old))) AS j FROM (SELECT new, old, unnest(range(length(new))) AS i FROM pairs))
+  WHERE new[i + 1] = old[j + 1]),
+stretches AS MATERIALIZED (
+  SELECT new, old, i, j, max(i) OVER (PARTITION BY new, old, i - j, i - nth) - i + 1 AS k
+  FROM (SELECT *, row_number() OVER (PARTITION BY new, old, i - j ORDER BY i) AS nth FROM letters)),
+spans(new, old, alo, ahi, blo, bhi, size) AS (
+  SELECT new, old, 0::BIGINT, length(new), 0::BIGINT, length(old), 0::BIGINT FROM pairs
+  UNION ALL
+  SELECT new, old, CASE side WHEN 0 THEN alo ELSE i + k END, CASE side WHEN 0 THEN i ELSE ahi END,
+         CASE side WHEN 0 THEN blo ELSE j + k END, CASE side WHEN 0 THEN j ELSE bhi END, CASE side WHEN 0 THEN k ELSE 0 END
+  FROM (
+    SELECT *, best // 1000000 AS k, 999 - (best // 1000) % 1000 AS i, 999 - best % 1000 AS j FROM (
+      SELECT s.new, s.old, alo, ahi, blo, bhi, max((least(k, ahi - i, bhi - j) * 1000 + 999 - i) * 1000 + 999 - j) AS best
+      FROM spans s JOIN stretches t ON s.new = t.new AND s.old = t.old AND i >= alo AND i < ahi AND j >= blo AND j < bhi
+      GROUP BY s.new, s.old, alo, ahi, blo, bhi)), (VALUES (0), (1)) sides(side)),
+ratios AS MATERIALIZED (
+  SELECT new, old, 2.0::DOUBLE * sum(size) / (length(new) + length(old)) AS ratio FROM spans GROUP BY new, old),
+known AS MATERIALIZED (
+  SELECT receipt_id, map(list(new || chr(31) || old), list(ratio)) AS sims FROM near SEMI JOIN fuzzy USING (receipt_id) JOIN ratios USING (new, old)
+  WHERE ratio > 0.9::DOUBLE GROUP BY receipt_id),
+picked(receipt_id, n, chosen, groups) AS (
+  SELECT receipt_id, 0::BIGINT, 0::BIGINT, []::STRUCT(key VARCHAR, filled INTEGER[])[] FROM fuzzy
+  UNION ALL
+  SELECT receipt_id, n + 1, chosen,
+         CASE WHEN chosen > len(groups) THEN list_append(groups, {'key': key, 'filled': [result_index]})
+         ELSE list_transform(groups, lambda g, p: CASE WHEN p = chosen THEN {'key': g.key, 'filled': list_append(g.filled, result_index)} ELSE g END) END
+  FROM (
+    SELECT *, coalesce(list_filter(free, lambda g: groups[g].key = key)[1],
+                       -(list_sort(list_transform(list_filter(free, lambda g: sims[key || chr(31) || groups[g].key] > 0.9::DOUBLE),
+                           lambda g: {'r': sims[key || chr(31) || groups[g].key], 'g': -g}), 'DESC')[1].g), len(groups) + 1) AS chosen
+    FROM (
+      SELECT p.receipt_id, p.n, groups, i.key, i.result_index, sims,
+             list_filter(range(1, len(groups) + 1), lambda g: NOT list_contains(groups[g].filled, i.result_index)) AS free
+      FROM picked p JOIN keyed i ON i.receipt_id = p.receipt_id AND i.n = p.n + 1 LEFT JOIN known w ON w.receipt_id = p.receipt_id))),
+nth AS (
+  SELECT k.*, row_number() OVER (PARTITION BY k.receipt_id, result_index, key ORDER BY pos) AS nth FROM keyed k ANTI JOIN fuzzy USING (receipt_id)),
+firsts AS (SELECT receipt_id, key, nth, min(n) AS first FROM nth GROUP BY ALL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY receipt_id ORDER BY first) AS group_pos FROM firsts),
+placed AS (
+  SELECT receipt_id, n, group_pos FROM nth JOIN numbered USING (receipt_id, key, nth)
+  UNION ALL SELECT receipt_id, n, chosen FROM picked WHERE n > 0),
+members AS MATERIALIZED (
+  SELECT k.*, p.group_pos, a.n_results, count(*) OVER (PARTITION BY k.receipt_id, p.group_pos) AS members
+  FROM keyed k JOIN placed p ON k.receipt_id = p.receipt_id AND k.n = p.n JOIN alike a ON a.receipt_id = k.receipt_id)"""
+
+_AGREED = "CASE WHEN count(DISTINCT {0}) = 1 AND count({0}) = count(*) THEN any_value({0}) END AS {0}"
+#: Receipts resolved from all their results (``agreed``, ``agreed_items``), and with the faults that
+#: ``resolved_from_orders`` puts in (``res0``, ``items0``).
+RESOLVED_SQL = GROUPS_SQL + f""",
+agreed AS MATERIALIZED (
+  SELECT k, receipt_id, source_image_id, transaction_ref, date, name, address, subtotal, consumption_tax, {_AGREED.format("total")}, NULL::VARCHAR AS extras
+  FROM results GROUP BY k, receipt_id, source_image_id, transaction_ref, date, name, address, subtotal, consumption_tax),
+agreed_items AS MATERIALIZED (
+  SELECT receipt_id, k, group_pos AS pos, max(group_pos) OVER (PARTITION BY receipt_id) AS n,
+         {", ".join(map(_AGREED.format, ("description", "quantity", "unit_price", "line_total")))}
+  FROM members GROUP BY receipt_id, k, group_pos),
+res0 AS MATERIALIZED (
+  SELECT * REPLACE (CASE WHEN k % 43 <> 0 THEN transaction_ref END AS transaction_ref, CASE WHEN k % 41 = 0 THEN '' ELSE name END AS name,
+                    CASE WHEN k % 53 = 0 THEN subtotal + 5 ELSE subtotal END AS subtotal,
+                    CASE WHEN k % 4 = 0 THEN '{{"loyalty_points":' || k || '}}' END AS extras) FROM agreed),
+items0 AS MATERIALIZED (SELECT * REPLACE (CASE WHEN k % 47 = 0 AND pos = 1 THEN NULL ELSE quantity END AS quantity) FROM agreed_items)"""

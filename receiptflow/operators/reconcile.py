@@ -140,8 +140,12 @@ def reconcile(gathered: DataFrame) -> DataFrame:
 
 
 def review_rows(df: DataFrame, column: str, origin: str) -> DataFrame:
-    """A row for each entry of a review array, with an id that depends on the receipt and the place only."""
-    rows = df.select("receipt_id", F.posexplode(column).alias("seq", "r"))
+    """A row for each entry of a review array, with an id that depends on the receipt and the place only.
+
+    The outer explode keeps Spark from inferring a filter on the array, which would evaluate all of its expression
+    once more below.
+    """
+    rows = df.select("receipt_id", F.posexplode_outer(column).alias("seq", "r")).filter("seq IS NOT NULL")
     return rows.select(
         stable_uuid(F.col("receipt_id"), F.lit(origin), F.col("seq")).alias("id"),
         "receipt_id",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from receiptflow import schemas
-from receiptflow.adapter import FLAT_SQL, extractions_from_orders, resolved_from_orders
+from receiptflow.adapter import FLAT_SQL, GROUPS_SQL, RESOLVED_SQL, extractions_from_orders, resolved_from_orders
 from receiptflow.functions.expr import float_text, mismatch_confidence, normal_text
 from receiptflow.operators import validate as checks
 from receiptflow.operators.checks import check_candidates, check_confidence_alignment, check_records
@@ -67,28 +67,6 @@ def _shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialised(shape(df.filter(shapeable(df))), "shaped")
 
 
-#: Receipts for which pairing by text and occurrence is enough, and the groups of their items.
-GROUPS_SQL = """,
-keyed AS (SELECT *, lower(trim(description)) AS key FROM ritems),
-close AS (
-  SELECT DISTINCT a.receipt_id FROM keyed a JOIN keyed b ON a.receipt_id = b.receipt_id AND a.result_index < b.result_index AND a.key <> b.key
-  WHERE 10 * levenshtein(a.key, b.key) < length(a.key) + length(b.key)),
-lists AS (
-  SELECT r.receipt_id, r.result_index, coalesce(list(i.key ORDER BY i.key) FILTER (WHERE i.key IS NOT NULL), []) AS keys
-  FROM results r LEFT JOIN keyed i ON r.receipt_id = i.receipt_id AND r.result_index = i.result_index GROUP BY ALL),
-alike AS (SELECT receipt_id, count(*) AS n_results, count(DISTINCT keys) = 1 AS same FROM lists GROUP BY receipt_id),
-gate AS (SELECT receipt_id, n_results FROM alike WHERE same OR receipt_id NOT IN (SELECT receipt_id FROM close)),
-nth AS (
-  SELECT k.*, row_number() OVER (PARTITION BY k.receipt_id, result_index, key ORDER BY pos) AS nth, n_results,
-         dense_rank() OVER (PARTITION BY k.receipt_id ORDER BY result_index) AS place
-  FROM keyed k JOIN gate g ON k.receipt_id = g.receipt_id),
-firsts AS (SELECT receipt_id, key, nth, min(result_index * 1000 + pos) AS first, count(*) AS members FROM nth GROUP BY ALL),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY receipt_id ORDER BY first) AS group_pos FROM firsts),
-members AS (SELECT n.*, g.group_pos, g.members FROM nth n JOIN numbered g USING (receipt_id, key, nth)),
-absent AS (
-  SELECT g.receipt_id, r.source, r.result_index, g.group_pos FROM numbered g JOIN results r ON r.receipt_id = g.receipt_id
-  LEFT JOIN members m ON m.receipt_id = g.receipt_id AND m.group_pos = g.group_pos AND m.result_index = r.result_index WHERE m.key IS NULL)"""
-
 #: Reviews of disputed store and receipt fields; the perturbations touch the phone and the total only.
 FIELD_REVIEWS_SQL = """,
 disputed AS (
@@ -102,8 +80,11 @@ field_reviews AS (
   SELECT r.receipt_id, 'phone', source, r.phone, 0.0 FROM results r JOIN disputed d USING (receipt_id) WHERE phone_off)"""
 
 ITEM_REVIEWS_SQL = """,
-qty AS (SELECT receipt_id, group_pos FROM members GROUP BY ALL HAVING count(DISTINCT quantity) > 1),
-item_reviews AS (
+absent AS (
+  SELECT g.receipt_id, r.source, r.result_index, g.group_pos FROM (SELECT DISTINCT receipt_id, group_pos FROM members) g
+  JOIN results r ON r.receipt_id = g.receipt_id
+  ANTI JOIN members m ON m.receipt_id = g.receipt_id AND m.group_pos = g.group_pos AND m.result_index = r.result_index),
+item_reviews AS MATERIALIZED (
   SELECT receipt_id, 'missing_line_item' AS field_name, source AS extractor_source, NULL::VARCHAR AS extracted_value, 0.0::DOUBLE AS confidence_score,
          'conflicting_extractions' AS flagged_reason, 'line item ' || group_pos AS extractor_notes FROM absent
   UNION ALL
@@ -121,11 +102,49 @@ item_reviews AS (
 _UUID = "concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32])"
 STORE_ID_SQL = f"""(SELECT {_UUID} FROM (SELECT sha256('=store' || chr(31) || '=' || name || chr(31) || '=' || address) AS h))"""
 _CONF = """CASE WHEN gap <= 0.05 THEN 0.99 ELSE greatest(0.0, least(0.99, 1.0 - gap / CASE WHEN expected <> 0 THEN abs(expected) ELSE gap END)) END"""
-SHAPED_SQL = f""",
-ids AS (SELECT *, {STORE_ID_SQL} AS store_id FROM res0),
-passing AS (
-  SELECT *, sha256(concat_ws('|', store_id, transaction_ref, date::VARCHAR, total::VARCHAR)) AS content_hash FROM ids
-  WHERE transaction_ref IS NOT NULL AND receipt_id NOT IN (SELECT receipt_id FROM items0 WHERE quantity IS NULL))"""
+
+
+def _passing_sql(receipts: str, items: str) -> str:
+    """``passing``: receipts that are shaped, with their store's id and fingerprint."""
+    return f""",
+passing AS MATERIALIZED (
+  SELECT *, sha256(concat_ws('|', store_id, transaction_ref, date::VARCHAR, total::VARCHAR)) AS content_hash
+  FROM (SELECT *, {STORE_ID_SQL} AS store_id FROM {receipts})
+  WHERE transaction_ref IS NOT NULL AND total IS NOT NULL AND receipt_id NOT IN (
+    SELECT receipt_id FROM {items} WHERE description IS NULL OR quantity IS NULL OR unit_price IS NULL OR line_total IS NULL))"""
+
+
+SHAPED_SQL = RESOLVED_SQL + _passing_sql("res0", "items0")
+
+
+def _validated_sql(receipts: str, items: str) -> str:
+    """``expected`` sums, and ``validation_rows`` with their parts."""
+    return f""",
+products AS (SELECT receipt_id, pos, quantity * unit_price AS expected, abs(line_total - quantity * unit_price) AS gap FROM {items}),
+bad_lines AS (SELECT receipt_id, pos, {_CONF} AS confidence_score FROM products WHERE gap >= 0.01),
+holes AS (
+  SELECT receipt_id, f.field AS field_name FROM (
+    SELECT receipt_id, unnest([CASE WHEN description IS NULL THEN 'description' END, CASE WHEN quantity IS NULL THEN 'quantity' END,
+           CASE WHEN unit_price IS NULL THEN 'unit_price' END, CASE WHEN line_total IS NULL THEN 'line_total' END]) AS field FROM {items}) f
+  WHERE f.field IS NOT NULL),
+expected AS (SELECT receipt_id, coalesce(subtotal, total - coalesce(consumption_tax, 0)) AS expected FROM {receipts}),
+totals AS (SELECT receipt_id, sum(coalesce(line_total, 0)) AS s FROM {items} GROUP BY receipt_id),
+gaps AS (SELECT e.receipt_id, expected, s, abs(s - expected) AS gap FROM expected e LEFT JOIN totals t USING (receipt_id)),
+bad_sums AS (SELECT receipt_id, round(1e6 * ({_CONF})) / 1e6 AS confidence_score FROM gaps WHERE gap >= 0.01),
+required AS (
+  SELECT receipt_id, 'transaction_ref' AS field_name FROM {receipts} WHERE transaction_ref IS NULL
+  UNION ALL SELECT receipt_id, 'total' FROM {receipts} WHERE total IS NULL),
+empty_sums AS (SELECT receipt_id FROM gaps WHERE s IS NULL AND abs(expected) >= 0.01),
+validation_rows AS MATERIALIZED (
+  SELECT receipt_id, 'name' AS field_name, 0.0::DOUBLE AS confidence_score FROM {receipts} WHERE name = ''
+  UNION ALL SELECT receipt_id, field_name, 0.0 FROM required
+  UNION ALL SELECT receipt_id, field_name, 0.0 FROM holes
+  UNION ALL SELECT receipt_id, 'line_total', confidence_score FROM bad_lines
+  UNION ALL SELECT receipt_id, 'line_item', confidence_score FROM bad_sums
+  UNION ALL SELECT receipt_id, 'missing_line_item', 0.0 FROM empty_sums)"""
+
+
+VALIDATED_SQL = _validated_sql("res0", "items0")
 
 
 # --- sources and sinks ---
@@ -186,7 +205,7 @@ def s3_split_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tag(results, "result").unionByName(tag(failures, "failure"))
 
 
-#: One extractor's receipts, all of it through the pipeline: of equal fingerprints the first id stays.
+#: What is stored: of equal fingerprints the first id.
 LOADED_SQL = SHAPED_SQL + """,
 first_of AS (SELECT content_hash, min(receipt_id) AS id FROM passing GROUP BY content_hash),
 created AS (SELECT p.* FROM passing p JOIN first_of f ON p.receipt_id = f.id)"""
@@ -297,7 +316,7 @@ def r2_reconcile_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT * FROM field_reviews""")
 def r3_conflict_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = reconcile_receipt(reconcile_store(_gathered(spark, sf_dir))).withColumn("v", F.concat("store_reviews", "receipt_reviews"))
-    rows = df.select("receipt_id", F.explode("v").alias("v"))
+    rows = df.select("receipt_id", F.explode_outer("v").alias("v")).filter("v IS NOT NULL")
     return rows.select("receipt_id", "v.field_name", "v.extractor_source", "v.extracted_value", "v.confidence_score")
 
 
@@ -326,14 +345,17 @@ def _members(matched: DataFrame) -> DataFrame:
 
 
 @query(GROUPS_SQL + """
-SELECT receipt_id, key, group_pos, members AS n_members FROM numbered""")
+SELECT receipt_id, key, group_pos, members AS n_members FROM members ANTI JOIN fuzzy USING (receipt_id) GROUP BY ALL""")
 def r6_match_items_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _members(match_items(_gathered(spark, sf_dir)).filter("exact")).groupBy("receipt_id", "key", "group_pos").agg(F.count(F.lit(1)).alias("n_members")).withColumn(
         "group_pos", F.col("group_pos").cast("long")
     )
 
 
-@query()
+@query(GROUPS_SQL + """,
+results_in_order AS (SELECT receipt_id, result_index, row_number() OVER (PARTITION BY receipt_id ORDER BY result_index) - 1 AS place FROM results)
+SELECT m.receipt_id, o.place::INTEGER AS result, (m.pos - 1)::INTEGER AS pos, m.key, m.group_pos::INTEGER AS group_pos
+FROM members m SEMI JOIN fuzzy USING (receipt_id) JOIN results_in_order o ON o.receipt_id = m.receipt_id AND o.result_index = m.result_index""")
 def r7_match_items_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = match_items(_gathered(spark, sf_dir)).filter("NOT exact").select("receipt_id", F.posexplode("items").alias("i", "x"), "group_of")
     return rows.select("receipt_id", "x.result", "x.pos", "x.key", F.get("group_of", F.col("i")).alias("group_pos"))
@@ -349,7 +371,8 @@ def r8_item_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _item_reviews(spark: SparkSession, sf_dir: str, of) -> DataFrame:
     df = item_groups(match_items(_gathered(spark, sf_dir)))
     note = lambda p: F.concat(F.lit("line item "), p + 1)
-    rows = df.withColumn("v", F.flatten(F.transform("groups", lambda g, p: of(g, note(p))))).select("receipt_id", F.explode("v").alias("v"))
+    rows = df.withColumn("v", F.flatten(F.transform("groups", lambda g, p: of(g, note(p)))))
+    rows = rows.select("receipt_id", F.explode_outer("v").alias("v")).filter("v IS NOT NULL")
     names = ("field_name", "extractor_source", "extracted_value", "confidence_score", "flagged_reason", "extractor_notes")
     return rows.select("receipt_id", *[F.col(f"v.{n}") for n in names])
 
@@ -370,7 +393,7 @@ def r10_uncorroborated_item_reviews(spark: SparkSession, sf_dir: str) -> DataFra
 SELECT receipt_id, group_pos, description, quantity, unit_price, line_total FROM members WHERE members = 1""")
 def r11_single_item_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = item_groups(match_items(_gathered(spark, sf_dir)))
-    rows = df.select("receipt_id", F.posexplode("groups").alias("p", "g")).filter(F.size("g") == 1)
+    rows = df.select("receipt_id", F.posexplode_outer("groups").alias("p", "g")).filter(F.size("g") == 1)
     item = F.get("g", F.lit(0))["item"]
     return rows.select("receipt_id", (F.col("p") + 1).cast("long").alias("group_pos"), *[item[f].alias(f) for f in schemas.ITEM])
 
@@ -381,23 +404,22 @@ def r12_reconcile_item_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _item_reviews(spark, sf_dir, disputed_item_fields)
 
 
-RECONCILED_SQL = GROUPS_SQL + ITEM_REVIEWS_SQL + FIELD_REVIEWS_SQL + """,
-all_reviews AS (
+RECONCILED_SQL = RESOLVED_SQL + ITEM_REVIEWS_SQL + FIELD_REVIEWS_SQL + """,
+all_reviews AS MATERIALIZED (
   SELECT receipt_id, field_name, extractor_source, extracted_value, confidence_score, flagged_reason, extractor_notes FROM item_reviews
   UNION ALL
-  SELECT receipt_id, field_name, extractor_source, extracted_value, confidence_score, 'conflicting_extractions', NULL FROM field_reviews
-  WHERE receipt_id IN (SELECT receipt_id FROM gate)),
-item_count AS (SELECT receipt_id, count(*) AS n FROM numbered GROUP BY receipt_id),
-review_count AS (SELECT receipt_id, count(*) AS n FROM all_reviews GROUP BY receipt_id)"""
+  SELECT receipt_id, field_name, extractor_source, extracted_value, confidence_score, 'conflicting_extractions', NULL FROM field_reviews)"""
 
 
 def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All receipts with a candidate, those that need the helper too; the SQL of these queries holds the others only."""
+    """All receipts with a candidate, written once for the queries that explode their reviews."""
     return materialised(reconcile(_gathered(spark, sf_dir)), "reconciled")
 
 
-@query(RECONCILED_SQL + """
-SELECT g.receipt_id, g.n_results, coalesce(i.n, 0) AS n_items, coalesce(r.n, 0) AS n_reviews FROM gate g
+@query(RECONCILED_SQL + """,
+item_count AS (SELECT receipt_id, count(DISTINCT group_pos) AS n FROM members GROUP BY receipt_id),
+review_count AS (SELECT receipt_id, count(*) AS n FROM all_reviews GROUP BY receipt_id)
+SELECT a.receipt_id, a.n_results, coalesce(i.n, 0) AS n_items, coalesce(r.n, 0) AS n_reviews FROM alike a
 LEFT JOIN item_count i USING (receipt_id) LEFT JOIN review_count r USING (receipt_id)""")
 def r13_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _reconciled(spark, sf_dir)
@@ -413,59 +435,49 @@ def r13_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _validation(spark: SparkSession, sf_dir: str, rows) -> DataFrame:
-    df = _resolved(spark, sf_dir).withColumn("v", rows).select("receipt_id", F.posexplode("v").alias("seq", "v"))
+    df = _resolved(spark, sf_dir).withColumn("v", rows).select("receipt_id", F.explode_outer("v").alias("v")).filter("v IS NOT NULL")
     return df.select("receipt_id", "v.field_name", "v.confidence_score")
 
 
-@query("""
+@query(RESOLVED_SQL + """
 SELECT receipt_id, 'name' AS field_name, 0.0::DOUBLE AS confidence_score FROM res0 WHERE name = ''""")
 def v1_required_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validation(spark, sf_dir, checks.required_store())
 
 
-@query("""
-SELECT receipt_id, 'transaction_ref' AS field_name, 0.0::DOUBLE AS confidence_score FROM res0 WHERE transaction_ref IS NULL""")
+@query(RESOLVED_SQL + VALIDATED_SQL + """
+SELECT receipt_id, field_name, 0.0::DOUBLE AS confidence_score FROM required""")
 def v2_required_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validation(spark, sf_dir, checks.required_receipt())
 
 
-@query("""
-SELECT receipt_id, 'quantity' AS field_name, 0.0::DOUBLE AS confidence_score FROM items0 WHERE quantity IS NULL""")
+@query(RESOLVED_SQL + VALIDATED_SQL + """
+SELECT receipt_id, field_name, 0.0::DOUBLE AS confidence_score FROM holes""")
 def v3_required_line_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validation(spark, sf_dir, F.flatten(F.transform("line_items", checks.required_line_item)))
 
 
-ARITHMETIC_SQL = f""",
-products AS (SELECT receipt_id, pos, quantity * unit_price AS expected, abs(line_total - quantity * unit_price) AS gap FROM items0),
-bad_lines AS (SELECT receipt_id, pos, {_CONF} AS confidence_score FROM products WHERE gap >= 0.01)"""
-SUMS_SQL = f""",
-expected AS (SELECT receipt_id, coalesce(subtotal, total - coalesce(consumption_tax, 0)) AS expected FROM res0),
-totals AS (SELECT receipt_id, sum(line_total) AS s FROM items0 GROUP BY receipt_id),
-gaps AS (SELECT e.receipt_id, expected, s, abs(s - expected) AS gap FROM expected e LEFT JOIN totals t USING (receipt_id)),
-bad_sums AS (SELECT receipt_id, round(1e6 * ({_CONF})) / 1e6 AS confidence_score FROM gaps WHERE gap >= 0.01)"""
-
-
-@query(ARITHMETIC_SQL + """
+@query(RESOLVED_SQL + VALIDATED_SQL + """
 SELECT receipt_id, 'line_total' AS field_name, confidence_score FROM bad_lines""")
 def v4_line_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validation(spark, sf_dir, F.flatten(F.transform("line_items", checks.line_arithmetic)))
 
 
-@query(SUMS_SQL + """
+@query(RESOLVED_SQL + VALIDATED_SQL + """
 SELECT receipt_id, round(100 * expected) / 100 AS expected FROM expected""")
 def v5_expected_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved(spark, sf_dir).select("receipt_id", (F.round(100 * checks.expected_sum()) / 100).alias("expected"))
 
 
-@query(SUMS_SQL + """
+@query(RESOLVED_SQL + VALIDATED_SQL + """
 SELECT receipt_id, 'line_item' AS field_name, confidence_score FROM bad_sums""")
 def v6_sum_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _validation(spark, sf_dir, checks.sum_mismatch())
     return rows.withColumn("confidence_score", F.round(1e6 * F.col("confidence_score")) / 1e6)
 
 
-@query(SUMS_SQL + """
-SELECT receipt_id, 'missing_line_item' AS field_name, 0.0::DOUBLE AS confidence_score FROM gaps WHERE s IS NULL AND abs(expected) >= 0.01""")
+@query(RESOLVED_SQL + VALIDATED_SQL + """
+SELECT receipt_id, 'missing_line_item' AS field_name, 0.0::DOUBLE AS confidence_score FROM empty_sums""")
 def v7_no_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validation(spark, sf_dir, checks.no_items())
 
@@ -479,17 +491,7 @@ def v8_mismatch_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line.select("l_orderkey", "l_linenumber", "l_extendedprice", mismatch_confidence(F.col("l_extendedprice"), expected).alias("confidence"))
 
 
-VALIDATED_SQL = ARITHMETIC_SQL + SUMS_SQL + """,
-validation_rows AS (
-  SELECT receipt_id, 'name' AS field_name, 0.0::DOUBLE AS confidence_score FROM res0 WHERE name = ''
-  UNION ALL SELECT receipt_id, 'transaction_ref', 0.0 FROM res0 WHERE transaction_ref IS NULL
-  UNION ALL SELECT receipt_id, 'quantity', 0.0 FROM items0 WHERE quantity IS NULL
-  UNION ALL SELECT receipt_id, 'line_total', confidence_score FROM bad_lines
-  UNION ALL SELECT receipt_id, 'line_item', confidence_score FROM bad_sums
-  UNION ALL SELECT receipt_id, 'missing_line_item', 0.0 FROM gaps WHERE s IS NULL AND abs(expected) >= 0.01)"""
-
-
-@query(VALIDATED_SQL + """
+@query(RESOLVED_SQL + VALIDATED_SQL + """
 SELECT receipt_id, field_name, round(1e6 * confidence_score) / 1e6 AS confidence_score FROM validation_rows""")
 def v9_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = review_rows(checks.validate(_resolved(spark, sf_dir)), "validation_reviews", "validate")
@@ -499,7 +501,7 @@ def v9_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- shape and emit ---
 
 
-@query("""
+@query(RESOLVED_SQL + """
 SELECT receipt_id, '{"extras":' || extras || '}' AS extras, extras AS flat FROM res0""")
 def h1_split_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _resolved(spark, sf_dir)
@@ -522,8 +524,8 @@ def h3_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passing.select("receipt_id", sid.alias("store_id"), content_hash(sid, r["transaction_ref"], r["date"], r["total"]).alias("content_hash"))
 
 
-@query("""
-SELECT receipt_id, transaction_ref IS NOT NULL AND receipt_id NOT IN (SELECT receipt_id FROM items0 WHERE quantity IS NULL) AS passed FROM res0""")
+@query(SHAPED_SQL + """
+SELECT r.receipt_id, p.receipt_id IS NOT NULL AS passed FROM res0 r LEFT JOIN passing p ON p.receipt_id = r.receipt_id""")
 def h4_shapeable(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _resolved(spark, sf_dir)
     return df.select("receipt_id", shapeable(df).alias("passed"))
@@ -546,9 +548,9 @@ def h6_shape_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shaped(spark, sf_dir).select("receipt_id", "store.id", "store.name", "store.address")
 
 
-@query(RECONCILED_SQL + """,
-best AS (SELECT g.receipt_id, any_value(r.name) AS name FROM gate g JOIN results r USING (receipt_id) GROUP BY g.receipt_id)
+@query(RECONCILED_SQL + _validated_sql("agreed", "agreed_items") + """
 SELECT 'reconcile' AS origin, field_name, flagged_reason, count(*) AS n_reviews FROM all_reviews GROUP BY ALL
+UNION ALL SELECT 'validate', field_name, 'validation_failed', count(*) FROM validation_rows GROUP BY ALL
 UNION ALL SELECT 'extract', 'receipt', 'extraction_failed', count(*) FROM failures GROUP BY ALL""")
 def e1_emit(spark: SparkSession, sf_dir: str) -> DataFrame:
     validated = checks.validate(_reconciled(spark, sf_dir))
@@ -596,11 +598,11 @@ def l3_detect_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(SHAPED_SQL + """,
-known AS (SELECT content_hash, min(receipt_id) AS id FROM passing WHERE k % 2 = 0 GROUP BY content_hash),
+held AS (SELECT content_hash, min(receipt_id) AS id FROM passing WHERE k % 2 = 0 GROUP BY content_hash),
 fresh AS (SELECT content_hash, min(receipt_id) AS id FROM passing WHERE k % 6 <> 0 GROUP BY content_hash)
 SELECT p.receipt_id, CASE WHEN k % 6 = 0 THEN 'validation_error' WHEN n.id IS NOT NULL OR f.id <> p.receipt_id THEN 'duplicate' ELSE 'created' END AS status,
        CASE WHEN k % 6 = 0 THEN NULL WHEN n.id IS NOT NULL THEN n.id WHEN f.id <> p.receipt_id THEN f.id END AS existing_receipt_id
-FROM passing p LEFT JOIN known n USING (content_hash) LEFT JOIN fresh f USING (content_hash)""")
+FROM passing p LEFT JOIN held n USING (content_hash) LEFT JOIN fresh f USING (content_hash)""")
 def l4_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, k, r = _shaped(spark, sf_dir), F.col("k"), F.col("record")
     existing = df.filter(k % 2 == 0).select("record.id", "record.content_hash")
@@ -611,7 +613,11 @@ def l4_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the whole way ---
 
 
-@query()
+@query(RESOLVED_SQL + _passing_sql("agreed", "agreed_items") + """
+SELECT (SELECT count(DISTINCT receipt_id) FROM base) AS n_receipts, count(DISTINCT p.content_hash) AS n_created,
+       count(p.receipt_id) - count(DISTINCT p.content_hash) AS n_duplicate, 0::BIGINT AS n_refused, count(*) FILTER (WHERE p.receipt_id IS NULL) AS n_review_only,
+       (SELECT count(DISTINCT receipt_id) FROM base) - count(*) AS n_without_candidate
+FROM agreed a LEFT JOIN passing p ON p.receipt_id = a.receipt_id""")
 def p1_run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = extractions_from_orders(spark, sf_dir)
     return outcome_counts(rows, run_pipeline(rows))
@@ -625,7 +631,7 @@ def q1_review_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review_summary(rows).withColumn("mean_confidence", F.round(1e6 * F.col("mean_confidence")) / 1e6)
 
 
-@query(VALIDATED_SQL + """
+@query(RESOLVED_SQL + VALIDATED_SQL + """
 SELECT count(*) AS n_receipts, count(*) FILTER (WHERE receipt_id NOT IN (SELECT receipt_id FROM validation_rows)) AS n_clean,
        round(1e6 * count(*) FILTER (WHERE receipt_id NOT IN (SELECT receipt_id FROM validation_rows)) / count(*)) / 1e6 AS clean_share FROM res0""")
 def q1_clean_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -645,9 +651,8 @@ def w3_audit_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("receipt_id", "field_name", (F.round(1e6 * F.col("confidence_score")) / 1e6).alias("confidence_score"))
 
 
-@query(f""",
-ids AS (SELECT *, {STORE_ID_SQL} AS store_id FROM base)
-SELECT sha256(concat_ws('|', store_id, transaction_ref, date::VARCHAR, total::VARCHAR)) AS content_hash, count(*) AS n_photos, 1::BIGINT AS n_created FROM ids GROUP BY 1""")
+@query(RESOLVED_SQL + _passing_sql("agreed", "agreed_items") + """
+SELECT content_hash, count(*) AS n_photos, 1::BIGINT AS n_created FROM passing GROUP BY content_hash""")
 def x1_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "stream")
     docs = collect_documents(extractions_from_orders(spark, sf_dir))
