@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from receiptflow.llm.shared import add_columns, without
+from receiptflow.llm.shared import add_columns, drop_written, without, written
 from receiptflow.llm.suffix_automaton import SuffixAutomaton
-from receiptflow.llm.words import split_words, utf8
+from receiptflow.llm.words import Words, split_words, utf8
+from receiptflow.session import ship_package
 
 _U = np.uint64
 _SPANS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("past", T.LongType())]))
@@ -26,41 +27,70 @@ class _Matcher:
     runs of such pairs, long enough for the shortest window, are all that has to be streamed through it.
     """
 
-    def __init__(self, texts: pa.Array, window: int):
+    def __init__(self, texts: pa.Array, names: list[list[str]], window: int):
+        self.names = names
         found = split_words(texts)
-        hashes, rows = found.hashes(), found.rows
-        self.vocabulary = np.unique(hashes)
-        ids = np.searchsorted(self.vocabulary, hashes)
+        spelled = [found.data[a:b].tobytes() for a, b in zip(found.starts.tolist(), found.ends.tolist(), strict=True)]
+        vocabulary = sorted(set(spelled))
+        # different words of the items never share a hash: the seed is chosen so
+        self.words = split_words(pa.array([w.decode(errors="surrogateescape") for w in vocabulary], pa.string()))
+        self.seed = 0
+        while len(np.unique(hashes := self.words.hashes(self.seed))) < len(vocabulary):
+            self.seed += 1
+        self.order = np.argsort(hashes)
+        self.hashes = hashes[self.order]
+        number = {w: k for k, w in enumerate(vocabulary)}
+        ids = np.array([number[w] for w in spelled], np.int64)
+        rows = found.rows
         items = [ids[rows[i] : rows[i + 1]].tolist() for i in range(len(texts))]
         self.automaton = SuffixAutomaton(items, window)
         self.shortest = min((min(len(x), window) for x in items if x), default=window)
         inner = np.ones(len(ids), bool)
         inner[rows[:-1][rows[:-1] < len(ids)]] = False
         at = np.flatnonzero(inner)
-        self.pairs = np.unique(ids[at - 1] * len(self.vocabulary) + ids[at]) if len(at) else np.zeros(0, np.int64)
+        self.pairs = np.unique(ids[at - 1] * len(vocabulary) + ids[at]) if len(at) else np.zeros(0, np.int64)
         self.seen = np.zeros(1 << 20, bool)
-        self.seen[self.vocabulary >> _U(44)] = True
+        self.seen[self.hashes >> _U(44)] = True
 
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """The items' ids of words, -1 for other words."""
+    def ids(self, words: Words) -> np.ndarray:
+        """The items' ids of words by their hashes, -1 for other words."""
+        hashes = words.hashes(self.seed)
         out = np.full(len(hashes), -1, np.int64)
-        if len(self.vocabulary):
+        if len(self.hashes):
             maybe = np.flatnonzero(self.seen[hashes >> _U(44)])
-            at = np.minimum(np.searchsorted(self.vocabulary, hashes[maybe]), len(self.vocabulary) - 1)
-            same = self.vocabulary[at] == hashes[maybe]
-            out[maybe[same]] = at[same]
+            at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
+            same = self.hashes[at] == hashes[maybe]
+            out[maybe[same]] = self.order[at[same]]
         return out
 
-    def match(self, hashes: np.ndarray, rows: np.ndarray) -> list[tuple[list[tuple[int, int]], set[int]]]:
+    def match(self, words: Words) -> list[tuple[list[tuple[int, int]], set[int]]]:
         """For each row the spans of its words that are hit, counted from its first, and the items."""
+        rows = words.rows
         out: list[tuple[list[tuple[int, int]], set[int]]] = [([], set()) for _ in range(len(rows) - 1)]
-        ids = self.ids(hashes)
+        ids = self.ids(words)
+        first, past = self._runs(ids, rows)
+        if len(first):  # the bytes decide, not the hashes
+            size = past - first
+            which = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+            equal = words.same(which, self.words, ids[which])
+            if not equal.all():
+                ids[which[~equal]] = -1
+                first, past = self._runs(ids, rows)
+        for a, b, r in zip(first.tolist(), past.tolist(), (np.searchsorted(rows, first, side="right") - 1).tolist(), strict=True):
+            spans, hit = self.automaton.scan(ids[a:b].tolist())
+            if spans:
+                out[r][0].extend((a - int(rows[r]) + x, a - int(rows[r]) + y) for x, y in spans)
+                out[r][1].update(hit)
+        return out
+
+    def _runs(self, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and past-the-end word of the runs that the automaton has to see."""
         if not len(ids):
-            return out
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         chained = np.zeros(len(ids) + 1, bool)  # this word and the one before are neighbours in an item
         if len(self.pairs):
             both = np.flatnonzero((ids[1:] >= 0) & (ids[:-1] >= 0)) + 1
-            key = ids[both - 1] * len(self.vocabulary) + ids[both]
+            key = ids[both - 1] * len(self.hashes) + ids[both]
             at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
             chained[both[self.pairs[at] == key]] = True
         chained[rows] = False
@@ -68,13 +98,7 @@ class _Matcher:
         breaks = np.append(np.flatnonzero(~chained[:-1]), len(ids))
         past = breaks[np.searchsorted(breaks, first, side="right")]
         long = past - first >= self.shortest
-        first, past = first[long], past[long]
-        for a, b, r in zip(first.tolist(), past.tolist(), (np.searchsorted(rows, first, side="right") - 1).tolist(), strict=True):
-            spans, hit = self.automaton.scan(ids[a:b].tolist())
-            if spans:
-                out[r][0].extend((a - int(rows[r]) + x, a - int(rows[r]) + y) for x, y in spans)
-                out[r][1].update(hit)
-        return out
+        return first[long], past[long]
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -87,13 +111,48 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, item_text: str, block_bytes: int) -> list[DataFrame]:
-    """``benchmark`` as (id, text) rows in blocks of about ``block_bytes``; items without words are left out."""
-    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
-    items = items.filter(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    return [items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k) for k in range(n)] if total else []
+def item_pieces(benchmark: DataFrame, item_id: str, item_text: str, window: int, piece_words: int = 5000, most_ids: int = 5000) -> DataFrame:
+    """(text, ids): every different text of the items, in pieces, with the ids of the items that have it.
+
+    Pieces of a text overlap by ``window - 1`` words, so no window is lost. Of a text that very many items repeat, the
+    ids come in several rows of about ``most_ids``: no row is large.
+    """
+    items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("id"), F.col(item_text).cast("string").alias("text"))
+    items = items.filter(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).withColumn("t", F.sha2("text", 256))
+    parts = items.groupBy("t").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most_ids)
+    ids = items.select("t", "id").join(parts, "t", "left")
+    share = F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("n", F.lit(1)) / most_ids)).alias("share")
+    ids = ids.groupBy("t", share).agg(F.sort_array(F.collect_set("id")).alias("ids"))
+    texts = items.select("t", "text").dropDuplicates(["t"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, column in zip(batch.column(0), (batch.column(1).slice(i, 1) for i in range(batch.num_rows)), strict=True):
+                words = split_words(column)
+                n, step = len(words.starts), piece_words - window + 1
+                for a in range(0, max(1, n - window + 1), step):
+                    b = min(n, a + piece_words)
+                    piece = words.data[words.starts[a] : words.ends[b - 1]].tobytes().decode()
+                    yield pa.RecordBatch.from_pydict({"t": pa.array([t.as_py()]), "text": pa.array([piece])})
+
+    ship_package(benchmark.sparkSession)
+    return texts.mapInArrow(cut, "t string, text string").join(ids, "t").select("text", "ids")
+
+
+def item_blocks(pieces: DataFrame, block_bytes: int) -> Iterator[tuple[pa.Array, list[list[str]]]]:
+    """The pieces in blocks of about ``block_bytes`` of texts and ids, read once, partition by partition."""
+    texts: list[str] = []
+    names: list[list[str]] = []
+    size = 0
+    for row in pieces.toLocalIterator():
+        texts.append(row.text)
+        names.append(list(row.ids))
+        size += len(row.text.encode()) + sum(len(x) + 8 for x in row.ids)
+        if size >= block_bytes:
+            yield pa.array(texts, pa.string()), names
+            texts, names, size = [], [], 0
+    if texts:
+        yield pa.array(texts, pa.string()), names
 
 
 def decontaminate(
@@ -114,9 +173,10 @@ def decontaminate(
     ``contaminated`` (``n_hit`` > 0 and ``clean_share * n_hit >= n_words``) and ``clean_text``: the text without the
     spans, from the first hit word up to the next word that is kept.
 
-    Items come to the driver in blocks of about ``block_bytes`` of text (or one item), each with its own automaton, so
-    what is broadcast at once has a bound; one scan of ``docs`` meets all blocks in turn.
-    A null text has no words and stays null; items that are null or without words match nothing; a null item id is
+    Different item texts come to the driver in blocks of about ``block_bytes`` of texts and ids, each with its own
+    automaton, so what is broadcast has a bound. One block is met in the scan of ``docs``; of several, each is a round
+    whose result is written to the shared folder before the next, so a task never holds two.
+    A null text has no words and stays null; very long texts are one row of a batch, read in linear time; items that are null or without words match nothing; a null item id is
     reported as ``null``; repeated rows get the same result; either table may be empty; input columns named like
     outputs are replaced.
     """
@@ -126,8 +186,16 @@ def decontaminate(
     names = T.ArrayType(T.StringType())
     out = without(docs, [*outputs, "__spans", "__items"])
     out = out.withColumns({"__spans": F.array().cast(_SPANS), "__items": F.array().cast(names)})
-    for block in item_blocks(benchmark, item_id, item_text, block_bytes):
-        out = _against(out, block.toArrow(), text_col, window)
+    first = out
+    last = None
+    for texts, ids in item_blocks(item_pieces(benchmark, item_id, item_text, window), block_bytes):
+        if last is not None:
+            before, out = out, written(_against(out, *last, text_col, window), "decontaminated")
+            if before is not first:
+                drop_written(before)
+        last = texts, ids
+    if last is not None:
+        out = _against(out, *last, text_col, window)
     fields = [
         T.StructField("n_words", T.LongType()),
         T.StructField("n_hit", T.LongType()),
@@ -171,32 +239,25 @@ def decontaminate(
     return add_columns(out, fields, make, weigh=text_col).drop("__spans", "__items")
 
 
-def _against(docs: DataFrame, items: pa.Table, text_col: str, window: int) -> DataFrame:
+def _against(docs: DataFrame, texts: pa.Array, ids: list[list[str]], text_col: str, window: int) -> DataFrame:
     """``docs`` with the matches of one block of items added to ``__spans`` and ``__items``."""
-    ids = [x if x is not None else "null" for x in items.column("id").to_pylist()]
-    matcher = docs.sparkSession.sparkContext.broadcast(_Matcher(items.column("text").combine_chunks(), window))
+    matcher = docs.sparkSession.sparkContext.broadcast(_Matcher(texts, ids, window))
     fields = [docs.schema["__spans"], docs.schema["__items"]]
     before = docs.withColumnsRenamed({"__spans": "__spans0", "__items": "__items0"})
 
     def make():
-        automaton = matcher.value
+        machine = matcher.value
 
         def extend(batch: pa.RecordBatch) -> list[pa.Array]:
-            words = split_words(batch.column(batch.schema.get_field_index(text_col)))
-            found = automaton.match(words.hashes(), words.rows)
+            found = machine.match(split_words(batch.column(batch.schema.get_field_index(text_col))))
             if not any(s for s, _ in found):
                 return [batch.column("__spans0").cast(_SPANS_ARROW), batch.column("__items0").cast(pa.list_(pa.string()))]
             spans, names = batch.column("__spans0").to_pylist(), batch.column("__items0").to_pylist()
             for r, (s, hit) in enumerate(found):
                 spans[r] += [{"first": a, "past": b} for a, b in s]
-                names[r] += [ids[k] for k in hit]
+                names[r] += {x for k in hit for x in machine.names[k]}
             return [pa.array(spans, _SPANS_ARROW), pa.array(names, pa.list_(pa.string()))]
 
         return extend
 
     return add_columns(before, fields, make, weigh=text_col).drop("__spans0", "__items0")
-
-
-def items_digest(items: list[str]) -> str:
-    """Lower-case hex SHA-256 of sorted ids, joined by commas."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

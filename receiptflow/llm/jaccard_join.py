@@ -5,8 +5,8 @@ equal to the Jaccard similarity of their sets. A run of the join starts from all
 ``BRANCHES`` coordinates by a hash of its path, and texts move on to the child named by their value there, so that
 similar texts tend to walk down together. Buckets of at most ``CELL`` texts are compared by brute force. A bucket that
 is larger but whose texts are alike on average cannot be split by further tokens; it is cut into blocks, and all pairs
-of blocks are compared. A pair of similarity s survives one run with the chance q that solves
-q = 1 - (1 - s q)**BRANCHES at any depth; runs are repeated until 1 - (1 - q)**runs reaches the target recall.
+of blocks are compared. Runs are repeated until a pair at the threshold is met, and passes the comparison of sketches
+in front of the exact one, with the target recall, however deep its bucket lies; ``recall_of`` computes this chance.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from receiptflow.llm.shared import add_columns, drop_written, without, written
-from receiptflow.llm.words import mix, shingles, split_words
+from receiptflow.llm.shared import add_columns, blocks, drop_written, without, written
+from receiptflow.llm.words import Words, shingles, split_words
 from receiptflow.session import ship_package
 
 BRANCHES = 2
@@ -33,29 +34,55 @@ ALIKE = 0.5
 _U = np.uint64
 
 
+def least_shared(similarity: float) -> int:
+    """Sketch values that two texts must share to be compared exactly: four deviations below what is expected."""
+    return math.floor(COORDINATES * similarity - 4.1 * math.sqrt(COORDINATES * similarity * (1 - similarity)))
+
+
+def recall_of(similarity: float, runs: int) -> float:
+    """The chance that a pair of this similarity is met by ``runs`` runs in buckets of the deepest level, and linked.
+
+    The paths of all runs draw from the same coordinates of a level, so the runs are not independent: at each level the
+    pair agrees on c of the coordinates, and every path on which it still is together goes on to as many children as it
+    drew coordinates among those c. The distribution of the number of such paths is carried from level to level.
+    """
+    per_level = runs * BRANCHES
+    levels = max(1, COORDINATES // per_level)
+    most = 64  # with so many paths a pair is not lost any more
+    agree = [math.comb(per_level, c) * similarity**c * (1 - similarity) ** (per_level - c) for c in range(per_level + 1)]
+    paths = np.zeros(most + 1)
+    paths[: per_level + 1] = agree
+    for _ in range(levels - 1):
+        new = np.zeros(most + 1)
+        for c, chance in enumerate(agree):
+            draws = math.comb(per_level, BRANCHES)
+            step = np.array([math.comb(c, k) * math.comb(per_level - c, BRANCHES - k) / draws for k in range(BRANCHES + 1)])
+            children = np.ones(1)
+            for n in range(most + 1):
+                seen = children[: most + 1].copy()
+                seen[-1] += children[most + 1 :].sum()
+                new[: len(seen)] += chance * paths[n] * seen
+                children = np.convolve(children, step)
+        paths = new
+    least = least_shared(similarity)
+    passed = sum(math.comb(COORDINATES, k) * similarity**k * (1 - similarity) ** (COORDINATES - k) for k in range(least, COORDINATES + 1))
+    return (1 - paths[0]) * passed
+
+
 def runs_for(similarity: float, recall: float) -> int:
-    """Repetitions of the random tree until a pair at the threshold is found with the chance ``recall``."""
-    q = 1.0
-    for _ in range(200):
-        q = 1 - (1 - similarity * q) ** BRANCHES
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - q)))
+    """Repetitions of the random tree until a pair at the threshold is linked with the chance ``recall``."""
+    for runs in range(1, COORDINATES // BRANCHES + 1):
+        if recall_of(similarity, runs) >= recall:
+            return runs
+    raise ValueError(f"a recall of {recall} is out of reach with {COORDINATES} coordinates")
 
 
 # --- sets and sketches -----------------------------------------------------------------------------------------------
 
 
-def _keys(hashes: np.ndarray, rows: np.ndarray) -> list[bytes | None]:
-    """128-bit names of the rows' word sequences; none for a row without words."""
-    place = np.arange(len(hashes), dtype=_U) - np.repeat(rows[:-1], np.diff(rows)).astype(_U)
-    with np.errstate(over="ignore"):
-        low = mix(hashes + mix(place + _U(1)))
-        high = mix(hashes * _U(0x9E3779B97F4A7C15) + mix(place + _U(0x51ED27)))
-    full = np.flatnonzero(np.diff(rows))
-    names = np.zeros((len(rows) - 1, 2), _U)
-    if len(full):
-        names[full, 0], names[full, 1] = np.add.reduceat(low, rows[:-1][full]), np.add.reduceat(high, rows[:-1][full])
-    raw = names.tobytes()
-    return [raw[16 * r : 16 * r + 16] if rows[r + 1] > rows[r] else None for r in range(len(rows) - 1)]
+def _keys(words: Words) -> list[bytes | None]:
+    """128-bit names (BLAKE2) of the rows' word sequences; none for a row without words."""
+    return [None if x is None else blake2b(x, digest_size=16).digest() for x in words.texts()]
 
 
 def _sketches(values: np.ndarray, rows: np.ndarray) -> pa.Array:
@@ -79,7 +106,7 @@ def with_key(docs: DataFrame, text_col: str, name: str = "__key") -> DataFrame:
     def make():
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
             words = split_words(batch.column(batch.schema.get_field_index(text_col)))
-            return [pa.array(_keys(words.hashes(), words.rows), pa.binary())]
+            return [pa.array(_keys(words), pa.binary())]
 
         return compute
 
@@ -92,9 +119,8 @@ def _sketched(ids: DataFrame, n: int) -> DataFrame:
     def make():
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
             words = split_words(batch.column(1))
-            hashes = words.hashes()
-            values, rows = shingles(hashes, words.rows, n)
-            return [pa.array(_keys(hashes, words.rows), pa.binary()), _sketches(values, rows)]
+            values, rows = shingles(words.hashes(), words.rows, n)
+            return [pa.array(_keys(words), pa.binary()), _sketches(values, rows)]
 
         return compute
 
@@ -108,10 +134,9 @@ def _sets(texts: DataFrame, n: int) -> DataFrame:
     def make():
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
             words = split_words(batch.column(0))
-            hashes = words.hashes()
-            values, rows = shingles(hashes, words.rows, n)
+            values, rows = shingles(words.hashes(), words.rows, n)
             grams = [np.unique(values[a:b]).view(np.int64) for a, b in zip(rows[:-1], rows[1:], strict=True)]
-            return [pa.array(_keys(hashes, words.rows), pa.binary()), pa.array(grams, pa.list_(pa.int64()))]
+            return [pa.array(_keys(words), pa.binary()), pa.array(grams, pa.list_(pa.int64()))]
 
         return compute
 
@@ -180,15 +205,15 @@ def _cells(nodes: DataFrame, buckets: DataFrame) -> DataFrame:
 _CELL_KEY = ["bucket", "low", "high"]
 
 
-def by_cell(rows: DataFrame, compare: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``compare`` on tables of whole cells; a cell has at most two blocks, so a table stays small."""
+def by_cell(rows: DataFrame, compare: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, weigh: str) -> DataFrame:
+    """``compare`` on tables of whole cells, of about 1 M elements of the lists ``weigh`` or of one cell; it has two blocks at most."""
     ship_package(rows.sparkSession)
     sorted_ = rows.repartition(*_CELL_KEY).sortWithinPartitions(*_CELL_KEY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
+        for part in (x for batch in batches for x in blocks(batch, weigh, 1 << 20)):
+            table = pa.Table.from_batches([part])
             table = table if rest is None else pa.concat_tables([rest, table])
             cuts = _cuts(table)
             if len(cuts) > 2:
@@ -368,19 +393,21 @@ def jaccard_groups(
     text_col: str = "text",
     n: int = 5,
     similarity: tuple[int, int] = (4, 5),
-    recall: float = 0.9999,
+    recall: float = 0.9995,
 ) -> DataFrame:
     """A row for each row of ``docs``: ``id_col``, ``key``, ``class_id``, ``class_key``, ``n_links``, ``n_copies``, ``kept``.
 
     Texts are cut into lower-case words of letters, digits and non-ASCII characters; the set of a text has its runs of
     ``n`` words, or all its words as one run if it has fewer. Texts of the same words are one node (``key``); two
-    nodes are linked if the Jaccard similarity of their sets is at least ``similarity`` (a fraction, checked exactly).
+    nodes are linked if the Jaccard similarity of their sets is at least ``similarity`` (a fraction, checked on the
+    64-bit hashes of their n-grams, of which two may be equal by chance only).
     ``n_links`` counts a node's links, ``n_copies`` the rows with its words; a class is what hangs together by links,
     named by its least id (``class_id``; null if all ids are null) and by the least of its nodes' keys (``class_key``).
     ``kept`` is true for the rows of the class's least (id, key): one row, unless the same id and words are repeated.
 
     Null and empty texts and texts without words are linked to nothing: key, class_key null, class_id their own id,
-    n_links 0, n_copies 1, kept. An empty table gives an empty one. Other columns are left out.
+    n_links 0, n_copies 1, kept. A very long text is one row of its cells, with all its n-grams. Equal similarities need
+    no order: all links count. An empty table gives an empty one. Other columns are left out.
     No candidates are capped: a bucket is split, or compared as pairs of blocks, however large.
     """
     rows = written(_sketched(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), n), "sketches")
@@ -388,16 +415,15 @@ def jaccard_groups(
     nodes = written(nodes.agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n_copies"), F.first("sketch").alias("sketch")), "nodes")
     share = similarity[0] / similarity[1]
     buckets, tables = _buckets(nodes, runs_for(share, recall))
-    least = math.floor(COORDINATES * share - 4.1 * math.sqrt(COORDINATES * share * (1 - share)))
     schema = "bucket long, low int, high int, side int, key binary, buckets array<long>"
-    near = written(by_cell(_cells(nodes, buckets), _promising(least), schema), "near")
+    near = written(by_cell(_cells(nodes, buckets), _promising(least_shared(share)), schema, "sketch"), "near")
     for table in tables:
         drop_written(table)
     wanted = near.select("key").distinct().join(nodes.select("key", "id"), "key").select("id", F.col("key").alias("wanted"))
     texts = docs.select(F.col(id_col).alias("id0"), F.col(text_col).cast("string").alias("text"))
     texts = texts.join(wanted, F.col("id0").eqNullSafe(F.col("id"))).select("text", "wanted")
     sets = written(_sets(texts, n), "sets")
-    links = written(by_cell(near.join(sets, "key"), _linked(*similarity), "key binary, links long, root binary"), "links")
+    links = written(by_cell(near.join(sets, "key"), _linked(*similarity), "key binary, links long, root binary", "grams"), "links")
     labels = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("key").agg(F.sum("links").alias("n_links"))
     joined = nodes.drop("sketch").join(labels, "key", "left").join(counts, "key", "left")

@@ -120,6 +120,9 @@ QUERIES = {
 
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}', {i})" for i, r in enumerate(URL_RULES))
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE_SQL = {
     "op1_line_dedup": r"""
 WITH raw AS (
@@ -165,6 +168,20 @@ SELECT page_id, host, path,
         WHERE ends_with('.' || c.host, '.' || r.rule_host) AND starts_with(c.path, r.rule_path)
         ORDER BY length(r.rule_host || r.rule_path) DESC, r.k LIMIT 1), 'allow') AS verdict
 FROM canonical c""",
+    "op4_decontaminate": rf"""
+WITH docs AS (SELECT doc_id, coalesce({_ITEM_WORDS}, []) AS w FROM documents),
+items AS (SELECT item_id::VARCHAR AS id, w, least(13, len(w)) AS size FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+item_windows AS (SELECT DISTINCT id, size, array_to_string(w[p : p + size - 1], ' ') AS run FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM items)),
+sizes AS (SELECT DISTINCT size FROM items),
+doc_windows AS (
+  SELECT doc_id, size, p, array_to_string(w[p : p + size - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM docs JOIN sizes ON len(w) >= size)),
+hits AS (SELECT doc_id, id, size, p FROM doc_windows JOIN item_windows USING (size, run)),
+words_hit AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT DISTINCT doc_id, unnest(range(p, p + size)) AS place FROM hits) GROUP BY doc_id),
+items_hit AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS ids FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(w) AS contaminated
+FROM docs d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)""",
     "op7_warc": """
 WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 firsts AS (SELECT payload_digest, min(page_id) AS first FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest)

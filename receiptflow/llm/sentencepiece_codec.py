@@ -24,8 +24,10 @@ from receiptflow.llm.words import Words, mix, utf8
 
 _U = np.uint64
 _SPACE = "▁"
-#: Bytes of a suffix that are compared when sorting; the rest of longer pieces is compared at their occurrences.
+#: Bytes of suffixes that are sorted at once; ties are sorted by the next so many, up to the longest piece.
 _SORTED = 16
+#: Bytes that are matched at once; a longer segment is matched by itself.
+_PORTION = 1 << 16
 
 
 def merge_steps(text: str, ids: dict[str, int], scores: list[float]) -> tuple[list[str], list[tuple[float, str, str]]]:
@@ -129,25 +131,31 @@ class Encoder:
 
     def __init__(self, model: PieceModel, remember: int = 300_000):
         self.model, self.remember = model, remember
-        usable = [k for k in model.steps if len(model.pieces[k]) > 1]
+        usable = sorted((k for k in model.steps if len(model.pieces[k]) > 1), key=lambda k: model.pieces[k].encode())
         raw = [model.pieces[k].encode() for k in usable]
         self.piece_ids = np.array(usable, np.int64)
         self.piece_size = np.array([len(x) for x in raw])
-        self.low = np.array([x[:_SORTED] for x in raw], f"S{_SORTED}")
-        self.high = np.array([x[:_SORTED].ljust(_SORTED, b"\xff") for x in raw], f"S{_SORTED}")
-        self.longer = [(i, x) for i, x in enumerate(raw) if len(x) > _SORTED]
+        #: suffixes are put in the order of so many first bytes, which is all that a search for pieces asks for
+        self.depth = -(-max((len(x) for x in raw), default=1) // _SORTED) * _SORTED
+        self.low = np.array(raw, f"S{self.depth}")
+        self.high = np.array([x.ljust(self.depth, b"\xff") for x in raw], f"S{self.depth}")
         self.single = {p: k for p, k in model.ids.items() if len(p) == 1}
         self.count = len(model.pieces)
+        wide = sorted((int.from_bytes(p.encode().ljust(4, b"\0")), k) for p, k in self.single.items() if not p.isascii())
+        self.wide = np.array([c for c, _ in wide], np.int64)
+        self.wide_ids = np.array([k for _, k in wide], np.int64)
         self.by_byte = np.array([self.single.get(chr(b), -1) if b < 128 else -1 for b in range(256)])
         # pairs of pieces by the hash of the pair, and whether they stay side by side; a later pair takes the slot
         self.pairs = np.full(1 << 21, -1, np.int64)
         self.stay = np.zeros(1 << 21, bool)
         self.byte_ids = np.array(model.bytes_)
+        self.seed = 0
         self._forget()
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, _U)
         self.where = np.zeros(0, np.int64)
+        self.known = Words(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
         self.starts = np.zeros(1, np.int64)
         self.tokens = np.zeros(0, np.int32)
 
@@ -182,27 +190,51 @@ class Encoder:
 
     def _lookup(self, segments: Words) -> tuple[np.ndarray, np.ndarray]:
         """Where each segment's tokens begin in ``tokens``, and how many they are."""
-        keys, first, of = np.unique(segments.hashes(), return_index=True, return_inverse=True)
-        if len(self.keys) > self.remember:
+        while True:
+            keys, first, of = np.unique(segments.hashes(self.seed), return_index=True, return_inverse=True)
+            if len(self.keys) > self.remember or len(self.known.data) > 16 * self.remember:
+                self._forget()
+            at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+            old = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+            # the bytes decide: where different segments share a hash, another seed is taken
+            alike = segments.same(np.arange(len(of)), segments, first[of]).all()
+            if alike and segments.same(first[old], self.known, self.where[at[old]]).all():
+                break
+            self.seed += 1
             self._forget()
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
+        new = np.flatnonzero(~old)
         if len(new):
-            tokens, counts = self._match(segments.data, segments.starts[first[new]], segments.ends[first[new]])
+            a, b = segments.starts[first[new]], segments.ends[first[new]]
+            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(b - a) // _PORTION)) + 1).tolist(), len(new)]
+            parts = [self._match(segments.data, a[i:j], b[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True) if j > i]
             where = len(self.starts) - 1 + np.arange(len(new))
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
-            self.tokens = np.concatenate([self.tokens, tokens])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([n for _, n in parts]))])
+            self.tokens = np.concatenate([self.tokens, *(t for t, _ in parts)])
+            self._remember(segments, a, b)
             merged = np.concatenate([self.keys, keys[new]])
             order = np.argsort(merged, kind="stable")
             self.keys, self.where = merged[order], np.concatenate([self.where, where])[order]
         place = self.where[np.searchsorted(self.keys, keys)][of]
         return self.starts[place], self.starts[place + 1] - self.starts[place]
 
+    def _remember(self, segments: Words, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Keeps the bytes of new segments behind those known."""
+        size = ends - starts
+        total = np.concatenate([[0], np.cumsum(size)])
+        data = segments.data[np.repeat(starts - total[:-1], size) + np.arange(total[-1])]
+        begin = len(self.known.data)
+        self.known = Words(
+            np.concatenate([self.known.data, data]),
+            np.concatenate([self.known.starts, begin + total[:-1]]),
+            np.concatenate([self.known.ends, begin + total[1:]]),
+            self.known.rows,
+        )
+
     def _match(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of distinct segments, and how many each has."""
         size = ends - starts
         begin = np.concatenate([[0], np.cumsum(size + 1)])  # a byte that no text holds stands behind each segment
-        text = np.full(begin[-1] + _SORTED, 0xFF, np.uint8)
+        text = np.full(begin[-1] + self.depth, 0xFF, np.uint8)
         text[np.repeat(begin[:-1] - np.concatenate([[0], np.cumsum(size)])[:-1], size) + np.arange(size.sum())] = data[
             np.repeat(starts - np.concatenate([[0], np.cumsum(size)])[:-1], size) + np.arange(size.sum())
         ]
@@ -230,34 +262,46 @@ class Encoder:
         lead = text[at]
         width += (lead >= 0xC0).astype(int) + (lead >= 0xE0) + (lead >= 0xF0)
         chars = self.by_byte[lead]
-        for i in np.flatnonzero(lead >= 0xC0):
-            chars[i] = self.single.get(text[at[i] : at[i] + width[i]].tobytes().decode(), -1)
+        wide = np.flatnonzero(lead >= 0xC0)
+        code = np.zeros(len(wide), np.int64)
+        for k in range(4):  # a character's bytes as one number
+            code = code << 8 | np.where(k < width[wide], text[at[wide] + np.minimum(k, width[wide] - 1)], 0)
+        spot = np.minimum(np.searchsorted(self.wide, code), max(len(self.wide) - 1, 0))
+        chars[wide] = np.where(self.wide[spot] == code, self.wide_ids[spot], -1) if len(self.wide) else -1
         chars[chars < 0] = self.count
         # the suffix array: character positions in the order of the bytes that follow them
-        words = np.lib.stride_tricks.as_strided(text, (n, _SORTED), (1, 1))[at]
-        pair = np.ascontiguousarray(words).view(">u8").astype(np.uint64)
-        suffixes = np.lexsort((pair[:, 1], pair[:, 0]))
-        ordered = np.ascontiguousarray(words[suffixes]).view(f"S{_SORTED}").ravel()
+        suffixes = self._suffixes(text, at)
+        whole = np.lib.stride_tricks.as_strided(text, (n, self.depth), (1, 1))
+        ordered = np.ascontiguousarray(whole[at[suffixes]]).view(f"S{self.depth}").ravel()
         low = np.searchsorted(ordered, self.low, side="left")
         high = np.searchsorted(ordered, self.high, side="right")
         counts = high - low
-        starts, pieces = [], []
-        for i, x in self.longer:
-            if counts[i]:
-                rest = np.frombuffer(x[_SORTED:], np.uint8)
-                place = at[suffixes[low[i] : high[i]]]
-                place = place[place + len(x) <= n]
-                same = place[(text[place[:, None] + _SORTED + np.arange(len(rest))] == rest).all(1)]
-                starts.append(same)
-                pieces.append(np.full(len(same), i))
-                counts[i] = 0
         total = np.concatenate([[0], np.cumsum(counts)])
-        starts.append(at[suffixes[np.repeat(low - total[:-1], counts) + np.arange(total[-1])]])
-        pieces.append(np.repeat(np.arange(len(counts)), counts))
-        head, which = np.concatenate(starts), np.concatenate(pieces)
+        head = at[suffixes[np.repeat(low - total[:-1], counts) + np.arange(total[-1])]]
+        which = np.repeat(np.arange(len(counts)), counts)
         tail = np.concatenate([head + self.piece_size[which], at + width])
         return tail, np.concatenate([head, at]), np.concatenate([self.piece_ids[which], chars])
 
+    def _suffixes(self, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The order of the suffixes at ``at`` by their first ``depth`` bytes: sorted by some, then ties by the next."""
+        order, tied = np.arange(len(at)), np.zeros(len(at), np.int64)  # suffixes of equal numbers are tied
+        todo = np.arange(len(at))
+        for k in range(0, self.depth, _SORTED):
+            here = at[order[todo]] + k
+            pair = [np.ndarray((len(text) - 7,), ">u8", text, strides=(1,))[here + 8 * j].astype(np.uint64) for j in (0, 1)]
+            turn = np.lexsort((pair[1], pair[0], tied[todo]))
+            order[todo] = order[todo][turn]
+            pair = [x[turn] for x in pair]
+            differs = np.ones(len(todo), bool)
+            differs[1:] = (tied[todo][1:] != tied[todo][:-1]) | (pair[0][1:] != pair[0][:-1]) | (pair[1][1:] != pair[1][:-1])
+            tied[todo] = todo[np.maximum.accumulate(np.where(differs, np.arange(len(todo)), 0))]
+            alone = differs & np.append(differs[1:], True)
+            # what follows the end of a segment does not matter
+            todo = todo[~alone]
+            if not len(todo):
+                break
+        return order
+
     def _fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether each right piece stays behind the last token before it; ``count`` and -2 fit everything."""
         fit = (left == -2) | (left == self.count) | ((right == self.count) & (left >= 0))
@@ -300,7 +344,7 @@ class Encoder:
 
 
 class Decoder:
-    """Ids back to texts: pieces are joined, a first space goes, bytes that are no UTF-8 become U+FFFD."""
+    """Ids back to texts: pieces are joined, a first space goes, every byte of byte pieces that are no UTF-8 becomes U+FFFD."""
 
     def __init__(self, model: PieceModel):
         raw = [p.encode() for p in model.pieces]
@@ -312,6 +356,9 @@ class Decoder:
         self.size = np.array([len(x) for x in raw])
         self.begin = np.concatenate([[0], np.cumsum(self.size)])[:-1]
         self.flat = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw, self.unknown = raw, model.unknown
+        self.is_byte = np.zeros(len(raw), bool)
+        self.is_byte[model.bytes_] = True
 
     def decode(self, ids: pa.Array) -> list[str | None]:
         values, counts = ids.flatten().to_numpy(zero_copy_only=False), pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
@@ -321,13 +368,53 @@ class Decoder:
         size = self.size[values]
         total = np.concatenate([[0], np.cumsum(size)])
         data = self.flat[np.repeat(self.begin[values] - total[:-1], size) + np.arange(total[-1])].tobytes()
-        rows = total[np.concatenate([[0], np.cumsum(counts)])]
+        at = np.concatenate([[0], np.cumsum(counts)])
+        rows = total[at]
         out: list[str | None] = []
         for r, valid in enumerate(ids.is_valid().to_pylist()):
-            text = data[rows[r] : rows[r + 1]].decode(errors="replace")
-            out.append(text.removeprefix(" ") if valid else None)
+            if not valid:
+                out.append(None)
+                continue
+            own, spoken = values[at[r] : at[r + 1]], size[at[r] : at[r + 1]] > 0
+            try:
+                text = data[rows[r] : rows[r + 1]].decode()
+                if not spoken.all() and self.is_byte[own].any():  # a piece without text ends a run of bytes
+                    text = self._broken(own)
+            except UnicodeDecodeError:
+                text = self._broken(own)
+            first = own[spoken.argmax()] if spoken.any() else -1
+            # the space in front is that of a piece, not of a byte or of what stands for the unknown
+            out.append(text.removeprefix(" ") if first >= 0 and not self.is_byte[first] and first != self.unknown else text)
         return out
 
+    def _broken(self, ids: np.ndarray) -> str:
+        """The text of ids whose bytes are not all UTF-8: runs of byte pieces are read for themselves."""
+        parts: list[str] = []
+        run = bytearray()
+        for k in [*ids.tolist(), -1]:
+            if k >= 0 and self.is_byte[k]:
+                run += self.raw[k]
+                continue
+            if run:
+                parts.append(_valid_parts(bytes(run)))
+                run.clear()
+            if k >= 0:
+                parts.append(self.raw[k].decode())
+        return "".join(parts)
+
+
+def _valid_parts(data: bytes) -> str:
+    """The characters of UTF-8 in ``data``, and U+FFFD for every byte that belongs to none."""
+    out, at = [], 0
+    while at < len(data):
+        try:
+            out.append(data[at:].decode())
+            break
+        except UnicodeDecodeError as error:
+            out.append(data[at : at + error.start].decode() + "\ufffd")
+            at += error.start + 1
+    return "".join(out)
+
 
 def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", decoded: str | None = None) -> DataFrame:
     """Each row of ``docs`` with ``ids``, as the model's own encoder gives them, and ``n_tokens``.
@@ -355,7 +442,6 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", decod
 
         return encode
 
-    # matching a block takes some two hundred times its size at first, when all its segments are new
     return add_columns(docs, fields, make, weigh=text_col, block_bytes=1 << 19)
 
 

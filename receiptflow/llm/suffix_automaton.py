@@ -18,23 +18,28 @@ class SuffixAutomaton:
             for w in words:
                 last = self._extend(last, w)
         n = len(self.length)
-        #: items that hold the runs of a state, for states of runs of ``window`` words or more
-        self.holders: list[set[int]] = [set() for _ in range(n)]
+        #: the state of the last ``window`` words of a state's runs, for states of runs of that length or more
+        self.top = [0] * n
+        by_length = sorted(range(1, n), key=self.length.__getitem__)
+        for state in by_length:
+            if self.length[state] >= window:
+                above = self.link[state]
+                self.top[state] = state if self.length[above] < window else self.top[above]
+        #: items that hold a window, by its ``top``
+        self.holders: dict[int, set[int]] = {}
         #: (words, item) of the short items that end wherever a state is reached
         self.shorts: list[tuple[tuple[int, int], ...]] = [()] * n
         own: dict[int, list[tuple[int, int]]] = {}
         for k, words in enumerate(items):
             state = 0
-            for w in words:
+            for i, w in enumerate(words):
                 state = self.next[state][w]
-                up = state
-                while self.length[up] >= window and k not in self.holders[up]:
-                    self.holders[up].add(k)
-                    up = self.link[up]
+                if i + 1 >= window:
+                    self.holders.setdefault(self.top[state], set()).add(k)
             if 0 < len(words) < window:
                 own.setdefault(state, []).append((len(words), k))
         if own:
-            for state in sorted(range(1, n), key=self.length.__getitem__):
+            for state in by_length:
                 above = self.shorts[self.link[state]]
                 self.shorts[state] = above + tuple(own[state]) if state in own else above
 
@@ -76,6 +81,7 @@ class SuffixAutomaton:
         """Spans of ``words`` inside windows, first and past-the-end, joined where they touch, and the items hit."""
         spans: list[tuple[int, int]] = []
         hit: set[int] = set()
+        met: set[int] = set()
         state = matched = 0
         window, length, link, following, shorts = self.window, self.length, self.link, self.next, self.shorts
         for i, w in enumerate(words):
@@ -87,10 +93,7 @@ class SuffixAutomaton:
             longest = 0
             if matched >= window:
                 longest = matched
-                up = state
-                while length[link[up]] >= window:
-                    up = link[up]
-                hit |= self.holders[up]
+                met.add(self.top[state])
             for n, k in shorts[state]:
                 if n <= matched:
                     hit.add(k)
@@ -100,4 +103,4 @@ class SuffixAutomaton:
                 while spans and spans[-1][1] >= first:
                     first = min(first, spans.pop()[0])
                 spans.append((first, i + 1))
-        return spans, hit
+        return spans, hit.union(*(self.holders[x] for x in met))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+#: Words of more bytes are hashed one by one.
+_LONG = 64
+_PART = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], _U)
 
 
 def _alnum_table() -> np.ndarray:
@@ -50,21 +52,48 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.rows)
 
-    def hashes(self) -> np.ndarray:
-        """64-bit hashes of the words' bytes."""
-        n = len(self.data)
-        if not len(self.starts):
-            return np.zeros(0, _U)
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """64-bit hashes of the words' bytes: eight bytes at a time through ``mix``, long words by BLAKE2.
+
+        Words of one length up to eight bytes never share a hash; others do by chance only, and under another seed
+        other ones do. Where a result depends on equality, the bytes are compared with ``same``.
+        """
+        size = self.ends - self.starts
+        out = mix(size.astype(_U) * _U(0x9E3779B97F4A7C15) + _U(seed))
+        if not len(size):
+            return out
+        raw = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(self.data) + 1,), "<u8", raw, strides=(1,))
+        at = np.flatnonzero(size <= _LONG)
+        first, left = self.starts[at], size[at]
         with np.errstate(over="ignore"):
-            power = np.full(n, _BASE, _U)
-            power[0] = 1
-            np.cumprod(power, out=power)
-            total = np.zeros(n + 1, _U)
-            np.cumsum((self.data.astype(_U) + _U(1)) * power, out=total[1:])
-            power[:] = _BASE_INV
-            power[0] = 1
-            np.cumprod(power, out=power)
-            return mix((total[self.ends] - total[self.starts]) * power[self.starts])
+            while len(at):
+                part = eight[first] & _PART[np.minimum(left, 8)]
+                out[at] = mix(out[at] * _U(0xD6E8FEB86659FD93) + part)
+                more = left > 8
+                at, first, left = at[more], first[more] + 8, left[more] - 8
+        for k in np.flatnonzero(size > _LONG):
+            word = self.data[self.starts[k] : self.ends[k]].tobytes()
+            out[k] = int.from_bytes(blake2b(word, digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
+        return out
+
+    def same(self, which: np.ndarray, other: Words, as_: np.ndarray) -> np.ndarray:
+        """Whether the words ``which`` have the bytes of ``other``'s words ``as_``, pair by pair."""
+        size = self.ends[which] - self.starts[which]
+        equal = size == other.ends[as_] - other.starts[as_]
+        size = np.where(equal, size, 0)
+        total = np.concatenate([[0], np.cumsum(size)])
+        step = np.arange(total[-1]) - np.repeat(total[:-1], size)
+        off = self.data[np.repeat(self.starts[which], size) + step] != other.data[np.repeat(other.starts[as_], size) + step]
+        equal[np.repeat(np.arange(len(size)), size)[off]] = False
+        return equal
+
+    def texts(self) -> list[bytes | None]:
+        """Each row's words with a blank between them; none for a row without words."""
+        out: list[bytes | None] = []
+        for a, b in zip(self.rows[:-1].tolist(), self.rows[1:].tolist(), strict=True):
+            out.append(b" ".join(self.data[self.starts[a] : self.ends[b - 1]].tobytes().split()) if b > a else None)
+        return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:

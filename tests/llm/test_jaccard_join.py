@@ -2,13 +2,14 @@
 
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from receiptflow.llm import jaccard_join
-from receiptflow.llm.jaccard_join import components, jaccard_groups, keep_one_of_each, runs_for
+from receiptflow.llm.jaccard_join import components, jaccard_groups, keep_one_of_each, recall_of, runs_for
 
 WORD = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
 
@@ -79,8 +80,48 @@ def check(spark, rows):
     assert len(jaccard_groups(table).collect()) == len(rows)
 
 
-def test_runs():
-    assert runs_for(0.8, 0.9999) == 4 and runs_for(0.8, 0.99) == 2
+def test_recall_of_the_scheme():
+    """The computed chance against a simulation of pairs walking down the tree."""
+    assert runs_for(0.8, 0.9995) == 4
+    rng = np.random.default_rng(5)
+    for runs in (2, 4):
+        width = 2 * runs
+        levels = jaccard_join.COORDINATES // width
+        missed, pairs = 0, 3000
+        for _ in range(pairs):
+            paths = (rng.random(width) < 0.8).sum()
+            for _ in range(levels - 1):
+                agree = rng.random(width) < 0.8
+                paths = sum(agree[rng.choice(width, 2, replace=False)].sum() for _ in range(min(paths, 12)))
+            missed += paths == 0
+        assert 1 - missed / pairs == pytest.approx(recall_of(0.8, runs), abs=4 * (0.01 / pairs) ** 0.5)
+
+
+def test_texts_that_fool_polynomial_hashes(spark):
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    rows = spark.createDataFrame([(1, a), (2, b), (3, a)], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in jaccard_groups(rows).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_links_of_the_tables(spark):
+    """Every pair of the given documents with a similarity of 0.8 or more, by brute force over an inverted index."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    sets = {w: grams(w) for w in {words(t) for _, t in rows} if w}
+    holders, links = defaultdict(list), Counter()
+    for w, g in sets.items():
+        shared = Counter(v for x in g for v in holders[x])
+        for v, both in shared.items():
+            if 5 * both >= 4 * (len(g) + len(sets[v]) - both):
+                links[w] += 1
+                links[v] += 1
+        for x in g:
+            holders[x].append(w)
+    got = {r.doc_id: r.n_links for r in jaccard_groups(docs).collect()}
+    want = {k: links[words(t)] for k, t in rows}
+    assert sum(want.values()) > 10 and got == want
 
 
 def test_small_cases(spark):

@@ -12,8 +12,9 @@ import pytest
 
 from receiptflow.llm import warc
 from receiptflow.llm.language_id import Network, identify, padded, sample_labelled, segments
-from receiptflow.llm.sentencepiece_codec import PieceModel, decode_ids, encode_texts
+from receiptflow.llm.sentencepiece_codec import Encoder, PieceModel, decode_ids, encode_texts
 from receiptflow.llm.shared import fresh_path
+from receiptflow.llm.words import Words
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
@@ -97,6 +98,34 @@ def test_codec_equals_the_library(spark):
     assert encode_texts(table.limit(0), MODEL).count() == 0
 
 
+@pytest.mark.skipif(not os.path.exists(MODEL), reason="the public tokenizer file is not here")
+def test_segments_of_equal_hashes_are_told_apart(monkeypatch):
+    import sentencepiece
+
+    own = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    texts = [a, b, "one two", "two one", a]
+    assert Encoder(PieceModel.load(MODEL)).encode(pa.array(texts)).to_pylist() == own.encode(texts)
+    honest = Words.hashes
+    monkeypatch.setattr(Words, "hashes", lambda self, seed=0: honest(self, seed) if seed else (self.ends - self.starts).astype("uint64"))
+    encoder = Encoder(PieceModel.load(MODEL))
+    assert encoder.encode(pa.array(["one"])).to_pylist() == own.encode(["one"]) and encoder.seed == 0
+    assert encoder.encode(pa.array(texts)).to_pylist() == own.encode(texts) and encoder.seed == 1
+
+
+@pytest.mark.skipif(not os.path.exists(MODEL), reason="the public tokenizer file is not here")
+def test_suffixes_are_in_full_order():
+    encoder = Encoder(PieceModel.load(MODEL))
+    rng = random.Random(8)
+    text = "".join(rng.choices("ab", k=400)) + "ab" * 200 + "a" * 100
+    raw = np.frombuffer(text.encode() + b"\xff" * encoder.depth, np.uint8)
+    got = encoder._suffixes(raw, np.arange(len(text)))
+    cut = [raw[i : i + encoder.depth].tobytes() for i in got.tolist()]
+    assert cut == sorted(cut) and sorted(got.tolist()) == list(range(len(text)))
+
+
 @pytest.mark.skipif(not os.path.exists(MODEL), reason="the public tokenizer file is not here")
 def test_decodes_any_ids_like_the_library(spark):
     import sentencepiece
@@ -104,7 +133,9 @@ def test_decodes_any_ids_like_the_library(spark):
     own = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rng = random.Random(2)
     rows = [([rng.choice([rng.randrange(3, 259), rng.randrange(259, 32000)]) for _ in range(9)],) for _ in range(100)]
-    rows = [r for r in rows if "�" not in own.decode(r[0])] + [([],), (None,), ([1, 259 + 40, 2],)]
+    rows += [([rng.randrange(3, 259) for _ in range(9)],) for _ in range(200)]
+    rows += [([3 + b for b in x],) for x in (b"\xe2\x82", b"a\xe2\x82b", b"\xf0\x9f\x8e", b"\xc0\x80", b"\xed\xa0\x80", b"\xf4\x90\x80\x80", b"\xe2\x82\xac\xe2")]
+    rows += [([],), (None,), ([1, 259 + 40, 2],), ([3 + 0xE2, 1, 3 + 0x82, 3 + 0xAC],), ([0, 300],), ([300, 0],), ([3 + 0x20, 300],), ([1, 3 + 0x20],)]
     got = [r.decoded for r in decode_ids(spark.createDataFrame(rows, "ids array<int>"), MODEL).collect()]
     assert got == [None if r[0] is None else own.decode(r[0]) for r in rows]
 

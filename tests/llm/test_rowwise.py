@@ -1,15 +1,17 @@
 """Operators that look at one row at a time, against plain restatements of their contracts."""
 
-import hashlib
 import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
-from receiptflow.llm.decontaminate import decontaminate
+from receiptflow.llm.decontaminate import _Matcher, decontaminate, item_pieces
 from receiptflow.llm.quality_rules import judge_quality
 from receiptflow.llm.url_filter import Rule, ShiftAnd, filter_urls
+from receiptflow.llm.words import Words, split_words
+from tests.llm.sql import equals_sql
 
 WORD = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
 
@@ -48,7 +50,8 @@ def test_decontaminate_against_brute_force(spark):
         got = decontaminate(table, spark.createDataFrame(items, "item_id long, text string"), window=5, block_bytes=block)
         rows = got.collect()
         assert len(rows) == len(docs) and "id" in got.columns
-        for (_, text), r in zip(docs, rows, strict=True):
+        key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+        for (_, text), r in zip(sorted(docs, key=key), sorted(rows, key=lambda r: key((r.doc_id, r.text))), strict=True):
             words, hit, found = brute_hits(text, items, 5)
             assert (r.n_words, r.n_hit, set(r["items"])) == (len(words), len(hit), found), (text, r)
             assert r.contaminated == (bool(hit) and 20 * len(hit) >= len(words))
@@ -156,7 +159,45 @@ def test_masks_span_words():
     assert hit.tolist() == [[True, False], [False, False], [False, True], [False, True], [False, False]]
 
 
-def test_digest_of_items(spark):
-    from receiptflow.llm.decontaminate import items_digest
-
-    assert items_digest(["9", "10"]) == hashlib.sha256(b"10,9").hexdigest()
+def thue_morse(rounds):
+    a, b = "a", "b"
+    for _ in range(rounds):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_that_fool_polynomial_hashes(spark):
+    """Words of a Thue-Morse pair have equal polynomial hashes modulo 2^64, whatever the odd base."""
+    for rounds in (6, 10, 11, 12):
+        a, b = thue_morse(rounds)
+        hashes = split_words(pa.array([a, b, a[:60], b[:60]])).hashes()
+        assert len(set(hashes.tolist())) == 4
+        table = spark.createDataFrame([(1, a), (2, b), (3, f"x {b} {a}")], "doc_id long, text string")
+        got = decontaminate(table, spark.createDataFrame([(1, a)], "item_id long, text string")).orderBy("doc_id").collect()
+        assert [r.n_hit for r in got] == [1, 0, 1]
+
+
+def test_equal_hashes_are_told_apart_by_bytes(monkeypatch):
+    monkeypatch.setattr(Words, "hashes", lambda self, seed=0: (self.ends - self.starts).astype("uint64") + (0 if seed < 2 else self.data[self.starts].astype("uint64") << 40))
+    matcher = _Matcher(pa.array(["ab cd"]), [["1"]], 2)
+    assert matcher.seed == 2
+    found = matcher.match(split_words(pa.array(["ab cd", "ax cd", "q ab cy", "ab ax ab cd"])))
+    assert [s for s, _ in found] == [[(0, 2)], [], [], [(2, 4)]]
+
+
+def test_items_in_pieces_and_many_ids(spark):
+    rng = random.Random(6)
+    long = random_text(rng, 300, "abcdefghijklmnop")
+    items = [(k, "same text of many items in one two three") for k in range(40)] + [(99, long), (None, "null id item text here ok")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    pieces = item_pieces(table, "item_id", "text", 5, piece_words=20, most_ids=10).collect()
+    assert max(len(r.ids) for r in pieces) < 40 and sum(len(r.ids) for r in pieces if r.text.startswith("same")) == 40
+    windows = lambda t: {tuple(w[i : i + 5]) for w in [WORD.findall(lower(t))] for i in range(len(w) - 4)}
+    assert set().union(*(windows(r.text) for r in pieces if list(r.ids) == ["99"])) == windows(long)
+    docs = spark.createDataFrame([(1, "x same text of many items in y"), (2, "null id item text here ok")], "doc_id long, text string")
+    got = decontaminate(docs, table, window=5, block_bytes=100).orderBy("doc_id").collect()
+    assert got[0]["items"] == sorted(str(k) for k in range(40)) and got[1]["items"] == ["null"]
+
+
+def test_op4_query_equals_its_sql(spark):
+    equals_sql(spark, "op4_decontaminate", "/root/testdata/sf0.001")
