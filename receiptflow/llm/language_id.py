@@ -1,9 +1,9 @@
 """Language identification by a bidirectional gated recurrent network over bytes, trained here in numpy.
 
-A text is cut into segments: runs of letters (any non-ASCII byte counts as one) of at most ``SEGMENT`` bytes. The
-network reads a segment's bytes forwards and backwards and labels every byte with language probabilities; those of all
-bytes of the text are pooled into the document's. A segment that comes again has the same labels, so each distinct
-segment of a block of texts is run once and counts as often as it occurs.
+Every byte of a text is a position that the network labels with language probabilities; those of all positions are
+pooled into the document's. Texts are read in windows of ``CORE`` bytes, side by side in numpy. A window's state is not
+empty where it begins: each direction reads the ``CONTEXT`` bytes before (behind) the window first, so that the labels
+are, but for what a state still knows of bytes further away, those of one pass over the whole text.
 """
 
 from __future__ import annotations
@@ -15,21 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from receiptflow.llm.shared import add_columns
-from receiptflow.llm.words import Words, split_words
+from receiptflow.llm.words import utf8
 
-SEGMENT = 24
-_U = np.uint64
-
-
-def _letters() -> np.ndarray:
-    table = np.full(256, 32, np.uint8)
-    for c in range(256):
-        if c >= 128 or chr(c).isalpha():
-            table[c] = c if c >= 128 else ord(chr(c).lower())
-    return table
-
-
-LETTERS = _letters()
+CORE, CONTEXT = 480, 32
+#: The byte that stands where a row has no text. It empties the state.
+PAD = 256
+#: A-Z in lower case; all other bytes are read as they are.
+LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -37,183 +29,180 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Direction:
-    """A GRU layer read in one direction. Gates are stacked as update, reset, candidate."""
+    """A GRU layer read in one direction. Rows of the weights are update, reset and candidate of each unit."""
 
     def __init__(self, hidden: int, rng: np.random.Generator):
-        scale = 1 / np.sqrt(hidden)
         self.hidden = hidden
-        self.input = rng.normal(0, 0.3, (257, 3 * hidden)).astype(np.float32)  # row 256 is the padding
-        self.inner = rng.uniform(-scale, scale, (hidden, 3 * hidden)).astype(np.float32)
+        self.input = rng.normal(0, 0.3, (3 * hidden, 257)).astype(np.float32)
+        self.input[: 2 * hidden, PAD] = -60  # closed gates and an empty candidate: the state becomes zero
+        self.input[2 * hidden :, PAD] = 0
+        self.inner = rng.uniform(-1, 1, (3 * hidden, hidden)).astype(np.float32) / np.float32(np.sqrt(hidden))
 
     def weights(self) -> list[np.ndarray]:
         return [self.input, self.inner]
 
-    def step(self, state: np.ndarray, byte: np.ndarray):
-        h = self.hidden
-        given = self.input[byte]
-        gates = _sigmoid(given[:, : 2 * h] + state @ self.inner[:, : 2 * h])
-        update, reset = gates[:, :h], gates[:, h:]
-        candidate = np.tanh(given[:, 2 * h :] + (reset * state) @ self.inner[:, 2 * h :])
-        return update * state + (1 - update) * candidate, update, reset, candidate
-
     def run(self, bytes_: np.ndarray) -> list[tuple]:
-        """States after each step, with what backpropagation needs."""
-        state = np.zeros((bytes_.shape[0], self.hidden), np.float32)
+        """States (units x rows) after each step over ``bytes_`` (steps x rows), with what backpropagation needs."""
+        h = self.hidden
+        state = np.zeros((h, bytes_.shape[1]), self.input.dtype)
         out = []
-        for t in range(bytes_.shape[1]):
-            new, update, reset, candidate = self.step(state, bytes_[:, t])
+        for row in bytes_:
+            given = self.input[:, row]
+            gates = _sigmoid(given[: 2 * h] + self.inner[: 2 * h] @ state)
+            update, reset = gates[:h], gates[h:]
+            candidate = np.tanh(given[2 * h :] + self.inner[2 * h :] @ (reset * state))
+            new = update * state + (1 - update) * candidate
             out.append((new, state, update, reset, candidate))
             state = new
         return out
 
-    def backward(self, bytes_: np.ndarray, tape: list[tuple], above: list[np.ndarray]) -> list[np.ndarray]:
+    def backward(self, bytes_: np.ndarray, tape: list[tuple], above: np.ndarray) -> list[np.ndarray]:
         """Gradients of the weights, through time; ``above`` has the gradient of each step's state."""
         h = self.hidden
-        d_input, d_inner = np.zeros_like(self.input), np.zeros_like(self.inner)
+        d_inner = np.zeros_like(self.inner)
+        d_given = np.empty((len(tape), 3 * h, bytes_.shape[1]), self.input.dtype)
         carried = np.zeros_like(above[0])
-        for t in reversed(range(bytes_.shape[1])):
+        for t in reversed(range(len(tape))):
             _, state, update, reset, candidate = tape[t]
             d_new = above[t] + carried
             d_candidate = d_new * (1 - update) * (1 - candidate**2)
             d_update = d_new * (state - candidate) * update * (1 - update)
-            d_gated = d_candidate @ self.inner[:, 2 * h :].T
+            d_gated = self.inner[2 * h :].T @ d_candidate
             d_reset = d_gated * state * reset * (1 - reset)
-            d_gates = np.concatenate([d_update, d_reset], 1)
-            d_inner[:, : 2 * h] += state.T @ d_gates
-            d_inner[:, 2 * h :] += (reset * state).T @ d_candidate
-            np.add.at(d_input, bytes_[:, t], np.concatenate([d_gates, d_candidate], 1))
-            carried = d_new * update + d_gated * reset + d_gates @ self.inner[:, : 2 * h].T
+            d_gates = np.concatenate([d_update, d_reset])
+            d_inner[: 2 * h] += d_gates @ state.T
+            d_inner[2 * h :] += d_candidate @ (reset * state).T
+            d_given[t, : 2 * h], d_given[t, 2 * h :] = d_gates, d_candidate
+            carried = d_new * update + d_gated * reset + self.inner[: 2 * h].T @ d_gates
+        seen = bytes_.ravel()
+        d_input = np.stack([np.bincount(seen, d_given[:, j].ravel(), 257) for j in range(3 * h)]).astype(self.input.dtype)
+        d_input[:, PAD] = 0
         return [d_input, d_inner]
 
+    def states(self, bytes_: np.ndarray) -> np.ndarray:
+        """The states of ``run`` (steps x units x rows), without a tape and in memory that is used again."""
+        h, n = self.hidden, bytes_.shape[1]
+        # signs and factors are put into the weights, so that a gate is 1 / (1 + exp(x)) and a tanh 2 / (1 + exp(x)) - 1
+        factor = np.repeat(np.float32([-1, -1, -2]), h)[:, None]
+        table, gate, inner = self.input * factor, self.inner[: 2 * h] * factor[: 2 * h], self.inner[2 * h :] * factor[2 * h :]
+        out = np.empty((len(bytes_), h, n), np.float32)
+        given, gates, part, gated = (np.empty((k * h, n), np.float32) for k in (3, 2, 1, 1))
+        state = np.zeros((h, n), np.float32)
+        with np.errstate(over="ignore"):
+            for t, row in enumerate(bytes_):
+                np.take(table, row, axis=1, out=given, mode="clip")
+                np.matmul(gate, state, out=gates)
+                gates += given[: 2 * h]
+                np.exp(gates, out=gates)
+                gates += 1
+                np.reciprocal(gates, out=gates)
+                np.multiply(gates[h:], state, out=gated)
+                np.matmul(inner, gated, out=part)
+                part += given[2 * h :]
+                np.exp(part, out=part)
+                part += 1
+                np.divide(2, part, out=part)
+                part -= 1
+                new = out[t]
+                np.subtract(state, part, out=new)
+                new *= gates[:h]
+                new += part
+                state = new
+        return out
+
 
 class Network:
-    """Two directions and a softmax over languages at every byte."""
+    """Two directions and a softmax over languages at every byte. ``bytes_`` are steps x rows throughout."""
 
-    def __init__(self, languages: list[str], hidden: int = 16, seed: int = 1):
+    def __init__(self, languages: list[str], hidden: int = 8, seed: int = 1):
         rng = np.random.default_rng(seed)
         self.languages = languages
         self.ahead, self.back = Direction(hidden, rng), Direction(hidden, rng)
-        self.out = rng.normal(0, 0.1, (2 * hidden, len(languages))).astype(np.float32)
-        self.bias = np.zeros(len(languages), np.float32)
+        self.out = rng.normal(0, 0.1, (len(languages), 2 * hidden)).astype(np.float32)
+        self.bias = np.zeros((len(languages), 1), np.float32)
 
     def weights(self) -> list[np.ndarray]:
         return [*self.ahead.weights(), *self.back.weights(), self.out, self.bias]
 
-    @staticmethod
-    def reversed_rows(bytes_: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Which place of a row is read at each step of the backward direction; padding stays behind."""
-        at = lengths[:, None] - 1 - np.arange(bytes_.shape[1])[None, :]
-        return np.where(at >= 0, at, np.arange(bytes_.shape[1])[None, :])
-
-    def probabilities(self, bytes_: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Language probabilities at every byte: rows x places x languages, zero behind a row's end."""
-        rows, places = bytes_.shape
-        turn = self.reversed_rows(bytes_, lengths)
-        mirrored = np.take_along_axis(bytes_, turn, 1)
+    def probabilities(self, bytes_: np.ndarray) -> np.ndarray:
+        """Language probabilities at every byte: steps x languages x rows."""
         h = self.ahead.hidden
-        states = np.empty((places, rows, 2 * h), np.float32)
-        for d, seen, at in ((self.ahead, bytes_, slice(0, h)), (self.back, mirrored, slice(h, 2 * h))):
-            state = np.zeros((rows, h), np.float32)
-            for t in range(places):
-                state = d.step(state, seen[:, t])[0]
-                states[t, :, at] = state
-        hidden = states.transpose(1, 0, 2).copy()
-        hidden[:, :, h:] = np.take_along_axis(hidden[:, :, h:], turn[:, :, None], 1)
-        logits = hidden @ self.out + self.bias
-        p = np.exp(logits - logits.max(2, keepdims=True))
-        p /= p.sum(2, keepdims=True)
-        return p * (np.arange(places)[None, :] < lengths[:, None])[:, :, None]
-
-    def fit(self, bytes_: np.ndarray, lengths: np.ndarray, labels: np.ndarray, steps: int, batch: int = 512, rate: float = 0.01, seed: int = 2):
-        """Adam over mini-batches of segments, each byte labelled with its document's language."""
+        logits = np.matmul(self.out[:, :h], self.ahead.states(bytes_))
+        logits += np.matmul(self.out[:, h:], self.back.states(bytes_[::-1])[::-1])
+        logits += self.bias
+        logits -= logits.max(1, keepdims=True)
+        np.exp(logits, out=logits)
+        logits /= logits.sum(1, keepdims=True)
+        return logits
+
+    def fit(self, bytes_: np.ndarray, labels: np.ndarray, steps: int, batch: int = 256, rate: float = 0.02, seed: int = 2):
+        """Adam over mini-batches of rows; every language comes equally often, and each byte has its document's."""
         rng = np.random.default_rng(seed)
+        of = [np.flatnonzero(labels == k) for k in range(len(self.languages))]
+        of = [x for x in of if len(x)]
         first = [np.zeros_like(w) for w in self.weights()]
         second = [np.zeros_like(w) for w in self.weights()]
         for k in range(1, steps + 1):
-            pick = rng.integers(0, len(labels), batch)
-            size = int(lengths[pick].max())
-            for w, g, m, v in zip(self.weights(), self.gradients(bytes_[pick, :size], lengths[pick], labels[pick]), first, second, strict=True):
+            pick = np.concatenate([rng.choice(x, -(-batch // len(of))) for x in of])
+            for w, g, m, v in zip(self.weights(), self.gradients(bytes_[:, pick], labels[pick]), first, second, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 w -= rate * (1 - 0.9 * k / steps) * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
 
-    def gradients(self, bytes_: np.ndarray, lengths: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+    def gradients(self, bytes_: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
         """Of the mean cross-entropy over all bytes, by backpropagation through time."""
-        rows, places = bytes_.shape
         h = self.ahead.hidden
-        turn = self.reversed_rows(bytes_, lengths)
-        mirrored = np.take_along_axis(bytes_, turn, 1)
-        tapes = self.ahead.run(bytes_), self.back.run(mirrored)
-        forward = np.stack([x[0] for x in tapes[0]], 1)
-        backward = np.take_along_axis(np.stack([x[0] for x in tapes[1]], 1), turn[:, :, None], 1)
-        hidden = np.concatenate([forward, backward], 2)
-        logits = hidden @ self.out + self.bias
-        p = np.exp(logits - logits.max(2, keepdims=True))
-        p /= p.sum(2, keepdims=True)
-        p[np.arange(rows), :, labels] -= 1
-        p *= (np.arange(places)[None, :] < lengths[:, None])[:, :, None] / np.float32(lengths.sum())
-        d_out = np.einsum("rpi,rpj->ij", hidden, p)
-        d_hidden = p @ self.out.T
-        d_back = np.take_along_axis(d_hidden[:, :, h:], turn[:, :, None], 1)
-        grads = self.ahead.backward(bytes_, tapes[0], [d_hidden[:, t, :h] for t in range(places)])
-        grads += self.back.backward(mirrored, tapes[1], [d_back[:, t] for t in range(places)])
-        return [*grads, d_out, p.sum((0, 1))]
-
-
-def segments(column: pa.Array) -> Words:
-    """The segments of each text: runs of letters, cut after every ``SEGMENT`` bytes."""
-    runs = split_words(column, LETTERS)
-    size = runs.ends - runs.starts
-    parts = np.maximum(1, -(-size // SEGMENT))
-    begin = np.zeros(len(parts) + 1, np.int64)
-    np.cumsum(parts, out=begin[1:])
-    starts = np.repeat(runs.starts - begin[:-1] * SEGMENT, parts) + np.arange(begin[-1]) * SEGMENT
-    ends = np.minimum(starts + SEGMENT, np.repeat(runs.ends, parts))
-    return Words(runs.data, starts, ends, begin[runs.rows])
-
-
-def padded(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Segments as rows of byte values, 256 behind their ends."""
-    width = int(lengths.max()) if len(lengths) else 0
-    at = starts[:, None] + np.arange(width)[None, :]
-    inside = np.arange(width)[None, :] < lengths[:, None]
-    return np.where(inside, data[np.minimum(at, max(len(data) - 1, 0))], 256).astype(np.int16)
-
-
-class _Memory:
-    """Pooled probabilities of segments met before in this task, as sorted hashes; at most ``most`` of them."""
-
-    def __init__(self, network: Network, most: int = 500_000):
-        self.network, self.most = network, most
-        self.keys = np.zeros(0, _U)
-        self.values = np.zeros((0, len(network.languages)), np.float32)
-
-    def pooled(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct segments' probabilities summed over their bytes, and each segment's row among them."""
-        keys, first, of = np.unique(hashes, return_index=True, return_inverse=True)
-        out = np.empty((len(keys), self.values.shape[1]), np.float32)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        out[known] = self.values[at[known]]
-        new = np.flatnonzero(~known)
-        starts = words.starts[first[new]]
-        lengths = words.ends[first[new]] - starts
-        order = np.argsort(lengths, kind="stable")
-        for part in np.array_split(order, max(1, -(-len(order) // 4096))) if len(order) else []:
-            rows = padded(words.data, starts[part], lengths[part])
-            out[new[part]] = self.network.probabilities(rows, lengths[part]).sum(1)
-        if len(self.keys) + len(new) <= self.most:
-            merged = np.concatenate([self.keys, keys[new]])
-            order = np.argsort(merged, kind="stable")
-            self.keys = merged[order]
-            self.values = np.concatenate([self.values, out[new]])[order]
-        return out, of
+        tapes = self.ahead.run(bytes_), self.back.run(bytes_[::-1])
+        states = np.concatenate([np.stack([x[0] for x in tapes[0]]), np.stack([x[0] for x in tapes[1]])[::-1]], 1)
+        logits = self.out @ states + self.bias
+        p = np.exp(logits - logits.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        p[:, labels, np.arange(len(labels))] -= 1
+        inside = bytes_ != PAD
+        p *= inside[:, None] / p.dtype.type(inside.sum())
+        d_out = np.einsum("tln,tun->lu", p, states, optimize=True)
+        d_states = self.out.T @ p
+        grads = self.ahead.backward(bytes_, tapes[0], d_states[:, :h])
+        grads += self.back.backward(bytes_[::-1], tapes[1], d_states[::-1, h:])
+        return [*grads, d_out, p.sum((0, 2))[:, None]]
+
+
+def windows(offsets: np.ndarray, core: int = CORE, context: int = CONTEXT) -> tuple[np.ndarray, ...]:
+    """The windows of texts that lie at ``offsets``: text, first byte read, past the last read, first and past of the core."""
+    size = np.diff(offsets)
+    count = -(-size // core)
+    text = np.repeat(np.arange(len(size)), count)
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    first = offsets[text] + nth * core
+    past = np.minimum(first + core, offsets[text + 1])
+    return text, np.maximum(first - context, offsets[text]), np.minimum(past + context, offsets[text + 1]), first, past
+
+
+def laid_out(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Stretches of ``data`` as columns from their first byte on, padded at the end."""
+    at = begin[None, :] + np.arange(int((end - begin).max()))[:, None]
+    return np.where(at < end[None, :], data[np.minimum(at, len(data) - 1)].astype(np.int16), np.int16(PAD))
+
+
+def pooled(network: Network, data: np.ndarray, offsets: np.ndarray, rows: int = 1024) -> np.ndarray:
+    """Probabilities of each text summed over its bytes: texts x languages."""
+    text, begin, end, first, past = windows(offsets)
+    out = np.zeros((len(offsets) - 1, len(network.languages)))
+    order = np.argsort(end - begin, kind="stable")
+    for part in np.split(order, range(rows, len(order), rows)):
+        if len(part):
+            p = network.probabilities(laid_out(data, begin[part], end[part]))
+            step = np.arange(len(p))[:, None]
+            own = (step >= first[part] - begin[part]) & (step < past[part] - begin[part])
+            np.add.at(out, text[part], np.einsum("tln,tn->nl", p, own.astype(np.float32)))
+    return out
 
 
 def sample_labelled(docs: DataFrame, text_col: str, lang_col: str, per_language: int, sample_bytes: int) -> pa.Table:
     """About ``per_language`` different texts of every label, or all it has, picked by hash.
 
-    Of a picked text a stretch of at most ``sample_bytes`` from a place given by its hash is used.
+    Of a picked text a stretch of at most ``sample_bytes`` characters from a place given by its hash is used, so that
+    what comes to the driver has a bound for each label, however long texts are.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
@@ -227,26 +216,24 @@ def sample_labelled(docs: DataFrame, text_col: str, lang_col: str, per_language:
     return picked.dropDuplicates(["lang", "h"]).orderBy("lang", "h").drop("h").toArrow()
 
 
-def train(sample: pa.Table, hidden: int = 16, steps: int = 250, seed: int = 1) -> Network | None:
-    """A network fitted on labelled texts; none if there is no label or no letter."""
+#: Bytes of the stretches that are learned.
+LEARNED = 64
+
+
+def train(sample: pa.Table, hidden: int = 8, steps: int = 250, seed: int = 1) -> Network | None:
+    """A network fitted on labelled texts; none if there is no label or no text."""
     sample = sample.combine_chunks()
     langs = sorted(set(sample.column("lang").to_pylist()))
     if not langs:
         return None
-    words = segments(sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string()))
-    if not len(words.starts):
+    data, offsets = utf8(sample.column("text").combine_chunks())
+    if not len(data):
         return None
-    lengths = words.ends - words.starts
     of = np.searchsorted(np.array(langs), np.array(sample.column("lang").to_pylist()))
-    labels = np.repeat(of, words.counts())
-    # every language weighs the same: its segments are repeated up to the most frequent one's number
-    rng = np.random.default_rng(seed)
-    counts = np.bincount(labels, minlength=len(langs))
-    picks = np.concatenate([rng.choice(np.flatnonzero(labels == k), counts.max()) for k in range(len(langs)) if counts[k]])
     network = Network(langs, hidden, seed)
     if len(langs) > 1:
-        rows = padded(words.data, words.starts[picks], lengths[picks])
-        network.fit(rows, lengths[picks], labels[picks], steps)
+        text, _, _, first, past = windows(offsets, LEARNED, 0)
+        network.fit(laid_out(LOWER[data], first, past), of[text], steps + 10 * len(langs))
     return network
 
 
@@ -262,10 +249,11 @@ def identify(
 
     The network is trained on the driver on about ``per_language`` stretches of ``sample_bytes`` characters at most of
     every label, whatever the size of ``learn``; copies of a text count once. Prediction reads every byte of
-    every text and no column but the text. ``score`` is the pooled probability of the predicted language, from 0 to 1;
-    of languages with equal probability the first in order is taken. A text that is null or without a letter, and
-    every text if nothing could be learned, gets ``und`` and 0. Repeated rows are predicted alike; input columns named
-    like the outputs are replaced; an empty table gives an empty one.
+    every text and no column but the text. ``score`` is the mean probability of the predicted language over all bytes,
+    from 0 to 1; of languages with equal probability the first in order is taken. A text that is null or without a
+    letter, and every text if nothing could be learned, gets ``und`` and 0. Very long texts are read in windows, so their
+    length bounds nothing but the row itself. Repeated rows are predicted alike; input columns named like the outputs
+    are replaced; an empty table gives an empty one.
     """
     network = train(sample_labelled(learn, text_col, lang_col, per_language, sample_bytes))
     shared = docs.sparkSession.sparkContext.broadcast(network)
@@ -273,27 +261,19 @@ def identify(
 
     def make():
         net = shared.value
-        memory = _Memory(net) if net is not None else None
 
         def predict(batch: pa.RecordBatch) -> list[pa.Array]:
-            column = batch.column(batch.schema.get_field_index(text_col))
+            column = batch.column(batch.schema.get_field_index(text_col)).cast(pa.string())
             n = batch.num_rows
             if net is None:
                 return [pa.array(["und"] * n, pa.string()), pa.array([0.0] * n, pa.float64())]
-            words = segments(column)
-            values, of = memory.pooled(words, words.hashes()) if len(words.starts) else (np.zeros((1, len(net.languages))), np.zeros(0, np.int64))
-            total = np.zeros((n, len(net.languages)))
-            row = np.repeat(np.arange(n), words.counts())
-            for k in range(len(net.languages)):
-                total[:, k] = np.bincount(row, values[of, k], minlength=n)
-            lengths = np.bincount(row, words.ends - words.starts, minlength=n)
+            data, offsets = utf8(column)
+            total = pooled(net, LOWER[data], offsets)
             best = total.argmax(1)
-            names, scores = [], []
-            for r in range(n):
-                known = lengths[r] > 0 and _has_letter(column[r].as_py())
-                names.append(net.languages[best[r]] if known else "und")
-                scores.append(float(min(1.0, total[r, best[r]] / lengths[r])) if known else 0.0)
-            return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            share = total[np.arange(n), best] / np.maximum(1, np.diff(offsets))
+            known = [_has_letter(x) for x in column.to_pylist()]
+            names = [net.languages[k] if ok else "und" for k, ok in zip(best, known, strict=True)]
+            return [pa.array(names, pa.string()), pa.array(np.where(known, np.minimum(1.0, share), 0.0), pa.float64())]
 
         return predict
 
