@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from receiptflow.llm.shared import without, written
+from receiptflow.llm.shared import drop_written, without, written
 
 #: A word, in Java's regular expressions and in RE2.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,25 +26,56 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("past", past).withColumn("start", F.col("past") - F.col("words"))
 
 
-def windows(lines: DataFrame, least_words: int) -> DataFrame:
-    """The minimal runs of lines with ``least_words`` words: one from each line onwards and one up to each line.
+def _bounds(least_words: int) -> dict[str, Window]:
+    """The minimal runs of lines with ``least_words`` words: from each line onwards, and up to each line."""
+    doc = Window.partitionBy(*_DOC)
+    return {
+        "ahead": doc.orderBy("start").rangeBetween(0, least_words - 1),
+        "back": doc.orderBy("past").rangeBetween(1 - least_words, 0),
+    }
 
-    Each has the least of its line hashes (``print``, its fingerprint), the place of that line (``place``) and a 128-bit
-    hash of all its lines (``w1``, ``w2``). Equal runs choose the same line, and any repeated run of ``least_words`` words
-    or more has such a window inside, so it is sure to share a fingerprint with its earlier occurrence. The windows that
-    lie in a run cover it.
+
+def fingerprints(lines: DataFrame, least_words: int) -> DataFrame:
+    """(id, th, h, pos): the lines that are the least of a window, by hash and then by place.
+
+    The windows are the minimal runs with ``least_words`` words from each line onwards. Any repeated run of so many words
+    holds one whole, and equal windows choose the same line of theirs: such a run is sure to share a fingerprint, at the
+    same place in it, with its earlier occurrence.
+    """
+    ahead = _bounds(least_words)["ahead"]
+    least = F.when(F.sum("words").over(ahead) >= least_words, F.min(F.struct("h", "pos")).over(ahead))
+    chosen = lines.select(*_DOC, least.alias("m")).filter("m IS NOT NULL")
+    return chosen.select(*_DOC, "m.h", "m.pos").dropDuplicates([*_DOC, "pos"])
+
+
+def shared_positions(prints: DataFrame) -> DataFrame:
+    """(id, th, at): the positions, by document, whose fingerprint stands at another place, too.
+
+    Positions are joined by fingerprint to its first place alone, which a grouped minimum finds, so a line that a third
+    of all documents have costs a row for each of its places and no pairs.
+    """
+    place = F.xxhash64("id", "th", "pos")
+    several = prints.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("h")
+    met = prints.join(several, "h").groupBy(*_DOC).agg(F.collect_set("pos").alias("at"))
+    return met
+
+
+def extended(lines: DataFrame, met: DataFrame, least_words: int) -> DataFrame:
+    """(id, th, first, last, w1, w2): all windows around shared positions.
+
+    A match can only reach as far from a shared position as windows that hold one do. The windows from each
+    line onwards and up to each line are the steps of the extension, to the right and to the left: neighbouring windows
+    that both occur earlier overlap in all but a line, so their union grows line by line to the whole repeated run. Each
+    is known by a 128-bit hash of its lines.
     """
-    ahead = Window.partitionBy(*_DOC).orderBy("start").rangeBetween(0, least_words - 1)
-    back = Window.partitionBy(*_DOC).orderBy("past").rangeBetween(1 - least_words, 0)
+    met = met.toDF("mid", "mth", "at")
+    here = lines.join(met, F.col("id").eqNullSafe(F.col("mid")) & (F.col("th") == F.col("mth"))).drop("mid", "mth")
     line = F.struct("h", "pos")
-    found = lines.select(
+    found = here.select(
         *_DOC,
-        "pos",
-        "words",
-        F.collect_list(line).over(ahead).alias("ahead"),
-        F.sum("words").over(ahead).alias("ahead_words"),
-        F.collect_list(line).over(back).alias("back"),
-        F.sum("words").over(back).alias("back_words"),
+        "at",
+        *[F.collect_list(line).over(w).alias(k) for k, w in _bounds(least_words).items()],
+        *[F.sum("words").over(w).alias(f"{k}_words") for k, w in _bounds(least_words).items()],
     )
     # a run that is minimal both ways comes once
     twice = (F.size("back") == 1) & (F.size("ahead") == 1)
@@ -52,15 +83,13 @@ def windows(lines: DataFrame, least_words: int) -> DataFrame:
         F.when(F.col("ahead_words") >= least_words, F.col("ahead")),
         F.when((F.col("back_words") >= least_words) & ~twice, F.col("back")),
     )
-    runs = found.select(*_DOC, F.explode(F.filter(either, lambda x: x.isNotNull())).alias("run"))
+    runs = found.select(*_DOC, "at", F.explode(F.filter(either, lambda x: x.isNotNull())).alias("run"))
+    runs = runs.filter(F.arrays_overlap("at", F.col("run.pos")))
     hashes = F.col("run.h")
-    chosen = F.array_min("run")
     return runs.select(
         *_DOC,
         F.get("run.pos", F.lit(0)).alias("first"),
         F.element_at("run.pos", -1).alias("last"),
-        chosen["h"].alias("print"),
-        F.xxhash64(F.col("id"), F.col("th"), chosen["pos"]).alias("place"),
         F.xxhash64(hashes).alias("w1"),
         F.xxhash64(F.lit(1), hashes).alias("w2"),
     )
@@ -69,14 +98,14 @@ def windows(lines: DataFrame, least_words: int) -> DataFrame:
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50) -> DataFrame:
     """(id, th, spans): the runs of lines (first, last; from 0) of each document that occur earlier in the corpus.
 
-    Winnowed fingerprints at two places or more are joined back; around them the windows are extended both ways to whole
-    runs of ``least_words`` words and kept if an equal run comes earlier, in the order of id, text hash and line. What
-    overlaps or touches is one span. Each step is a grouped minimum with partial aggregation or a join on its result,
-    never a list of all places of a fingerprint.
+    Window minima are the fingerprints; their positions are joined; matches are extended both ways; what equals an earlier
+    run, in the order of id, text hash and line, is a repetition. What overlaps or touches is one span. Each step is a
+    grouped minimum with partial aggregation or a join on its result, never a list of all places of a fingerprint.
     """
-    found = written(windows(line_table(docs, id_col, text_col), least_words), "line-windows")
-    shared = found.groupBy("print").agg(F.min("place").alias("a"), F.max("place").alias("b")).filter("a <> b").select("print")
-    near = written(found.join(shared, "print").select(*_DOC, "first", "last", "w1", "w2"), "line-matches")
+    lines = line_table(docs, id_col, text_col)
+    prints = written(fingerprints(lines, least_words), "line-prints")
+    met = written(shared_positions(prints), "line-positions")
+    near = written(extended(lines, met, least_words), "line-matches")
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("th"), F.col("first"))
     earliest = near.groupBy("w1", "w2").agg(F.min(place).alias("origin"), F.max(place).alias("latest"))
     # written, so that the next join deals out both sides itself and Spark may split the rows of a frequent run
@@ -87,7 +116,11 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     islands = later.withColumn("new", (F.col("first") > F.coalesce(reach, F.lit(-2)) + 1).cast("int"))
     islands = islands.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     spans = islands.groupBy(*_DOC, "island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    return spans.groupBy(*_DOC).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
+    spans = spans.groupBy(*_DOC).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
+    spans = written(spans, "line-spans")
+    for table in (prints, met, near, earliest):
+        drop_written(table)
+    return spans
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 50) -> DataFrame:
@@ -98,8 +131,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids, a smaller text hash; in the same text, an earlier line; a null id comes last) is deleted with the wordless lines
     inside it; the first occurrence stays. Shorter repetitions stay, so common short lines harm no text.
 
-    A null text stays null and an empty one empty; rows with equal id and text are one document, treated alike, not
-    repetitions of each other. An empty table gives an empty one; input columns named like outputs are replaced.
+    A null text stays null and an empty one empty; a very long text is so many lines, or one long line, which is then a
+    window by itself; rows with equal id and text are one document, treated alike, not repetitions of each other. An empty table gives an empty one; input columns named like outputs are replaced.
     """
     names = ["clean_text", "removed_spans"]
     spans = repeated_runs(docs, id_col, text_col, least_words).toDF("__id", "__th", "__spans")

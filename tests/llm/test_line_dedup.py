@@ -4,6 +4,7 @@ import random
 import re
 
 from receiptflow.llm.line_dedup import dedup_lines
+from tests.llm.sql import equals_sql
 
 WORD = re.compile("[^\\x20\\x09-\\x0D]+")
 
@@ -64,3 +65,17 @@ def test_repeated_rows_null_ids_and_empty(spark):
     assert ones in (["own", "q\n" + line], ["own\n" + line, "q"])
     assert [x[2] for x in got if x[0] == 5] == [line[::-1]]
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_very_long_texts_and_hot_lines(spark):
+    """A line in every document, a text of many lines met twice, and one endless line."""
+    hot = " ".join(f"h{i}" for i in range(55))
+    long = "\n".join(f"line {i} " + "w " * 6 for i in range(4000))
+    texts = [hot + f"\nown {k}" for k in range(300)] + ["x " * 200_000, "start\n" + long, long + "\nend", "y" * 500_000]
+    got = {r.doc_id: r for r in dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0].clean_text == texts[0] and all(got[k].clean_text == f"own {k}" for k in range(1, 300))
+    assert [len(got[k].clean_text) for k in (300, 301, 302, 303)] == [400_000, len(texts[301]), 3, 500_000]
+
+
+def test_op1_query_equals_its_sql(spark):
+    equals_sql(spark, "op1_line_dedup", "/root/testdata/sf0.001")
