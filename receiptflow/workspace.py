@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,17 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 _OWN: dict[str, str] = {}
 
 
-def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A path below the folder that the driver and all executors share (``spark.checkpoint.dir``).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir`` of the session.
 
-    Where the session names none (tests, one machine) a temporary folder serves.
+    Where that is unset and all of Spark is one local process (tests) a temporary folder serves for the application's life;
+    on a cluster, where executors would not find its files, it raises ValueError.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        app = spark.sparkContext.applicationId
-        root = _OWN.setdefault(app, "") or "file://" + tempfile.mkdtemp(prefix="receiptflow-")
-        _OWN[app] = root
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="receiptflow-")
+    return _OWN[app]
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialised(df: DataFrame, name: str) -> DataFrame:
