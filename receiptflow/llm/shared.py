@@ -1,44 +1,19 @@
-"""The shared folder of a cluster, tables that cut lineage, and Arrow plumbing for row-wise operators."""
+"""Tables in the shared folder that cut lineage, and Arrow plumbing for row-wise operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from receiptflow.session import ship_package
+from receiptflow.workspace import fresh_folder as fresh_path
+from receiptflow.workspace import materialised as written
 
-_OWN_DIRS: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors and the driver see: ``spark.checkpoint.dir`` of the session.
-
-    Where that is unset (tests, one machine) a temporary folder serves for the life of the application.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_DIRS:
-        _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="receiptflow-")
-    return _OWN_DIRS[app]
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: later steps survive the loss of any executor."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["add_columns", "blocks", "drop_written", "fresh_path", "without", "written"]
 
 
 def drop_written(df: DataFrame) -> None:

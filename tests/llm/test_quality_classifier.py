@@ -3,11 +3,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from receiptflow.llm.queries import op8_quality_classifier
-from receiptflow.llm.quality_classifier import _strength, classify_quality, fit_logistic, site_posteriors
+from receiptflow.llm.quality_classifier import _strength, classify_quality, fit_logistic, site_posteriors, word_values
+from receiptflow.llm.words import split_words
 
 
 def brute_sites(rows):
@@ -43,15 +45,64 @@ def test_site_sums(spark):
         assert (r["mean"], r.host_kappa, r.path_kappa) == pytest.approx((mean, kh, kp))
 
 
+NONE = np.zeros(0, int)
+
+
 def test_logistic_separates_and_survives_one_class():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 2))
     y = (x[:, 0] + 0.3 * rng.normal(size=400) > 0).astype(float)
-    m = fit_logistic(x, y)
+    m = fit_logistic(x, NONE, NONE, NONE, y)
     assert m.weights[0] > 1 and abs(m.weights[1]) < 0.5
     for n in (0, 5):
-        m = fit_logistic(np.ones((n, 2)), np.ones(n))
+        m = fit_logistic(np.ones((n, 2)), NONE, NONE, NONE, np.ones(n))
         assert m.weights == [0.0, 0.0] and m.bias == m.base
+    # words alone: bucket 7 is bad, bucket 9 is good
+    row = np.arange(200)
+    y = (row % 2).astype(float)
+    m = fit_logistic(np.zeros((200, 1)), row, np.where(row % 2, 9, 7), np.ones(200), y)
+    assert m.words[9] > 1 and m.words[7] < -1 and not m.words[:7].any()
+
+
+def test_word_values():
+    texts = ["One two TWO, two", None, "", "x"]
+    row, bucket, value = word_values(pa.array(texts))
+    names = dict(zip(["one", "two", "x"], (split_words(pa.array(["one two x"])).hashes() >> np.uint64(52)).tolist(), strict=True))
+    norm = (np.log(2) ** 2 + np.log(4) ** 2) ** 0.5
+    want = {(0, names["one"]): np.log(2) / norm, (0, names["two"]): np.log(4) / norm, (3, names["x"]): 1.0}
+    assert dict(zip(zip(row.tolist(), bucket.tolist(), strict=True), value.tolist(), strict=True)) == pytest.approx(want)
+
+
+def test_words_decide_where_measures_do_not(spark):
+    """Good and bad texts of one shape, told apart by their words."""
+    rng = random.Random(4)
+    kinds = [["alpha", "gamma", "delta", "sigma"], ["ketch", "sloop", "yacht", "barge"]]
+    rows = [(k, " ".join(rng.choices(kinds[k % 2], k=30)), "h", "p", k % 2) for k in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, p string, quality int")
+    got = classify_quality(table.drop("quality"), table.filter("doc_id < 100").select("doc_id", "quality"), F.col("source"), F.col("p")).collect()
+    assert all(r.kept == bool(r.doc_id % 2) for r in got)
+
+
+def test_priors_and_verdicts_restated(spark):
+    """From ``p_text`` on, in plain Python: what a site says without the document itself, and the joined odds."""
+    rows = corpus(120, 5) + [(-1, None, None, None, 1), (-2, "", "h1", None, 0)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, p string, quality int")
+    labels = table.filter("doc_id % 3 = 0").select("doc_id", "quality")
+    got = classify_quality(table.drop("quality"), labels, F.col("source"), F.col("p")).collect()
+    said = {r.doc_id: r.quality for r in labels.collect()}
+    y = {r.doc_id: said.get(r.doc_id, r.p_text) for r in got}
+    paths, hosts, mean, kh, kp = brute_sites([(r.host, r.path, y[r.doc_id]) for r in got])
+    share = (sum(said.values()) + 1) / (len(said) + 2)
+    bounded = lambda x: min(0.999, max(0.001, x))
+    logit = lambda x: np.log(x / (1 - x))
+    for r in got:
+        n, s = hosts[r.host]
+        host = bounded((s - y[r.doc_id] + kh * mean) / (n - 1 + kh))
+        n, s = paths[r.host, r.path]
+        path = bounded((s - y[r.doc_id] + kp * host) / (n - 1 + kp))
+        good = 1 / (1 + np.exp(-(logit(r.p_text) - logit(share) + logit(path))))
+        assert (r.host_prior, r.path_prior, r.p_good) == pytest.approx((host, path, good), abs=1e-6)
+        assert r.kept == (r.p_good >= 0.5)
 
 
 def corpus(n, seed=2):
