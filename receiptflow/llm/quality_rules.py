@@ -120,8 +120,10 @@ def judge_quality(docs: DataFrame, text_col: str = "text", votes: tuple[Vote, ..
     ``p_good`` at least ``at_least``). The rules' accuracies and the prior come from EM over the votes of all rows.
     The measured rows are written once to the shared folder, without texts.
 
-    Null and empty texts have no words and fail; repeated rows are judged alike and each counts; an empty table gives
-    an empty one; other columns pass through, but those named like outputs are replaced. Ties do not arise.
+    Null and empty texts have no words and fail; a very long text is one row, measured by sorting its windows; repeated
+    rows are judged alike and each counts; an empty table gives an empty one; other columns pass through, but those named
+    like outputs, and ``__text``, ``__words``, ``__lines``, ``__hash``, ``__sorted``, ``__like`` and ``__at``, which are
+    used on the way, are replaced. A probability equal to ``at_least`` is kept.
     """
     names = [f"vote_{v.name}" for v in votes]
     table = without(measure(docs, text_col), [*names, "base_failed", "p_good", "kept"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from receiptflow.llm.jaccard_join import class_name, jaccard_groups
 from receiptflow.llm.language_id import identify
 from receiptflow.llm.line_dedup import dedup_lines
 from receiptflow.llm.quality_classifier import classify_quality
-from receiptflow.llm.quality_rules import judge_quality
+from receiptflow.llm.quality_rules import VOTES, judge_quality
 from receiptflow.llm.sentencepiece_codec import encode_texts
 from receiptflow.llm.url_filter import Rule, filter_urls
 from receiptflow.llm.warc import archive_pages
@@ -29,6 +31,18 @@ URL_RULES = [
     Rule("block", "net", "/fr/"),
 ]
 
+#: The method's own globs, for URLs that none of the rules above fits: hosts and paths that rarely hold prose.
+OWN_GLOBS = [
+    Rule("block", "ads*.*", "/"),
+    Rule("block", "*track*.*", "/"),
+    Rule("block", "*.xxx", "/"),
+    Rule("block", "*", "/*.exe"),
+    Rule("block", "*", "/*.zip"),
+    Rule("block", "*", "/*/log?n"),
+    Rule("block", "*", "/cart/"),
+    Rule("allow", "*.edu", "/*/track"),
+]
+
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -50,7 +64,7 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
-    return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+    return filter_urls(pages, URL_RULES, own=OWN_GLOBS).select("page_id", "host", "path", "rule", "verdict", "own_glob")
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +116,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    return judged.select(*base, "p_good", "kept")
+    return judged.select(*base, (F.round(1e6 * F.col("p_good")) / 1e6).alias("p_good"), "kept")
 
 
 QUERIES = {
@@ -118,12 +132,61 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
+
+
+def _pattern(glob: str) -> str:
+    """A glob as a regular expression."""
+    return re.sub(r"[^\w/]", lambda m: {"*": ".*", "?": "."}.get(m[0], "\\" + m[0]), glob)
+
+
+_GLOB_ROWS = ", ".join(rf"('{r.verdict}', '{r.text}', '(?s)^(.*\.)?{_pattern(r.host)}$', '(?s)^{_pattern(r.path)}', {i})" for i, r in enumerate(OWN_GLOBS))
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}', {i})" for i, r in enumerate(URL_RULES))
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+def _quality_sql() -> str:
+    """Measures, votes, EM over counted vote patterns in a recursive query, posterior and verdict."""
+    k = range(1, len(VOTES) + 1)
+    votes = ", ".join(f"CASE WHEN {v.good} THEN 1 WHEN {v.bad} THEN -1 ELSE 0 END" for v in VOTES)
+    odds = "ln(prior / (1 - prior)) + " + " + ".join(f"votes[{j}] * ln(rights[{j}] / (1 - rights[{j}]))" for j in k)
+    right = ", ".join(
+        f"""CASE WHEN sum(abs(votes[{j}]) * c) > 0 THEN least(0.95, greatest(0.55, sum(CASE votes[{j}] WHEN 1 THEN c * p WHEN -1 THEN c * (1 - p) ELSE 0 END)
+            / sum(abs(votes[{j}]) * c))) ELSE any_value(rights[{j}]) END"""
+        for j in k
+    )
+    return rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+runs AS (
+  SELECT doc_id, p, words[p] || ' ' || words[p + 1] || ' ' || words[p + 2] AS run FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS p FROM texts)),
+twice AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, run) AS n FROM runs) WHERE n > 1),
+repeats AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(p, p + 3)) AS place FROM twice) GROUP BY doc_id),
+measures AS (
+  SELECT t.doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines,
+         len(list_filter(lines, lambda x: regexp_matches(x, '[.!?"'')\]][\x20\x09-\x0D]*\z')))::BIGINT AS n_ended_lines
+  FROM texts t LEFT JOIN repeats r ON r.doc_id = t.doc_id),
+voted AS MATERIALIZED (SELECT *, [{votes}] AS votes FROM measures),
+patterns AS MATERIALIZED (SELECT votes, count(*) AS c FROM voted GROUP BY votes),
+em(k, prior, rights) AS (
+  SELECT 0, 0.7::DOUBLE, {[0.8] * len(VOTES)}::DOUBLE[]
+  UNION ALL
+  SELECT k + 1, least(0.95, greatest(0.05, sum(c * p) / sum(c))), [{right}]
+  FROM (SELECT k, rights, votes, c, 1 / (1 + exp(-({odds}))) AS p FROM em, patterns WHERE k < 50) GROUP BY k),
+fitted AS (SELECT * FROM em WHERE k = 50),
+judged AS (
+  SELECT v.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 1 / (1 + exp(-({odds}))) AS p FROM voted v, fitted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, round(1e6 * p) / 1e6 AS p_good, NOT base_failed AND p >= 0.5 AS kept
+FROM judged"""
+
+
 ORACLE_SQL = {
+    "op10_quality_rules": _quality_sql(),
     "op1_line_dedup": r"""
 WITH raw AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -159,15 +222,19 @@ WITH parsed AS (
   FROM pages),
 canonical AS (
   SELECT page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM parsed),
-rules(verdict, rule_host, rule_path, k) AS (VALUES {_RULE_ROWS})
-SELECT page_id, host, path,
-       (SELECT r.rule_host || r.rule_path FROM rules r
-        WHERE ends_with('.' || c.host, '.' || r.rule_host) AND starts_with(c.path, r.rule_path)
-        ORDER BY length(r.rule_host || r.rule_path) DESC, r.k LIMIT 1) AS rule,
-       coalesce((SELECT r.verdict FROM rules r
+rules(verdict, rule_host, rule_path, k) AS (VALUES {_RULE_ROWS}),
+globs(verdict, spelled, host_like, path_like, k) AS (VALUES {_GLOB_ROWS}),
+judged AS (
+  SELECT page_id, host, path,
+       (SELECT {{'rule': r.rule_host || r.rule_path, 'verdict': r.verdict}} FROM rules r
         WHERE ends_with('.' || c.host, '.' || r.rule_host) AND starts_with(c.path, r.rule_path)
-        ORDER BY length(r.rule_host || r.rule_path) DESC, r.k LIMIT 1), 'allow') AS verdict
-FROM canonical c""",
+        ORDER BY length(r.rule_host || r.rule_path) DESC, r.k LIMIT 1) AS r,
+       (SELECT {{'spelled': g.spelled, 'verdict': g.verdict}} FROM globs g
+        WHERE regexp_matches(c.host, g.host_like) AND regexp_matches(c.path, g.path_like)
+        ORDER BY length(g.spelled) DESC, g.k LIMIT 1) AS g
+  FROM canonical c)
+SELECT page_id, host, path, r.rule AS rule, coalesce(r.verdict, g.verdict, 'allow') AS verdict,
+       CASE WHEN r.rule IS NULL THEN g.spelled END AS own_glob FROM judged""",
     "op4_decontaminate": rf"""
 WITH docs AS (SELECT doc_id, coalesce({_ITEM_WORDS}, []) AS w FROM documents),
 items AS (SELECT item_id::VARCHAR AS id, w, least(13, len(w)) AS size FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark) WHERE len(w) > 0),

@@ -104,18 +104,21 @@ def host_and_path(url):
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(url, parts, 2), F.lit(""))
 
 
-def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", default: str = "allow") -> DataFrame:
-    """Each row with ``host``, ``path``, ``rule`` and ``verdict``; of the rules that fit the longest decides.
-
-    Where two of the same length fit, the first listed wins. No fitting rule: ``rule`` is null and the verdict
-    ``default``. A null or malformed URL has an empty host and path, which no rule fits. Repeated rows are judged alike,
-    an empty table gives an empty one, and input columns named like the four outputs are replaced.
-    The rules are code of the caller, sent with the task; they do not grow with the pages.
+def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", default: str = "allow", own: list[Rule] | None = None) -> DataFrame:
+    """Each row with ``host``, ``path``, ``rule``, ``verdict`` and ``own_glob``; of the rules that fit the longest decides.
+
+    Where two of the same length fit, the first listed wins. Where no rule fits, ``rule`` is null and the longest fitting
+    one of the method's ``own`` globs decides, named in ``own_glob``; else the verdict is ``default``. One automaton reads
+    both lists at once. A null or malformed URL has an empty host and path, which no rule fits. A very long URL is read
+    in linear time. Repeated rows are judged alike, an empty table gives an empty one, and input columns named like the
+    outputs are replaced. The rules are code of the caller, sent with the task; they do not grow with the pages.
     """
     host, path = host_and_path(F.col(url_col))
     framed = without(pages.withColumn("__host", host).withColumn("__path", path), ["host", "path"])
     framed = framed.withColumnsRenamed({"__host": "host", "__path": "path"})
-    ranked = sorted(range(len(rules)), key=lambda i: (-len(rules[i].text), i))
+    framed = framed.withColumn("__bytes", F.concat("host", "path"))
+    given, rules = len(rules), [*rules, *(own or [])]
+    ranked = sorted(range(len(rules)), key=lambda i: (i >= given, -len(rules[i].text), i))
     texts = [rules[i].text for i in ranked]
     verdicts = [rules[i].verdict for i in ranked]
     globs = [rules[i].glob() for i in ranked]
@@ -136,11 +139,12 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
             hit = machine.run(data, offsets)
             best = np.where(hit.any(1), hit.argmax(1), -1) if len(texts) else np.full(batch.num_rows, -1)
             return [
-                pa.array([texts[i] if i >= 0 else None for i in best], pa.string()),
+                pa.array([texts[i] if 0 <= i < given else None for i in best], pa.string()),
                 pa.array([verdicts[i] if i >= 0 else default for i in best], pa.string()),
+                pa.array([texts[i] if i >= given else None for i in best], pa.string()),
             ]
 
         return judge
 
-    fields = [T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())]
-    return add_columns(framed, fields, make, weigh="path", block_bytes=1 << 20)
+    fields = [T.StructField(n, T.StringType()) for n in ("rule", "verdict", "own_glob")]
+    return add_columns(framed, fields, make, weigh="__bytes", block_bytes=1 << 20).drop("__bytes")

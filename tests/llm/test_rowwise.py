@@ -4,10 +4,12 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import pyarrow as pa
 import pytest
 
 from receiptflow.llm.decontaminate import _Matcher, decontaminate, item_pieces
+from receiptflow.llm.queries import ORACLE_SQL, QUERIES
 from receiptflow.llm.quality_rules import judge_quality
 from receiptflow.llm.url_filter import Rule, ShiftAnd, filter_urls
 from receiptflow.llm.words import Words, split_words
@@ -199,5 +201,20 @@ def test_items_in_pieces_and_many_ids(spark):
     assert got[0]["items"] == sorted(str(k) for k in range(40)) and got[1]["items"] == ["null"]
 
 
-def test_op4_query_equals_its_sql(spark):
-    equals_sql(spark, "op4_decontaminate", "/root/testdata/sf0.001")
+@pytest.mark.parametrize("name", ["op3_url_filter", "op4_decontaminate", "op10_quality_rules"])
+def test_query_equals_its_sql(spark, name):
+    equals_sql(spark, name, "/root/testdata/sf0.001")
+
+
+def test_own_globs_judge_what_no_rule_fits(spark, tmp_path):
+    urls = ["http://net/es/x.exe", "http://q.org/a/x.exe?y", "http://ads7.z.org/", "http://q.track.org/", "http://a.track.edu/b/tracks", "http://m.org/u/login/", "http://m.org/u/logn", "http://m.org/cart/"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    rows = {r.page_id: (r.rule, r.verdict, r.own_glob) for r in QUERIES["op3_url_filter"](spark, str(tmp_path)).collect()}
+    assert rows == {
+        0: ("net/es/", "block", None), 1: (None, "block", "*/*.exe"), 2: (None, "block", "ads*.*/"), 3: (None, "block", "*track*.*/"),
+        4: (None, "allow", "*.edu/*/track"), 5: (None, "block", "*/*/log?n"), 6: (None, "allow", None), 7: (None, "block", "*/cart/"),
+    }
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    said = con.execute(f"SELECT page_id, rule, verdict, own_glob FROM ({ORACLE_SQL['op3_url_filter']})").fetchall()
+    assert {k: tuple(x) for k, *x in said} == rows
