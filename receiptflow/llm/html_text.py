@@ -2,13 +2,14 @@
 
 The builder keeps the stack of open elements, closes what a start tag implies to be closed (``<p>`` before a block,
 ``<li>``, table parts, options) and reports opening, text and closing; the renderer drops what is not displayed,
-collapses white space, sets blocks apart, marks list items and aligns table cells. Nothing recurses, so nesting may be
-of any depth.
+collapses white space, sets blocks apart, marks list items and aligns table cells. Nothing recurses and no tag makes it
+walk the stack, so nesting may be of any depth.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from html import unescape
 from unicodedata import east_asian_width
 
@@ -23,9 +24,18 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style xmp iframe noembed noframes".split())
 ESCAPABLE_RAW = frozenset("textarea title".split())
 NOT_SHOWN = frozenset(
-    "head title script style template noscript iframe noembed noframes datalist param source track area base link meta "
-    "audio canvas object video svg math".split()
+    "head title script style template iframe noembed noframes datalist param source track area base link meta "
+    "audio canvas video meter progress rp".split()
 )
+#: Elements of SVG and MathML whose text is not shown.
+NOT_DRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter annotation annotation-xml".split())
+#: HTML elements whose start tag ends SVG or MathML.
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre ruby s small "
+    "span strong strike sub sup table tt u ul var".split()
+)
+#: Inputs that show their value.
+SHOWS_VALUE = frozenset(["", *"text search url tel email number date month week time datetime-local submit button reset".split()])
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table pre blockquote figure fieldset xmp listing".split())
 BLOCKS = SPACED | frozenset(
     "address article aside body center dd details dialog dir div dt figcaption footer form header hgroup hr html legend li main nav "
@@ -56,7 +66,74 @@ _MARKUP = re.compile(
 )
 _PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
-_HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_DECLARATION = re.compile(r"(?:^|[;{\s])(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+_COMPOUND = re.compile(r"(\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)\Z", re.I)
+#: Deeper list items and quotes are indented like those of this depth.
+_DEEPEST = 32
+
+
+@dataclass(frozen=True)
+class Style:
+    """What a rule of a style sheet says of elements with this tag, these classes and these ids."""
+
+    tag: str
+    classes: frozenset[str]
+    ids: frozenset[str]
+    name: str
+    value: str
+    rank: tuple[bool, int, int, int, int]  # important, ids, classes, tags, place
+
+    def fits(self, tag: str, classes: set[str], id_: str) -> bool:
+        return self.tag in ("", "*", tag) and self.classes <= classes and self.ids <= {id_}
+
+
+def declarations(source: str) -> list[tuple[str, str, bool]]:
+    return [(m[1].lower(), m[2].lower(), bool(m[3])) for m in _DECLARATION.finditer(source)]
+
+
+def style_rules(sheets: list[str]) -> dict[str, list[Style]]:
+    """Rules about ``display`` and ``visibility`` by an id, class or tag that an element must have.
+
+    Selectors of one element (tag, classes, ids) count, those with combinators, attributes or pseudo-classes do not; of
+    conditional blocks ``@media`` for all media or screens without further conditions counts.
+    """
+    out: dict[str, list[Style]] = {}
+    place = 0
+    for sheet in sheets:
+        if "{" not in sheet:
+            continue
+        text = re.sub(r"/\*.*?(?:\*/|\Z)", " ", sheet, flags=re.S)
+        skipped: list[bool] = []  # of the open blocks, whether what is inside counts
+        at = 0
+        for m in re.finditer(r"[{}]", text):
+            head, at = text[at : m.start()], m.end()
+            if m[0] == "}":
+                if skipped:
+                    skipped.pop()
+                continue
+            head = head.rpartition(";")[2].strip()
+            counts = not any(skipped)
+            if head.startswith("@"):
+                skipped.append(re.fullmatch(r"@media\s+(only\s+)?(all|screen)", head, re.I) is None)
+                continue
+            skipped.append(False)
+            if counts:
+                end = text.find("}", at)
+                said = declarations(text[at : end if end >= 0 else len(text)])
+                for selector in head.split(",") if said else ():
+                    part = _COMPOUND.match(selector.strip())
+                    if part is None or not part[0]:
+                        continue
+                    names = re.findall(r"([.#])([\w-]+)", part[2])
+                    ids = frozenset(n for kind, n in names if kind == "#")
+                    classes = frozenset(n for kind, n in names if kind == ".")
+                    tag = (part[1] or "").lower()
+                    key = "#" + min(ids) if ids else "." + min(classes) if classes else tag
+                    for name, value, important in said:
+                        rank = (important, len(ids), len(classes), int(tag not in ("", "*")), place)
+                        out.setdefault(key, []).append(Style(tag, classes, ids, name, value, rank))
+                        place += 1
+    return out
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -81,6 +158,7 @@ class Flow:
         self.gap = False  # an empty line is due before further text
         self.prefixes: list[str] = []  # of list items and quotes
         self.marker = ""
+        self.spans = (1, 1)  # of a table cell: columns, rows
 
     def text(self, text: str) -> None:
         parts = text.split()
@@ -115,7 +193,7 @@ class Flow:
         text = "".join(self.line).rstrip() if not always else "".join(self.line)
         if text or always:
             marker, self.marker = self.marker, ""
-            indent = "".join(self.prefixes)
+            indent = "".join(self.prefixes[:_DEEPEST])
             self.lines.append((indent[: len(indent) - len(marker)] + marker + text).rstrip() if marker else (indent + text).rstrip())
         self.line, self.space = [], False
 
@@ -130,45 +208,89 @@ class Flow:
         return self.lines
 
 
+@dataclass
+class Cell:
+    lines: list[str]
+    columns: int
+    rows: int
+
+
 class Table:
     def __init__(self):
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[Cell]] = []
         self.caption: list[str] = []
 
+    def placed(self) -> list[list[tuple[int, Cell]]]:
+        """Each row's own cells with their first columns: those that cells from above do not reach into."""
+        taken: dict[int, int] = {}  # column: rows that a cell from above still covers
+        out = []
+        for row in self.rows:
+            at, here = 0, []
+            for cell in row:
+                while at in taken:
+                    at += 1
+                here.append((at, cell))
+                at += cell.columns
+            taken = {c: n - 1 for c, n in taken.items() if n > 1}
+            for first, cell in here:
+                if cell.rows > 1:
+                    taken |= dict.fromkeys(range(first, first + cell.columns), cell.rows - 1)
+            out.append(here)
+        return out
+
     def lines(self) -> list[str]:
-        """Cells side by side, each column as wide as its widest cell of one column, two spaces between."""
+        """Cells side by side, each column as wide as its widest cell of one column, two spaces between.
+
+        The lines of a cell of several rows go on beside the rows below it; its last row makes room for what is left.
+        """
+        placed = self.placed()
         widths: list[int] = []
-        for row in self.rows:
-            at = 0
-            for lines, span in row:
-                widths += [0] * (at + span - len(widths))
-                if span == 1:
-                    widths[at] = max([widths[at], *map(width, lines)])
-                at += span
+        for row in placed:
+            for at, cell in row:
+                widths += [0] * (at + cell.columns - len(widths))
+                if cell.columns == 1:
+                    widths[at] = max([widths[at], *map(width, cell.lines)])
         out = list(self.caption)
-        for row in self.rows:
-            for i in range(max((len(lines) for lines, _ in row), default=0)):
-                parts, at = [], 0
-                for lines, span in row:
-                    text = lines[i] if i < len(lines) else ""
-                    room = sum(widths[at : at + span]) + 2 * (span - 1)
-                    parts.append(text + " " * (room - width(text)))
-                    at += span
-                out.append("  ".join(parts).rstrip())
+        reaching: list[tuple[int, Cell, list[str], int]] = []  # column, cell, lines left, rows left with this one
+        for k, row in enumerate(placed):
+            reaching = [(at, cell, left, n - 1) for at, cell, left, n in reaching if n > 1]
+            reaching = sorted(reaching + [(at, cell, cell.lines, min(cell.rows, len(placed) - k)) for at, cell in row], key=lambda x: x[0])
+            height = max((len(left) for _, _, left, n in reaching if n == 1), default=0)
+            height = max(height, int(any(cell.lines for _, cell in row)))
+            for i in range(height):
+                parts, past = [], 0
+                for at, cell, left, _ in reaching:
+                    text = left[i] if i < len(left) else ""
+                    room = sum(widths[at : at + cell.columns]) + 2 * (cell.columns - 1)
+                    gap = sum(widths[past:at]) + 2 * (at - past)
+                    parts.append(" " * gap + text + " " * (room - width(text)) + "  ")
+                    past = at + cell.columns
+                out.append("".join(parts).rstrip())
+            reaching = [(at, cell, left[height:], n) for at, cell, left, n in reaching]
         return out
 
 
+@dataclass(slots=True)
+class Open:
+    tag: str
+    hides: bool  # with all that is inside
+    visible: bool  # of the element around it
+
+
 class Page:
     """Tree builder and renderer of one page."""
 
-    def __init__(self):
-        self.open: list[tuple[str, bool]] = []  # tags, and whether they hide what is inside
+    def __init__(self, rules: dict[str, list[Style]] | None = None):
+        self.open: list[Open] = []
+        self.places: dict[str, list[int]] = {}  # of the open elements of a tag, outermost first
+        self.rules = rules or {}
+        self.sheets: list[str] = []
         self.hidden = 0
+        self.visible = True
         self.exact = 0
         self.flows = [Flow()]
         self.tables: list[Table] = []
         self.counters: list[int | None] = []  # of open lists; none for bullets
-        self.paragraphs = 0
 
     def run(self, html: str) -> str:
         at, n = 0, len(html)
@@ -191,10 +313,12 @@ class Page:
                 tag = m[2].lower()
                 if m[1]:
                     self.end(tag)
-                elif self.begin(tag, m[3]) and (tag in RAW or tag in ESCAPABLE_RAW):
+                elif self.begin(tag, m[3]) and (tag in RAW or tag in ESCAPABLE_RAW) and not self._foreign():
                     close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
                     stop = close.start() if close else n
-                    if stop > at:
+                    if tag == "style":
+                        self.sheets.append(html[at:stop])
+                    elif stop > at:
                         self.text(html[at:stop], tag in ESCAPABLE_RAW)
                     at = stop
         if at < n:
@@ -205,44 +329,79 @@ class Page:
 
     # --- tree ---
 
+    def _last(self, tag: str) -> int:
+        """The place of the innermost open element of a tag, or -1."""
+        found = self.places.get(tag)
+        return found[-1] if found else -1
+
+    def _foreign(self) -> bool:
+        """Whether SVG or MathML is read here."""
+        return max(self._last("svg"), self._last("math")) > self._last("foreignobject")
+
     def begin(self, tag: str, source: str) -> bool:
         """Opens an element; whether it stays open."""
-        if self.paragraphs and tag in ENDS_P:
-            self._close({"p"}, WALLS)
-        if tag in IMPLIED_END:
-            self._close(*IMPLIED_END[tag])
-            if tag in ("td", "th") and not any(t == "tr" for t, _ in self._since_table()):
-                self.begin("tr", "")
-        if tag in ("body", "html") and self.open:
-            self._close({"head"}, set())
-            if any(t == tag for t, _ in self.open):
-                return False
-        elif tag not in NOT_SHOWN and tag != "html" and any(t == "head" for t, _ in self.open[:3]):
-            self._close({"head"}, set())
+        if self._foreign() and tag in ENDS_FOREIGN:
+            self._close({"svg", "math"}, set())
+        foreign = tag in ("svg", "math") or self._foreign()
+        if not foreign:
+            if tag in ENDS_P and self.places.get("p"):
+                self._close({"p"}, WALLS)
+            if tag in IMPLIED_END:
+                self._close(*IMPLIED_END[tag])
+                if tag in ("td", "th") and self._last("tr") <= self._last("table"):
+                    self.begin("tr", "")
+            if tag in ("body", "html") and self.open:
+                self._close({"head"}, set())
+                if self.places.get(tag):
+                    return False
+            elif tag not in NOT_SHOWN and tag != "html" and any(x.tag == "head" for x in self.open[:3]):
+                self._close({"head"}, set())
         found = attributes(source) if source.strip(" /") else {}
-        hides = tag in NOT_SHOWN or "hidden" in found or bool(_HIDING.search(found.get("style", "")))
+        display, visibility = self._styled(tag, found)
+        hides = tag in (NOT_DRAWN if foreign else NOT_SHOWN) or (foreign and tag in ("title", "script", "style")) or display == "none"
         hides = hides or (tag == "dialog" and "open" not in found) or (tag == "input" and found.get("type", "").lower() == "hidden")
-        if self.open and self.open[-1][0] == "details-closed" and tag != "summary":
+        if self.open and self.open[-1].tag == "details-closed" and tag != "summary":
             hides = True
         if tag == "details" and "open" not in found:
             tag = "details-closed"
-        if not hides and not self.hidden:
+        visible = self.visible if visibility is None else visibility == "visible"
+        if not hides and not self.hidden and visible:
             self._shown(tag, found)
-        if tag in VOID:
+        if tag in VOID and not foreign:
             return False
-        self.open.append((tag, hides))
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append(Open(tag, hides, self.visible))
         self.hidden += hides
-        self.paragraphs += tag == "p"
+        self.visible = visible
         if not self.hidden:
             self._enter(tag, found)
+        if foreign and source.endswith("/"):
+            self._pop()
+            return False
         return True
 
+    def _styled(self, tag: str, found: dict[str, str]) -> tuple[str | None, str | None]:
+        """Display and visibility of an element: of what applies, the last of the highest rank."""
+        said: dict[str, tuple[tuple, str]] = {"display": ((False, -1), "none")} if "hidden" in found else {}
+        if self.rules:
+            classes, id_ = set(found.get("class", "").split()), found.get("id", "")
+            for key in ("*", "", tag, "#" + id_, *("." + c for c in classes)):
+                for rule in self.rules.get(key, ()):
+                    if rule.rank > said.get(rule.name, ((), ""))[0] and rule.fits(tag, classes, id_):
+                        said[rule.name] = rule.rank, rule.value
+        if "style" in found:
+            for place, (name, value, important) in enumerate(declarations(found["style"])):
+                rank = (important, 1 << 30, place)
+                if rank > said.get(name, ((), ""))[0]:
+                    said[name] = rank, value
+        return said.get("display", (None, None))[1], said.get("visibility", (None, None))[1]
+
     def end(self, tag: str) -> None:
         if tag == "br":
             self.begin("br", "")
             return
         names = {"details-closed", "details"} if tag == "details" else {tag}
-        if tag == "p" and not self.paragraphs:
+        if tag == "p" and not self.places.get("p"):
             self.begin("p", "")
         walls = WALLS - {tag} if tag not in ("table", "tr", "tbody", "thead", "tfoot") else set()
         if tag in ("tr", "tbody", "thead", "tfoot"):
@@ -251,37 +410,32 @@ class Page:
 
     def _close(self, tags: set[str], walls) -> None:
         """Pops up to the innermost open element of ``tags``, unless a wall comes first."""
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] in tags:
-                # a start tag may close several: the outermost of them before a wall
-                while k and self.open[k - 1][0] in tags and len(tags) > 2:
-                    k -= 1
-                while len(self.open) > k:
-                    self._pop()
-                return
-            if self.open[k][0] in walls:
-                return
-
-    def _since_table(self) -> list[tuple[str, bool]]:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == "table":
-                return self.open[k:]
-        return self.open
+        k = max(map(self._last, tags))
+        if k < 0 or any(self._last(w) > k for w in walls):
+            return
+        # a start tag may close several: the outermost of them before a wall
+        while k and self.open[k - 1].tag in tags and len(tags) > 2:
+            k -= 1
+        while len(self.open) > k:
+            self._pop()
 
     def _pop(self) -> None:
-        tag, hides = self.open.pop()
+        x = self.open.pop()
+        self.places[x.tag].pop()
         if not self.hidden:
-            self._leave(tag)
-        self.hidden -= hides
-        self.paragraphs -= tag == "p"
+            self._leave(x.tag)
+        self.hidden -= x.hides
+        self.visible = x.visible
 
     # --- layout ---
 
     def text(self, text: str, entities: bool = True) -> None:
-        if self.hidden or (self.open and self.open[-1][0] == "details-closed"):
+        if self.hidden or not self.visible or (self.open and self.open[-1].tag == "details-closed"):
             return
+        if self._last("svg") > max(self._last("text"), self._last("foreignobject")):
+            return  # SVG draws the text of its text elements only
         text = unescape(text) if entities and "&" in text else text
-        if self.open and self.open[-1][0] in ("table", "tbody", "thead", "tfoot", "tr") and not text.strip():
+        if self.open and self.open[-1].tag in ("table", "tbody", "thead", "tfoot", "tr") and not text.strip():
             return
         if self.exact:
             self.flows[-1].exact(text)
@@ -289,7 +443,7 @@ class Page:
             self.flows[-1].text(text)
 
     def _shown(self, tag: str, found: dict[str, str]) -> None:
-        """Void elements that show something."""
+        """Void elements that show something, and breaks."""
         flow = self.flows[-1]
         if tag == "br":
             if flow.line:
@@ -300,8 +454,15 @@ class Page:
             flow.block(True)
         elif tag == "img" and found.get("alt", "").strip():
             flow.text(found["alt"])
+        elif tag == "input" and (kind := found.get("type", "").lower()) in SHOWS_VALUE | {"image"}:
+            value = found.get("alt" if kind == "image" else "value", "")
+            if value.strip():
+                flow.space = True
+                flow.text(f"{value} ")
 
     def _enter(self, tag: str, found: dict[str, str]) -> None:
+        if tag == "text" and self._foreign():  # stands at a place of its own
+            self.flows[-1].end_line()
         if tag not in BLOCKS and tag != "details-closed":
             return
         flow = self.flows[-1]
@@ -309,7 +470,9 @@ class Page:
         if tag in ("td", "th", "caption"):
             if self.tables and (tag == "caption" or self.tables[-1].rows):
                 self.flows.append(Flow())
-                self.flows[-1].span = max(1, min(1000, int(found["colspan"]))) if found.get("colspan", "").isdecimal() else 1
+                number = lambda name: int(found[name]) if re.fullmatch(r"[0-9]{1,5}", found.get(name, "")) else 1
+                rows = number("rowspan")
+                self.flows[-1].spans = max(1, min(1000, number("colspan"))), min(65534, rows) if rows else 65534
             return
         flow.block(tag in SPACED and not nested)
         if tag in ("ul", "ol", "menu"):
@@ -321,7 +484,7 @@ class Page:
                 self.counters[-1] = number + 1
             mark = "- " if number is None else f"{number}. "
             flow.prefixes.append(" " * len(mark))
-            flow.marker = mark
+            flow.marker = mark if self.visible else ""
         elif tag == "blockquote":
             flow.prefixes.append("> ")
         elif tag == "dd":
@@ -334,6 +497,8 @@ class Page:
             self.tables[-1].rows.append([])
 
     def _leave(self, tag: str) -> None:
+        if tag == "text" and self._foreign():
+            self.flows[-1].end_line()
         if tag not in BLOCKS and tag != "details-closed":
             return
         flow = self.flows[-1]
@@ -343,14 +508,14 @@ class Page:
                 if tag == "caption":
                     self.tables[-1].caption += done.finish()
                 else:
-                    self.tables[-1].rows[-1].append((done.finish(), done.span))
+                    self.tables[-1].rows[-1].append(Cell(done.finish(), *done.spans))
             return
         flow.end_line()
         if tag == "table" and self.tables:
             lines = self.tables.pop().lines()
             if lines:
                 flow._start()
-                flow.lines += ["".join(flow.prefixes) + x for x in lines]
+                flow.lines += ["".join(flow.prefixes[:_DEEPEST]) + x for x in lines]
         elif tag in ("ul", "ol", "menu") and self.counters:
             self.counters.pop()
         elif tag in ("li", "blockquote", "dd") and flow.prefixes:
@@ -363,20 +528,29 @@ class Page:
 
 
 def visible_text(html: str | None) -> str | None:
-    """The laid-out visible text of a page; none for none."""
-    return None if html is None else Page().run(html)
+    """The laid-out visible text of a page; none for none. Where its style sheets hide something it is read twice."""
+    if html is None:
+        return None
+    page = Page()
+    text = page.run(html)
+    rules = style_rules(page.sheets)
+    return Page(rules).run(html) if rules else text
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", name: str = "text") -> DataFrame:
     """Each row of ``pages`` with the visible text of its HTML.
 
-    All text that a browser would display without scripts comes out once, in source order: not the head, scripts, styles
-    and templates, nor what is hidden by ``hidden`` or an inline style, a closed ``details`` or ``dialog``. White space is
+    All text that a browser would display without scripts comes out once, in source order: with that of ``noscript``, of
+    ``object`` without its resource, of SVG's text elements, of MathML and of inputs' values; not the head, scripts, styles
+    and templates, a closed ``details`` or ``dialog``, nor what ``hidden``, an inline style or a rule of a ``style`` element
+    hides (``display`` and ``visibility``; of rules see ``style_rules``; linked sheets are not read). White space is
     collapsed but in ``pre``; blocks stand on lines of their own, paragraphs, headings, lists and tables between empty
-    lines; list items have ``- `` or their number, nested ones are indented; table cells are aligned in columns.
-    Null stays null, an empty page is empty; broken markup is read leniently and unclosed elements end with the page.
-    Repeated rows give the same text; an input column named like the output is replaced, unless it is the HTML itself;
-    an empty table gives an empty one.
+    lines; list items have ``- `` or their number, nested ones are indented (beyond 32 levels no further); table cells are
+    aligned in columns, those of several columns or rows, too.
+    Null stays null, an empty page is empty; very long pages take linear time; broken markup is read leniently and unclosed
+    elements end with the page; formatting that reaches across blocks is not opened again, as it changes no text. Rules of
+    equal rank: the last one counts. Repeated rows give the same text; an input column named like the output is replaced,
+    unless it is the HTML itself; an empty table gives an empty one.
     """
     if name.lower() == html_col.lower():
         raise ValueError("the text needs a name other than the HTML's")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -34,7 +35,25 @@ CASES = [
     ("</p></div>x</span>", "x"),
     ("<a href='unclosed", ""),
     ("x<a href=\">\">y</a>", "xy"),
-    ("<template>no</template><noscript>no</noscript><dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+    ("<template>no</template><noscript>shown </noscript><dialog>no</dialog><dialog open>yes</dialog>", "shown\nyes"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"),
+    ("<table><tr><td>k<td rowspan=2>x<br>y<br>z<td>b<tr><td>long<td>c</table>", "k     x  b\nlong  y  c\n      z"),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
+    ("<table><tr><td rowspan=2 colspan=2>ab<td>1<tr><td>2<tr><td>x<td>y<td>3</table>", "ab    1\n      2\nx  y  3"),
+    ("<svg><title>no</title><text x=1>one</text><g><text>two<tspan>x</tspan></text></g>no</svg>after", "one\ntwox\nafter"),
+    ("<svg width=1/>a<math/>b", "ab"),
+    ("<svg><defs><text>no</text></defs><path d='x'/><foreignObject><p>in</p></foreignObject></svg>z", "in\n\nz"),
+    ("<svg><g><p>out", "out"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>", "x=1"),
+    ("<object data=x>fall<b>back</b></object>", "fallback"),
+    ("<p style='visibility:hidden'>no<b style='visibility:visible'>yes</b>no</p>", "yes"),
+    ("<input type=submit value='Send it'><input value=typed><input type=checkbox value=no><input type=image alt=pic>", "Send it typed pic"),
+    ("<style>.h{display:none} #i, p.x{visibility:hidden}</style>a<b class='q h'>no</b><i id=i>no</i><p class=x>no<p>b", "a\n\nb"),
+    ("<b class=h>no</b>a<style>/* .h{} */ .h{color:red;display : NONE}</style>", "a"),
+    ("<style>@media print{.a{display:none}} @media screen{.b{display:none}} div .c{display:none}</style><i class=a>a</i><i class=b>b</i><i class=c>c</i>", "ac"),
+    ("<style>p{display:none}.s{display:block}.t{display:none!important}</style><p>no<p class=s>yes<p class=t style='display:block'>no<p style='display:block'>in", "yes\n\nin"),
+    ("<b hidden style='display:inline'>x</b>", "x"),
+    ("<style>.h{display:none}", ""),
 ]
 
 
@@ -80,3 +99,62 @@ def test_deep_and_long_pages(spark):
     got = extract_text(table).collect()
     assert [r.text if r.page_id != 4 or len(r.text) < 9 else len(r.text) for r in got] == [None, "", "deep", 999_999, "- x", "- x"]
     assert extract_text(table.limit(0)).count() == 0
+
+
+def brute_table(rows):
+    """One-line cells on a grid: (text, columns, rows) each."""
+    grid, width = {}, {}
+    for r, row in enumerate(rows):
+        c = 0
+        for text, columns, down in row:
+            while (r, c) in grid:
+                c += 1
+            for i in range(down):
+                for j in range(columns):
+                    grid[r + i, c + j] = (text if (i, j) == (0, 0) else "", columns if j == 0 else 0)
+            if columns == 1:
+                width[c] = max(width.get(c, 0), len(text))
+            c += columns
+    out = []
+    for r in range(len(rows)):
+        line = ""
+        last = max((c for i, c in grid if i == r), default=-1)
+        c = 0
+        while c <= last:
+            text, columns = grid.get((r, c), ("", 1))
+            columns = columns or 1
+            room = sum(width.get(c + j, 0) for j in range(columns)) + 2 * (columns - 1)
+            line += text.ljust(room) + "  "
+            c += columns
+        out.append(line.rstrip())
+    return "\n".join(out).strip("\n")
+
+
+def test_tables_against_a_grid():
+    rng = random.Random(3)
+    for _ in range(400):
+        n = rng.randint(1, 5)
+        taken, rows = {}, []
+        for r in range(n):  # cells that do not run into one from above
+            row, c = [], 0
+            for _ in range(rng.randint(1, 4)):
+                while (r, c) in taken:
+                    c += 1
+                columns = rng.choice([1, 1, 1, 2])
+                columns = 1 if any((r, c + j) in taken for j in range(columns)) else columns
+                down = min(rng.choice([1, 1, 2, 3]), n - r)
+                row.append(("".join(rng.choices("abc", k=rng.randint(1, 6))), columns, down))
+                taken.update({(r + i, c + j): 1 for i in range(down) for j in range(columns)})
+                c += columns
+            rows.append(row)
+        html = "<table>" + "".join("<tr>" + "".join(f"<td colspan={c} rowspan={d}>{t}" for t, c, d in row) for row in rows) + "</table>"
+        assert visible_text(html) == brute_table(rows), html
+
+
+def test_hostile_pages_take_linear_time():
+    took = []
+    for n in (4000, 16_000):
+        began = time.process_time()
+        visible_text("<b>" * n + "</i>" * n + "<li><blockquote>x" * (n // 8) + "<td>" * n)
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * max(took[0], 0.05)
