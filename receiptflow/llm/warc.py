@@ -1,7 +1,7 @@
 """WARC archives: one gzip stream for a whole file, rewritten as one gzip member per record with an offset index.
 
 Files are opened in tasks through ``pyarrow.fs`` by URI, so the shared folder may be a mounted path or any store
-pyarrow knows. Names carry a random part: what a lost task wrote is never listed, and what is listed is whole.
+pyarrow knows; Hadoop's names of stores are taken for pyarrow's (``located``). Names carry a random part: what a lost task wrote is never listed, and what is listed is whole.
 """
 
 from __future__ import annotations
@@ -32,8 +32,20 @@ RECORDS = (
 )
 
 
+def located(path: str) -> str:
+    """A path as Hadoop spells it, as a URI for pyarrow: ``s3a`` and ``s3n`` are ``s3``, ``dbfs`` is its mounted folder."""
+    scheme, colon, rest = path.partition(":")
+    if scheme in ("s3a", "s3n"):
+        return "s3:" + rest
+    if scheme == "dbfs":
+        return "file:///dbfs/" + rest.lstrip("/")
+    if colon and scheme == "file" and not rest.startswith("//"):
+        return "file://" + rest
+    return path
+
+
 def _open(path: str, mode: str):
-    system, inner = pafs.FileSystem.from_uri(path)
+    system, inner = pafs.FileSystem.from_uri(located(path))
     if mode == "r":
         return system.open_input_file(inner)
     system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
@@ -134,19 +146,23 @@ def parsed(pieces: Iterator[bytes]) -> Iterator[Record]:
         yield Record(headers, block)
 
 
-def classify(pages: DataFrame, least: int, id_col: str, html_col: str) -> DataFrame:
+def classify(pages: DataFrame, least: int, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """``pages`` with ``__digest``, ``__bytes`` and ``__refers``: the first page of an equal payload, for revisits.
 
     The smallest ids are found by a grouped minimum over digests alone, then joined back; a payload that a third of
-    the pages share is one row on the small side, and Spark may split its pages.
+    the pages share is one row on the small side, and Spark may split its pages. Pages below ``least``, which match
+    nothing, are dealt out by themselves: empty ones do not meet in one task.
     """
     raw = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     pages = pages.withColumns({"__digest": F.sha2(raw, 256), "__bytes": F.octet_length(raw).cast("long")})
     large = F.col("__bytes") >= least
+    alone = F.concat(F.lit("-"), F.xxhash64(F.col(id_col), F.col(url_col)).cast("string"))
+    pages = pages.withColumn("__key", F.when(large, F.col("__digest")).otherwise(alone))
     first = pages.filter(large).groupBy("__digest").agg(F.min(id_col).alias("__first"), F.count(F.lit(1)).alias("__n"))
     first = first.filter("__n > 1 AND __first IS NOT NULL").select(F.col("__digest").alias("__same"), "__first")
-    out = pages.join(first, large & (F.col("__digest") == F.col("__same")), "left")
-    return out.withColumn("__refers", F.when(~F.col(id_col).eqNullSafe(F.col("__first")), F.col("__first"))).drop("__same", "__first")
+    out = pages.join(first, F.col("__key") == F.col("__same"), "left")
+    refers = F.when(~F.col(id_col).eqNullSafe(F.col("__first")), F.col("__first"))
+    return out.withColumn("__refers", refers).drop("__same", "__first", "__key")
 
 
 def write_archives(
@@ -170,7 +186,7 @@ def write_archives(
     chosen = pages.select(
         F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")
     )
-    rows = classify(chosen, least, "id", "html").select(
+    rows = classify(chosen, least, "id", "url", "html").select(
         F.col("id").cast("string"), "url", "html", "__digest", F.col("__refers").cast("string")
     )
 
@@ -279,7 +295,9 @@ def _records(rows: dict[str, list]) -> pa.RecordBatch:
 def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Writes ``pages`` as archives below the shared folder, normalises them and reads them back (``RECORDS``).
 
-    ``page_id`` and ``refers_to`` have the type of ``id_col``. An empty table gives no archive and no row.
+    ``page_id`` and ``refers_to`` have the type of ``id_col``. Ties: of equal payloads the smallest id is the response, and
+    all rows that repeat it. A very long page is one record, in the memory of one task. Other columns, of whatever names,
+    are left out. An empty table gives no archive and no row. The archives stay: they are what is made.
     """
     folder = fresh_path(pages.sparkSession, "warc")
     back = read_archives(normalise(write_archives(pages, folder, id_col, url_col, html_col), folder))

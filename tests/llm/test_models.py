@@ -18,6 +18,7 @@ from receiptflow.llm.queries import op6_language_id
 from receiptflow.llm.sentencepiece_codec import Encoder, PieceModel, decode_ids, encode_texts
 from receiptflow.llm.shared import fresh_path
 from receiptflow.llm.words import Words, utf8
+from tests.llm.sql import equals_sql
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
@@ -264,3 +265,12 @@ def test_every_label_is_sampled_and_copies_count_once(spark):
     sample = sample_labelled(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", per_language=300, sample_bytes=2000)
     langs = sample.column("lang").to_pylist()
     assert len(set(langs)) == 71 and langs.count("zz") == 1 and len(langs) == 141
+
+
+def test_paths_of_stores():
+    names = {"s3a://b/x": "s3://b/x", "dbfs:/tmp/x": "file:///dbfs/tmp/x", "file:/a/b": "file:///a/b", "file:///a": "file:///a", "hdfs://n/x": "hdfs://n/x"}
+    assert {k: warc.located(k) for k in names} == names
+
+
+def test_warc_query_equals_its_sql(spark):
+    equals_sql(spark, "op7_warc", "/root/testdata/sf0.001")
