@@ -102,7 +102,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     run, in the order of id, text hash and line, is a repetition. What overlaps or touches is one span. Each step is a
     grouped minimum with partial aggregation or a join on its result, never a list of all places of a fingerprint.
     """
-    lines = line_table(docs, id_col, text_col)
+    lines = written(line_table(docs, id_col, text_col), "lines")
     prints = written(fingerprints(lines, least_words), "line-prints")
     met = written(shared_positions(prints), "line-positions")
     near = written(extended(lines, met, least_words), "line-matches")
@@ -118,7 +118,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans = islands.groupBy(*_DOC, "island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     spans = spans.groupBy(*_DOC).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
     spans = written(spans, "line-spans")
-    for table in (prints, met, near, earliest):
+    for table in (lines, prints, met, near, earliest):
         drop_written(table)
     return spans
 
