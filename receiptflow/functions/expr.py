@@ -40,8 +40,12 @@ def normal_text(description: Column) -> Column:
 
 
 def is_plain(description: Column) -> Column:
-    """Whether ``normal_text`` is beyond doubt: ASCII without rare control characters."""
-    return description.rlike(r"^[\x20-\x7E\t\n\x0B\f\r]*$")
+    """Whether ``normal_text`` is beyond doubt: no letter whose lower case and case folding differ, no rare control character.
+
+    ASCII, Latin, Cyrillic, Thai, kana, Han and Hangul, but for ``ß``, ``µ``, ``İ``, ``ŉ`` and ``ſ``.
+    """
+    ranges = r"\x20-\x7E\t\n\x0B\f\r\u00A1-\u00B4\u00B6-\u00DE\u00E0-\u012F\u0131-\u0148\u014A-\u017E\u0400-\u045F\u0E01-\u0E5B\u3041-\u30FF\u4E00-\u9FFF\uAC00-\uD7A3"
+    return description.rlike(f"^[{ranges}]*$")
 
 
 def mismatch_confidence(actual: Column, expected: Column) -> Column:

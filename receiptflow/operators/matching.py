@@ -74,7 +74,8 @@ def exact_is_enough(items: str, n_results: Column) -> Column:
     )
     texts = lambda i: F.array_sort(F.transform(F.filter(items, lambda x: x["result"] == i), lambda x: x["key"]))
     alike = F.forall(F.sequence(F.lit(0), n_results - 1), lambda i: texts(i) == texts(F.lit(0)))
-    return (F.size(items) == 0) | (plain & (F.when(n_results > 0, alike).otherwise(F.lit(True)) | ~close))
+    # a single result has no item to pair another with
+    return (F.size(items) == 0) | (n_results <= 1) | (plain & (F.when(n_results > 0, alike).otherwise(F.lit(True)) | ~close))
 
 
 @lru_cache(maxsize=100_000)

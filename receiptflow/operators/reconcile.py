@@ -17,14 +17,22 @@ SECTIONS = {"store": schemas.STORE, "receipt": schemas.RECEIPT}
 
 
 def gather(extractions: DataFrame) -> DataFrame:
-    """(receipt_id, results): the candidates of each receipt in order of ``result_index``.
+    """(receipt_id, results): the candidates of each receipt in order of ``result_index``, then ``source``, then content.
 
-    A receipt has a handful of results, so no key is hot. Receipts whose extractors all failed have no row.
+    A receipt has a handful of results, so no key is hot. Receipts whose extractors all failed have no row. Rows without
+    a ``receipt_id`` belong to no receipt; ``check_candidates`` sets them aside.
     """
     one = F.struct("result_index", "source", "candidate", "confidence")
-    gathered = extractions.filter("candidate IS NOT NULL").groupBy("receipt_id").agg(F.collect_list(one).alias("results"))
-    ordered = F.array_sort("results", lambda a, b: a["result_index"] - b["result_index"])
-    return gathered.withColumn("results", ordered)
+    gathered = extractions.filter("candidate IS NOT NULL AND receipt_id IS NOT NULL").groupBy("receipt_id").agg(F.collect_list(one).alias("results"))
+    return gathered.withColumn("results", F.array_sort("results", _in_order))
+
+
+def _in_order(a: Column, b: Column) -> Column:
+    """Which of two results comes first; the content decides between results of one index and source."""
+    out = F.when(a["result_index"] < b["result_index"], -1).when(a["result_index"] > b["result_index"], 1)
+    out = out.when(a["source"] < b["source"], -1).when(a["source"] > b["source"], 1)
+    x, y = (F.to_json(r["candidate"]) for r in (a, b))
+    return out.when(x < y, -1).when(x > y, 1).otherwise(0)
 
 
 def field_confidence(scores: Column, field: str) -> Column:

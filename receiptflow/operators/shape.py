@@ -13,27 +13,29 @@ KNOWN = tuple(f for f in schemas.RECEIPT if f != "extras")
 
 
 def _json_value(name: str, value: Column) -> Column:
-    """A scalar as JSON."""
+    """A scalar as JSON; ``extras`` is JSON already, and null where it is none."""
+    if name == "extras":
+        return F.to_json(F.try_parse_json(value))
     whole = F.to_json(F.struct(value.alias("v")))
-    text = F.substring(whole, F.lit(6), F.length(whole) - 6)
-    return text if name != "extras" else value
+    return F.substring(whole, F.lit(6), F.length(whole) - 6)
 
 
 def split_extras(resolved: DataFrame, flatten: bool = False) -> Column:
     """The fields of ``resolved.receipt`` without a column of their own, as a JSON object; null if there are none.
 
-    An extractor's own ``extras`` is such a field, so it comes out nested under its name; ``flatten`` puts its members
-    beside the other fields instead. Null fields are left out.
+    An extractor's own ``extras`` is such a field, so it comes out nested under its name; ``flatten`` puts the members of
+    an object beside the other fields instead. Null fields, and ``extras`` that are no JSON, are left out.
     """
     r = F.col("receipt")
     names = [f.name for f in resolved.schema["receipt"].dataType.fields if f.name not in (*KNOWN, "id", "store_id", "content_hash", "line_items")]
     parts = []
     for n in names:
-        value = r[f"`{n}`"] if "." in n else r[n]
+        value = _json_value(n, r[f"`{n}`"] if "." in n else r[n])
+        named = F.concat(F.to_json(F.array(F.lit(n))).substr(F.lit(2), F.lit(len(n) + 2)), F.lit(":"), value)
         if n == "extras" and flatten:
-            parts.append(F.nullif(F.regexp_replace(value, r"^\s*\{\s*|\s*\}\s*$", ""), F.lit("")))
-        else:
-            parts.append(F.concat(F.to_json(F.array(F.lit(n))).substr(F.lit(2), F.lit(len(n) + 2)), F.lit(":"), _json_value(n, value)))
+            inside = F.nullif(value.substr(F.lit(2), F.length(value) - 2), F.lit(""))
+            named = F.when(value.startswith("{"), inside).otherwise(named)
+        parts.append(named)
     if not parts:
         return F.lit(None).cast("string")
     body = F.concat_ws(",", *parts)

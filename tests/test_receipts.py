@@ -19,11 +19,11 @@ from receiptflow.operators.validate import validate
 from receiptflow.plans.pipeline import outcome_counts, run_pipeline
 from receiptflow.schemas import EXTRACTION
 
-DAY = datetime.date(2026, 1, 15)
+DAY = datetime.date(2025, 11, 3)
 
 
 def result(rid, index, source="a", items=(), confidence=None, scores=None, store=None, **receipt):
-    base = {"source_image_id": "img_001", "transaction_ref": "INV-2026-0042", "date": DAY, "total": 300.0} | receipt
+    base = {"source_image_id": "till-4.jpg", "transaction_ref": "T/7731", "date": DAY, "total": 84.0} | receipt
     items = [dict(zip(schemas.ITEM, x, strict=True)) for x in items]
     return {
         "receipt_id": rid,
@@ -40,17 +40,17 @@ def failed(rid, index, source="b"):
     return {"receipt_id": rid, "result_index": index, "source": source, "candidate": None, "confidence": None, "failure": row}
 
 
-ITEM = ("Paracetamol 500mg", 2.0, 150.0, 300.0)
+ITEM = ("Jasmine rice 5kg", 2.0, 42.0, 84.0)
 CASES = {
     "one": ([result("one", 0, items=[ITEM])], []),
     "agree": ([result("agree", k, s, [ITEM]) for k, s in enumerate("abc")], []),
     "total": (
-        [result("total", 0, "a", [ITEM], {"total": 0.9}), result("total", 1, "b", [ITEM], {"total": 0.4}, total=310.0)],
-        [("total", "a", "300.0", 0.9, None), ("total", "b", "310.0", 0.4, None)],
+        [result("total", 0, "a", [ITEM], {"total": 0.9}), result("total", 1, "b", [ITEM], {"total": 0.4}, total=94.0)],
+        [("total", "a", "84.0", 0.9, None), ("total", "b", "94.0", 0.4, None)],
     ),
     "majority": (
         [result("majority", 0, "a", [ITEM]), result("majority", 1, "b", [ITEM]), result("majority", 2, "c", [ITEM], total=999.0)],
-        [("total", "a", "300.0", 0.0, None), ("total", "b", "300.0", 0.0, None), ("total", "c", "999.0", 0.0, None)],
+        [("total", "a", "84.0", 0.0, None), ("total", "b", "84.0", 0.0, None), ("total", "c", "999.0", 0.0, None)],
     ),
     "absent": (
         [result("absent", 0, "a", [ITEM], store={"phone": "5"}), result("absent", 1, "b", [ITEM])],
@@ -61,33 +61,33 @@ CASES = {
         [("quantity", "a", "2.0", 0.0, "line item 1"), ("quantity", "b", "3.0", 0.0, "line item 1")],
     ),
     "missing": (
-        [result("missing", 0, "a", [ITEM, ("Bandages", 1.0, 5.0, 5.0)], scores=[{}, {"description": 0.7}]), result("missing", 1, "b", [ITEM])],
-        [("missing_line_item", "b", None, 0.0, "line item 2"), ("line_item", "a", "Bandages", 0.7, "line item 2")],
+        [result("missing", 0, "a", [ITEM, ("Lamp oil", 1.0, 5.0, 5.0)], scores=[{}, {"description": 0.7}]), result("missing", 1, "b", [ITEM])],
+        [("missing_line_item", "b", None, 0.0, "line item 2"), ("line_item", "a", "Lamp oil", 0.7, "line item 2")],
     ),
     "typo": (
-        [result("typo", 0, "a", [ITEM]), result("typo", 1, "b", [("Paracetmol 500mg", *ITEM[1:])])],
-        [("description", "a", "Paracetamol 500mg", 0.0, "line item 1"), ("description", "b", "Paracetmol 500mg", 0.0, "line item 1")],
+        [result("typo", 0, "a", [ITEM]), result("typo", 1, "b", [("Jasmin rice 5kg", *ITEM[1:])])],
+        [("description", "a", "Jasmine rice 5kg", 0.0, "line item 1"), ("description", "b", "Jasmin rice 5kg", 0.0, "line item 1")],
     ),
     "near": (
-        [result("near", 0, "a", [("Milk", 1.0, 1.0, 1.0)]), result("near", 1, "b", [("Mild", 1.0, 1.0, 1.0)])],
+        [result("near", 0, "a", [("Salt", 1.0, 1.0, 1.0)]), result("near", 1, "b", [("Malt", 1.0, 1.0, 1.0)])],
         [
             ("missing_line_item", "b", None, 0.0, "line item 1"),
-            ("line_item", "a", "Milk", 0.0, "line item 1"),
+            ("line_item", "a", "Salt", 0.0, "line item 1"),
             ("missing_line_item", "a", None, 0.0, "line item 2"),
-            ("line_item", "b", "Mild", 0.0, "line item 2"),
+            ("line_item", "b", "Malt", 0.0, "line item 2"),
         ],
     ),
     "order": ([result("order", 0, "a", [ITEM, ("Soap", 1.0, 1.0, 1.0)]), result("order", 1, "b", [("Soap", 1.0, 1.0, 1.0), ITEM])], []),
     "twice": (
         [
-            result("twice", 0, "a", [("Cola", 1.0, 2.0, 2.0), ("Cola", 2.0, 2.0, 4.0)]),
-            result("twice", 1, "b", [("Cola", 1.0, 2.0, 2.0), ("Cola", 3.0, 2.0, 4.0)]),
+            result("twice", 0, "a", [("Soda", 1.0, 2.0, 2.0), ("Soda", 2.0, 2.0, 4.0)]),
+            result("twice", 1, "b", [("Soda", 1.0, 2.0, 2.0), ("Soda", 3.0, 2.0, 4.0)]),
         ],
         [("quantity", "a", "2.0", 0.0, "line item 2"), ("quantity", "b", "3.0", 0.0, "line item 2")],
     ),
     "same_name": (
         [result("same_name", 0, "a", [ITEM]), result("same_name", 1, "a", [])],
-        [("missing_line_item", "a", None, 0.0, "line item 1"), ("line_item", "a", "Paracetamol 500mg", 0.0, "line item 1")],
+        [("missing_line_item", "a", None, 0.0, "line item 1"), ("line_item", "a", "Jasmine rice 5kg", 0.0, "line item 1")],
     ),
     "partial": (
         [result("partial", 0, "a", [ITEM]), result("partial", 1, "b", [(ITEM[0], 3.0, *ITEM[2:])]), result("partial", 2, "c", [])],
@@ -143,7 +143,7 @@ def plain_groups(results):
     return out
 
 
-NAMES = ["paracetamol 500mg", "paracetmol 500mg", "Paracetamol 50mg ", "milk", "mild", "straße 10 in der stadt", "STRASSE 10 in der stadt", "old ring 12", "cold ring 12"]
+NAMES = ["jasmine rice 5kg", "jasmin rice 5kg", "Jasmine rice 50kg ", "salt", "malt", "straße 10 in der stadt", "STRASSE 10 in der stadt", "old ring 12", "cold ring 12"]
 
 
 def test_matching_equals_greedy_on_random_receipts(spark):
@@ -180,12 +180,16 @@ def test_checks(spark):
     holed = result("holed", 0, store={"name": None})
     uneven = result("uneven", 0, items=[ITEM, ITEM], scores=[{}])
     nothing = failed("nothing", 0) | {"failure": None}
-    df = spark.createDataFrame([result("ok", 0, items=[ITEM]), nan, holed, uneven, nothing, failed("f", 0)], EXTRACTION)
+    nobody = [result(None, 0), failed(None, 0), result("x", None), result("y", 0, source=None), result("z", 0, extras="{no")]
+    df = spark.createDataFrame([result("ok", 0, items=[ITEM]), nan, holed, uneven, nothing, failed("f", 0), *nobody], EXTRACTION)
     fine, odd = check_candidates(df)
     assert {r.receipt_id for r in fine.collect()} == {"ok", "uneven", "f"}
-    assert {r.receipt_id: r.errors for r in odd.collect()}["holed"] == ["store.name is required"]
+    errors = {r.receipt_id or r.candidate is None: r.errors for r in odd.collect()}
+    assert errors["holed"] == ["store.name is required"] and errors["nothing"] == ["neither a candidate nor a failure"]
+    assert errors[False] == errors[True] == ["receipt_id is required"] and errors["z"] == ["receipt.extras is no JSON"]
+    assert errors["x"] == ["result_index is required"] and errors["y"] == ["source is required"]
     fine, odd = check_confidence_alignment(fine)
-    assert "2 line item(s) but 1" in odd.collect()[0].errors[0] and fine.count() == 2
+    assert odd.collect()[0].errors == ["a: line items and maps of scores differ in number, 2 to 1"] and fine.count() == 2
     with pytest.raises(Exception, match="line item"):
         check_confidence_alignment(df.filter("receipt_id = 'uneven'"), "failfast")[0].collect()
     reviews = spark.createDataFrame([("1", "r", "total", "a", 1.5, "low_confidence", "done")], "id string, receipt_id string, field_name string, extractor_source string, confidence_score double, flagged_reason string, status string")
@@ -199,8 +203,8 @@ def test_shape_gate_and_extras(spark):
     row = shape(df.filter(shapeable(df, "any_conflict"))).collect()[0]
     assert row.record.extras == '{"extras":{"points":50}}' and row["items"][0].line_order == 1 and len(row.record.content_hash) == 64
     assert df.select(split_extras(df, flatten=True).alias("e"), "receipt_id").filter("receipt_id = 'x'").collect()[0].e == '{"points":50}'
-    wider = df.withColumn("receipt", F.col("receipt").withField("loyalty", F.lit(7)))
-    assert wider.select(split_extras(wider).alias("e"), "receipt_id").filter("receipt_id = 'y'").collect()[0].e == '{"loyalty":7}'
+    wider = df.withColumn("receipt", F.col("receipt").withField("bonus", F.lit(7)))
+    assert wider.select(split_extras(wider).alias("e"), "receipt_id").filter("receipt_id = 'y'").collect()[0].e == '{"bonus":7}'
 
 
 def test_duplicates_and_errors(spark):

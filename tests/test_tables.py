@@ -1,0 +1,169 @@
+"""Reading results and images, running extractors, the stored tables, the stream, and running a batch again."""
+
+import json
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from receiptflow import schemas
+from receiptflow.operators.load import build_payload
+from receiptflow.operators.matching import match_items
+from receiptflow.operators.reconcile import gather
+from receiptflow.operators.report import clean_share, review_summary, stored_form
+from receiptflow.operators.shape import split_extras
+from receiptflow.plans.pipeline import run_pipeline
+from receiptflow.schemas import EXTRACTION
+from receiptflow.sources.extractions import collect_documents, explode_documents, read_extractions, read_images, run_extractors, split_results
+from receiptflow.sources.tables import read_table, write_tables
+from receiptflow.streaming.ingest import ingest_batch, stream_ingest
+from receiptflow.workspace import shared_folder
+from tests.test_receipts import CASES, ITEM, failed, result
+
+
+def test_json_lines(spark, tmp_path):
+    good = json.dumps(result("r", 0, items=[ITEM], total=84.0) | {"unknown": 1}, default=str)
+    (tmp_path / "x.json").write_text("\n".join([good, "", "{broken", '{"receipt_id": ["no text"], "result_index": "one"}', json.dumps(failed("f", 1))]))
+    rows, corrupt = read_extractions(spark, str(tmp_path))
+    assert {r.receipt_id: r.source for r in rows.collect()} == {"r": "a", "f": "b"} and rows.schema.names == EXTRACTION.names
+    assert corrupt.count() == 2
+    rows.write.parquet(f"{tmp_path}/p")
+    again, none = read_extractions(spark, f"{tmp_path}/p", "parquet")
+    assert again.count() == 2 and none.count() == 0
+
+
+def by_name(batches):
+    for x in batches:
+        text = [bytes(c).decode() for c in x["content"]]
+        make = lambda t: {"store": {"name": t, "address": "a"}, "receipt": dict.fromkeys(schemas.RECEIPT), "line_items": []}
+        yield pd.DataFrame({"receipt_id": x["image_id"], "candidate": [make(t) for t in text], "confidence": None, "failure": None})
+
+
+def failing(batches):
+    row = dict.fromkeys(schemas.FAILURE.names) | {"flagged_reason": "extraction_failed"}
+    for x in batches:
+        yield pd.DataFrame({"receipt_id": x["image_id"], "candidate": None, "confidence": None, "failure": [row] * len(x)})
+
+
+@pytest.mark.parametrize(("extractors", "kinds"), [([], []), ([by_name], [True]), ([failing], [False]), ([failing, by_name, failing], [False, True, False])])
+def test_images_through_extractors(spark, tmp_path, extractors, kinds):
+    for k in range(3):
+        (tmp_path / f"{k}.jpg").write_text(f"shop {k}")
+    (tmp_path / "note.txt").write_text("no image")
+    rows = run_extractors(read_images(spark, str(tmp_path), "*.jpg"), [(f.__name__ + str(i), f) for i, f in enumerate(extractors)])
+    results, failures = split_results(rows)
+    got = sorted((r.receipt_id.rsplit("/", 1)[1], r.result_index, r.candidate.store.name) for r in results.collect())
+    assert got == sorted((f"{k}.jpg", i, f"shop {k}") for k in range(3) for i, good in enumerate(kinds) if good)
+    assert failures.count() == 3 * kinds.count(False)
+
+
+def test_documents_round_trip(spark):
+    rows = spark.createDataFrame([r for results, _ in CASES.values() for r in results] + [failed("one", 1)], EXTRACTION)
+    back = explode_documents(collect_documents(rows))
+    key = lambda df: sorted((r.receipt_id, r.result_index, r.source, str(r.candidate)) for r in df.collect())
+    assert key(back) == key(rows)
+
+
+def batch(spark, total=84.0):
+    rows = [result("p", 0, items=[ITEM], total=total), result("q", 0, items=[ITEM], total=total), result("s", 0, items=[ITEM], transaction_ref="other"), failed("s", 1)]
+    return spark.createDataFrame(rows, EXTRACTION)
+
+
+def state(spark, path):
+    names = {"receipts": ("id", "total"), "stores": ("name", "address"), "outcomes": ("receipt_id", "status"), "line_items": ("receipt_id", "description"), "extraction_reviews": ("receipt_id", "field_name")}
+    return {n: sorted(map(tuple, read_table(spark, path, n).select(*c).collect())) for n, c in names.items()}
+
+
+def test_batches_again_and_uncommitted(spark, tmp_path):
+    path = f"{tmp_path}/tables"
+    docs = collect_documents(batch(spark))
+    ingest_batch(docs, path, "00000000")
+    first = state(spark, path)
+    assert first["receipts"] == [("p", 84.0), ("s", 84.0)] and ("q", "duplicate") in first["outcomes"] and first["extraction_reviews"] == [("s", "receipt")]
+    ingest_batch(docs, path, "00000000")
+    assert state(spark, path) == first
+    # another batch of the same receipts makes nothing new, and stays unseen until it is committed
+    done = run_pipeline(batch(spark), read_table(spark, path, "receipts"), read_table(spark, path, "stores"))
+    assert {r.status for r in done.outcomes.collect()} == {"duplicate"} and done.new_stores.count() == 0
+    write_tables(done.bundle, done.outcomes, done.new_stores, path, "1")
+    assert len(read_table(spark, path, "outcomes").collect()) == 6
+    for file in (tmp_path / "tables" / "commits" / "batch_id=batch-1").iterdir():
+        file.unlink()
+    assert state(spark, path) == first
+
+
+def test_missing_and_broken_tables(spark, tmp_path):
+    assert read_table(spark, str(tmp_path), "receipts", "id string, content_hash string").count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_table(spark, str(tmp_path), "receipts")
+    for n in ("receipts", "commits"):
+        (tmp_path / n).mkdir()
+        (tmp_path / n / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match=r"(?s)CANNOT_READ_FILE_FOOTER|not a Parquet|FAILED_READ_FILE|footer"):
+        read_table(spark, str(tmp_path), "receipts", "id string").count()
+
+
+def test_stream_of_documents(spark, tmp_path):
+    collect_documents(batch(spark)).write.json(f"{tmp_path}/in/a")
+    run = lambda: stream_ingest(spark, f"{tmp_path}/in/*", f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+    run()
+    run()
+    assert [x[0] for x in state(spark, f"{tmp_path}/t")["receipts"]] == ["p", "s"]
+    later = batch(spark).withColumn("receipt_id", F.concat(F.lit("z"), "receipt_id"))
+    collect_documents(later).write.json(f"{tmp_path}/in/b")
+    run()
+    got = state(spark, f"{tmp_path}/t")
+    assert [x[0] for x in got["receipts"]] == ["p", "s"] and ("zp", "duplicate") in got["outcomes"]
+
+
+def test_payload_and_reports(spark):
+    done = run_pipeline(batch(spark))
+    sent = {r.receipt_id: json.loads(r.payload) for r in build_payload(done.bundle.shaped, done.bundle.reviews).collect()}
+    assert set(sent["p"]) == {"store", "receipt"} and set(sent["s"]) == {"store", "receipt", "extraction_reviews"}
+    assert "id" not in sent["p"]["store"] and sent["p"]["receipt"]["line_items"][0]["line_order"] == 1
+    assert sent["s"]["extraction_reviews"][0]["flagged_reason"] == "extraction_failed"
+    assert [tuple(r) for r in review_summary(done.bundle.reviews).collect()] == [("b", "extraction_failed", "receipt", 1, 1, 0.0)]
+    assert clean_share(done.validated, done.bundle.reviews).collect()[0][:2] == (3, 2)
+    stored = stored_form(done.bundle.receipts, done.bundle.line_items, done.bundle.stores.drop("receipt_id").distinct())
+    assert {r.receipt_id: (r.store.name, r.receipt.total, len(r.line_items)) for r in stored.collect()} == {k: ("Shop", 84.0, 1) for k in "pqs"}
+
+
+def test_order_does_not_depend_on_arrival(spark):
+    """Results of one index and source are put in order by their content."""
+    rows = [result("r", 0, "a", [ITEM], total=t) for t in (1.0, 2.0, 3.0)] + [result("r", 0, "Z", [ITEM])]
+    seen = []
+    for k in (1, -1):
+        got = gather(spark.createDataFrame(rows[::k], EXTRACTION).coalesce(1)).collect()[0].results
+        seen.append([(r.source, r.candidate.receipt.total) for r in got])
+    assert seen[0] == seen[1] == [("Z", 84.0), ("a", 1.0), ("a", 2.0), ("a", 3.0)]
+
+
+def test_descriptions_of_many_scripts_need_no_helper(spark):
+    plain = ["Käse Größe".replace("ß", "ss"), "ข้าวหอม", "お茶", "Хлеб", "Crème brûlée"]
+    rows = [result(f"p{i}", k, s, [(t, 1.0, 1.0, 1.0)]) for i, t in enumerate(plain) for k, s in enumerate("ab")]
+    rows += [result("odd", k, s, [("Straße", 1.0, 1.0, 1.0)]) for k, s in enumerate("ab")] + [result("one", 0, "a", [("Straße", 1.0, 1.0, 1.0)])]
+    got = {r.receipt_id: (r.exact, r.group_of) for r in match_items(gather(spark.createDataFrame(rows, EXTRACTION))).collect()}
+    assert got == {f"p{i}": (True, [1, 1]) for i in range(len(plain))} | {"odd": (False, [1, 1]), "one": (True, [1])}
+
+
+def test_extras_of_any_shape(spark):
+    values = ['{"a": 1}', "[1, 2]", "{}", "{broken", None, '"x"']
+    df = spark.createDataFrame([(k, (v,)) for k, v in enumerate(values)], "k int, receipt struct<extras:string>")
+    got = df.select("k", split_extras(df).alias("n"), split_extras(df, flatten=True).alias("f")).orderBy("k").collect()
+    assert [r.n for r in got] == ['{"extras":{"a":1}}', '{"extras":[1,2]}', '{"extras":{}}', None, None, '{"extras":"x"}']
+    assert [r.f for r in got] == ['{"a":1}', '{"extras":[1,2]}', None, None, None, '{"extras":"x"}']
+
+
+def test_no_local_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
