@@ -458,16 +458,18 @@ def jaccard_groups(
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, without near copies: one row of each class of ``jaccard_groups`` stays.
 
-    It is the one of the least id; of rows that repeat this id and its words an arbitrary one, which may differ from
-    the others in further columns only. Texts without words all stay.
+    It is the one of the least id; of rows that repeat this id and its words, the one with the least hash of its columns
+    (maps aside). Texts without words all stay. Columns named ``__key``, ``__kept`` or ``__id`` go.
     """
     groups = jaccard_groups(docs, id_col, text_col, **options).filter("kept AND key IS NOT NULL").select("key", id_col).distinct()
     groups = groups.select(F.col("key").alias("__kept"), F.col(id_col).alias("__id"))
-    keyed = with_key(docs, text_col)
+    keyed = with_key(without(docs, ["__key", "__kept", "__id"]), text_col)
+    columns = [F.col(f"`{c.replace('`', '``')}`") for c in keyed.columns if c != "__key"]
+    hashed = [c for c, f in zip(columns, keyed.schema.fields, strict=False) if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
     same = (F.col("__key") == F.col("__kept")) & F.col(id_col).eqNullSafe(F.col("__id"))
-    stay = keyed.filter("__key IS NOT NULL").join(groups, same).dropDuplicates(["__key", "__id"])
-    blank = keyed.filter("__key IS NULL").drop("__key")
-    return without(stay, ["__key", "__kept", "__id"]).unionByName(blank)
+    stay = keyed.filter("__key IS NOT NULL").join(groups, same)
+    stay = stay.groupBy("__key", "__id").agg(F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("row")).select("row.*")
+    return stay.unionByName(keyed.filter("__key IS NULL").drop("__key"))
 
 
 def class_name(key: Column) -> Column:

@@ -45,16 +45,19 @@ def add_columns(
     """
     ship_package(df.sparkSession)
     kept = without(df, [f.name for f in fields])
-    schema = T.StructType([*kept.schema.fields, *fields])
+    names = kept.columns
+    # mapInArrow does not take names with dots, so columns go through under plain ones
+    plain = [T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate([*kept.schema.fields, *fields])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            for block in blocks(batch, weigh, block_bytes):
+            for block in blocks(batch.rename_columns(names), weigh, block_bytes):
                 new = compute(block)
-                yield pa.RecordBatch.from_arrays([*block.columns, *new], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*block.columns, *new], names=[f.name for f in plain])
 
-    return kept.mapInArrow(run, schema)
+    moved = kept.toDF(*[f.name for f in plain[: len(names)]]).mapInArrow(run, T.StructType(plain))
+    return moved.toDF(*names, *[f.name for f in fields])
 
 
 def blocks(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:

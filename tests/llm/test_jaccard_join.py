@@ -163,3 +163,10 @@ def test_components_of_chains(spark, n):
     edges = [(b"a%03d" % i, b"a%03d" % (i + 1)) for i in range(n)] + [(b"z1", b"z0"), (b"z0", b"z0")]
     got = {bytes(r.key): bytes(r.label) for r in components(spark.createDataFrame(edges, "a binary, b binary")).collect()}
     assert got == {**{b"a%03d" % i: b"a000" for i in range(n + 1)}, b"z0": b"z0", b"z1": b"z0"}
+
+
+def test_rows_of_one_id_and_words_have_an_order(spark):
+    rows = [(1, "some words of a text here", x, {"k": x}) for x in ("b", "a", "c")] + [(2, "Some words, of a text here", "d", None)]
+    schema = "doc_id long, text string, `x.y` string, m map<string,string>"
+    seen = {keep_one_of_each(spark.createDataFrame(rows[::k], schema).repartition(n)).collect()[0][2] for k in (1, -1) for n in (1, 3)}
+    assert len(seen) == 1
