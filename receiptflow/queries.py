@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -158,7 +159,7 @@ def s1_read_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     extractions_from_orders(spark, sf_dir).withColumn("unknown", F.lit("dropped")).write.json(path)
     rows, corrupt = read_extractions(spark, path)
     rows = rows.select("receipt_id", "result_index", "source", "candidate.receipt.total", F.col("confidence.receipt")["total"].alias("total_confidence"))
-    return rows.crossJoin(F.broadcast(corrupt.agg(F.count(F.lit(1)).cast("int").alias("n_corrupt"))))
+    return rows.withColumn("n_corrupt", F.lit(corrupt.count()))
 
 
 def _reader(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -271,11 +272,29 @@ def t1_check_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd.select("receipt_id", "result_index", F.concat_ws("; ", "errors").alias("errors"))
 
 
-@query(SHAPED_SQL + """
-SELECT receipt_id AS id, concat_ws('; ', CASE WHEN k % 3 = 0 THEN 'total is required' END) AS errors FROM passing""")
+@query(SHAPED_SQL + f"""
+SELECT 'receipt' AS kind, receipt_id AS id, CASE WHEN k % 3 = 0 THEN 'total is required' ELSE '' END AS errors FROM passing
+UNION ALL SELECT 'store', store_id, CASE WHEN k % 5 = 0 THEN 'address is required' ELSE '' END FROM passing
+UNION ALL SELECT 'line_item', (SELECT {_UUID} FROM (SELECT sha256('=item' || chr(31) || '=' || i.receipt_id || chr(31) || '=' || i.pos) AS h)),
+  concat_ws('; ', CASE WHEN i.k % 7 = 0 THEN 'description is required' END, CASE WHEN i.k % 2 = 0 THEN 'line_order is required' END)
+FROM items0 i SEMI JOIN passing USING (receipt_id)
+UNION ALL SELECT 'review', (SELECT {_UUID} FROM (SELECT sha256('=' || receipt_id || chr(31) || '=extract' || chr(31) || '=1') AS h)),
+  concat_ws('; ', CASE WHEN k % 2 = 0 THEN 'confidence_score is not between 0 and 1' END, CASE WHEN k % 3 = 0 THEN 'flagged_reason is unknown' END,
+            CASE WHEN k % 5 = 0 THEN 'status is unknown' END) FROM failures""")
 def t2_check_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _shaped(spark, sf_dir).select("k", "record.*").withColumn("total", F.when(F.col("k") % 3 != 0, F.col("total")))
-    return check_records(rows, "receipt").select("id", F.concat_ws("; ", "errors").alias("errors"))
+    shaped, k = _shaped(spark, sf_dir), F.col("k")
+    none = lambda every, name: F.when(k % every != 0, F.col(name))
+    receipts = shaped.select("k", "record.*").withColumn("total", none(3, "total"))
+    stores = shaped.select("k", "store.*").withColumn("address", none(5, "address"))
+    items = shaped.select("k", F.explode("items").alias("i")).select("k", "i.*")
+    items = items.withColumns({"description": none(7, "description"), "line_order": none(2, "line_order")})
+    _, failures = split_results(extractions_from_orders(spark, sf_dir))
+    reviews = failure_reviews(failures).withColumn("k", F.regexp_replace("receipt_id", "-2$", "").cast("long"))
+    odd = {"confidence_score": (2, 1.5), "flagged_reason": (3, "no reason"), "status": (5, "no status")}
+    reviews = reviews.withColumns({c: F.when(k % every == 0, F.lit(v)).otherwise(F.col(c)) for c, (every, v) in odd.items()})
+    tables = {"receipt": receipts, "store": stores, "line_item": items, "review": reviews}
+    rows = [check_records(df, kind).select(F.lit(kind).alias("kind"), "id", F.concat_ws("; ", "errors").alias("errors")) for kind, df in tables.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("""
@@ -524,11 +543,12 @@ def h3_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passing.select("receipt_id", sid.alias("store_id"), content_hash(sid, r["transaction_ref"], r["date"], r["total"]).alias("content_hash"))
 
 
-@query(SHAPED_SQL + """
-SELECT r.receipt_id, p.receipt_id IS NOT NULL AS passed FROM res0 r LEFT JOIN passing p ON p.receipt_id = r.receipt_id""")
+@query(SHAPED_SQL + FIELD_REVIEWS_SQL + """
+SELECT r.receipt_id, p.receipt_id IS NOT NULL AS passed, p.receipt_id IS NOT NULL AND NOT total_off AND NOT phone_off AS passed_strictly
+FROM res0 r JOIN disputed USING (receipt_id) LEFT JOIN passing p ON p.receipt_id = r.receipt_id""")
 def h4_shapeable(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _resolved(spark, sf_dir)
-    return df.select("receipt_id", shapeable(df).alias("passed"))
+    return df.select("receipt_id", shapeable(df).alias("passed"), shapeable(df, "any_conflict").alias("passed_strictly"))
 
 
 @query(SHAPED_SQL + f"""
