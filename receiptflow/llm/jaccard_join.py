@@ -384,6 +384,7 @@ def components(edges: DataFrame) -> DataFrame:
         drop_written(now)
         now = new.select("key", "label")
         if not changed:
+            drop_written(both)
             return now
 
 
@@ -442,6 +443,8 @@ def jaccard_groups(
         ),
         "classes",
     )
+    for table in (nodes, near, sets, links, labels):
+        drop_written(table)
     out = rows.select("id", "key").join(joined, F.col("key") == F.col("k"), "left")
     alone = F.col("key").isNull()
     return out.select(
