@@ -18,16 +18,21 @@ from receiptflow.llm.sentencepiece_codec import encode_texts
 from receiptflow.llm.shared import written
 
 
+def _only(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """These columns of ``docs``, whatever characters their names have."""
+    return docs.select(*[F.col(f"`{c.replace('`', '``')}`") for c in columns])
+
+
 def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
     """``columns`` of ``docs`` with the text from the column ``text``, and its length where there is one for it."""
     new = {"text": F.col(text)} | ({"n_chars": F.length(text).cast("long")} if "n_chars" in columns else {})
-    return docs.withColumns(new).select(*columns)
+    return _only(docs.withColumns(new), columns)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language, under the predicted one; those without a text or a letter in it go."""
     found = identify(docs, docs).filter("lang_pred <> 'und'")
-    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return _only(found.withColumn("lang", F.col("lang_pred")), docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +44,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return keep_one_of_each(docs).select(*docs.columns)
+    return _only(keep_one_of_each(docs), docs.columns)
 
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,6 +73,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to the table ``documents`` of ``sf_dir``, each on all that the one before kept.
+
+    Documents with a null or empty text, or without a letter, go in the first stage. Rows with equal id and text are one
+    document to line dedup and leave one row in the near-copy stage; so do equal texts under several ids, under the least.
+    A null id stays a document of its own and comes last where ids are ordered. Very long texts are read whole. Further
+    columns go through all stages but the last, unless an operator uses their names on the way. An empty table gives an
+    empty one.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
