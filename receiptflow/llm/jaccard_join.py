@@ -12,6 +12,7 @@ in front of the exact one, with the target recall, however deep its bucket lies;
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator
 from functools import reduce
 from hashlib import blake2b
@@ -462,17 +463,18 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``docs``, all columns, without near copies: one row of each class of ``jaccard_groups`` stays.
 
     It is the one of the least id; of rows that repeat this id and its words, the one with the least hash of its columns
-    (maps aside). Texts without words all stay. Columns named ``__key``, ``__kept`` or ``__id`` go.
+    (maps aside). Texts without words all stay.
     """
     groups = jaccard_groups(docs, id_col, text_col, **options).filter("kept AND key IS NOT NULL").select("key", id_col).distinct()
-    groups = groups.select(F.col("key").alias("__kept"), F.col(id_col).alias("__id"))
-    keyed = with_key(without(docs, ["__key", "__kept", "__id"]), text_col)
-    columns = [F.col(f"`{c.replace('`', '``')}`") for c in keyed.columns if c != "__key"]
-    hashed = [c for c, f in zip(columns, keyed.schema.fields, strict=False) if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
-    same = (F.col("__key") == F.col("__kept")) & F.col(id_col).eqNullSafe(F.col("__id"))
-    stay = keyed.filter("__key IS NOT NULL").join(groups, same)
-    stay = stay.groupBy("__key", "__id").agg(F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("row")).select("row.*")
-    return stay.unionByName(keyed.filter("__key IS NULL").drop("__key"))
+    groups = groups.toDF("kept", "kept_id")
+    columns = [f"c{i}" for i in range(len(docs.columns))]  # names that clash with none
+    plain = docs.toDF(*columns)
+    own_id = F.col(columns[docs.columns.index(id_col)])
+    keyed = with_key(plain, columns[docs.columns.index(text_col)], "key")
+    hashed = [f.name for f in plain.schema.fields if not re.search(r"map<|variant", f.dataType.simpleString())]
+    stay = keyed.filter("key IS NOT NULL").join(groups, (F.col("key") == F.col("kept")) & own_id.eqNullSafe(F.col("kept_id")))
+    stay = stay.groupBy("key", own_id.alias("id")).agg(F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("row")).select("row.*")
+    return stay.unionByName(keyed.filter("key IS NULL").select(*columns)).toDF(*docs.columns)
 
 
 def class_name(key: Column) -> Column:

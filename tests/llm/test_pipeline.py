@@ -76,3 +76,18 @@ def test_run_and_empty(spark, folder, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_odd_rows_and_columns(spark, tmp_path):
+    """Null ids and texts, repeated rows, equal texts under two ids, a very long text, columns named like inner ones."""
+    long = " ".join(f"word{i} of a long text" for i in range(20_000))
+    rows = [(1, "One text of some words here."), (1, "One text of some words here."), (2, "one text, of some words here"), (None, "A text without any id."), (3, None), (4, "12 34"), (5, long)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "1L AS n_chars", "1 AS __key", "2 AS `a.b`", "3 AS ids")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "unlike anything")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        docs = written(stage(spark, docs, str(tmp_path)), "test-odd")
+        assert docs.columns == table.columns
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.n_chars) for r in got) == [(0, 22), (1, 28), (5, len(long))] and all(r.round_trip for r in got)
