@@ -176,7 +176,7 @@ def decontaminate(
     Different item texts come to the driver in blocks of about ``block_bytes`` of texts and ids, each with its own
     automaton, so what is broadcast has a bound. One block is met in the scan of ``docs``; of several, each is a round
     whose result is written to the shared folder before the next, so a task never holds two.
-    A null text has no words and stays null; very long texts are one row of a batch, read in linear time; items that are null or without words match nothing; a null item id is
+    Items of equal text are all named, sorted as strings. A null text has no words and stays null; very long texts are one row of a batch, read in linear time; items that are null or without words match nothing; a null item id is
     reported as ``null``; repeated rows get the same result; either table may be empty; input columns named like
     outputs are replaced.
     """

@@ -15,7 +15,7 @@ import math
 import re
 from collections.abc import Callable, Iterator
 from functools import reduce
-from hashlib import blake2b
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -82,8 +82,8 @@ def runs_for(similarity: float, recall: float) -> int:
 
 
 def _keys(words: Words) -> list[bytes | None]:
-    """128-bit names (BLAKE2) of the rows' word sequences; none for a row without words."""
-    return [None if x is None else blake2b(x, digest_size=16).digest() for x in words.texts()]
+    """128 bits of the SHA-256 of the rows' words as their names; none for a row without words."""
+    return [None if x is None else sha256(x).digest()[:16] for x in words.texts()]
 
 
 def _sketches(values: np.ndarray, rows: np.ndarray) -> pa.Array:

@@ -184,8 +184,9 @@ def laid_out(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray
     return np.where(at < end[None, :], data[np.minimum(at, len(data) - 1)].astype(np.int16), np.int16(PAD))
 
 
-def pooled(network: Network, data: np.ndarray, offsets: np.ndarray, rows: int = 1024) -> np.ndarray:
-    """Probabilities of each text summed over its bytes: texts x languages."""
+def pooled(network: Network, data: np.ndarray, offsets: np.ndarray, rows: int | None = None) -> np.ndarray:
+    """Probabilities of each text summed over its bytes: texts x languages; ``rows`` windows side by side."""
+    rows = rows or max(64, 4096 // max(4, len(network.languages)))
     text, begin, end, first, past = windows(offsets)
     out = np.zeros((len(offsets) - 1, len(network.languages)))
     order = np.argsort(end - begin, kind="stable")

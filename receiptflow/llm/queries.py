@@ -249,6 +249,19 @@ items_hit AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS ids FROM hits GROUP
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
        sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(w) AS contaminated
 FROM docs d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)""",
+    "op5_jaccard_join": rf"""
+WITH RECURSIVE docs AS (SELECT doc_id, w, CASE WHEN len(w) > 0 THEN sha256(array_to_string(w, ' '))[1:32] END AS key FROM (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents)),
+nodes AS MATERIALIZED (SELECT key, any_value(w) AS w, min(doc_id) AS id, count(*) AS n_copies FROM docs WHERE key IS NOT NULL GROUP BY key),
+grams AS MATERIALIZED (SELECT DISTINCT key, array_to_string(w[p : p + 4], ' ') AS gram FROM (SELECT key, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS p FROM nodes)),
+sizes AS (SELECT key, count(*) AS n FROM grams GROUP BY key),
+shared AS (SELECT a.key AS x, b.key AS y, count(*) AS n FROM grams a JOIN grams b ON a.gram = b.gram AND a.key <> b.key GROUP BY a.key, b.key),
+links AS MATERIALIZED (SELECT x, y FROM shared s JOIN sizes a ON a.key = x JOIN sizes b ON b.key = y WHERE 5 * s.n >= 4 * (a.n + b.n - s.n)),
+reached(key, other) AS (SELECT key, key FROM nodes UNION SELECT r.key, l.y FROM reached r JOIN links l ON l.x = r.other),
+classes AS (SELECT r.key, min(n.id) AS class_id FROM reached r JOIN nodes n ON n.key = r.other GROUP BY r.key),
+counts AS (SELECT x AS key, count(*) AS n FROM links GROUP BY x)
+SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id, d.key AS text_key, coalesce(l.n, 0)::BIGINT AS n_links, coalesce(n.n_copies, 1)::BIGINT AS n_copies,
+       coalesce(c.class_id, d.doc_id) = d.doc_id AS kept
+FROM docs d LEFT JOIN nodes n ON n.key = d.key LEFT JOIN classes c ON c.key = d.key LEFT JOIN counts l ON l.key = d.key""",
     "op7_warc": """
 WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 firsts AS (SELECT payload_digest, min(page_id) AS first FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest)

@@ -2,7 +2,7 @@
 
 import random
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from receiptflow.llm import jaccard_join
 from receiptflow.llm.jaccard_join import components, jaccard_groups, keep_one_of_each, recall_of, runs_for
+from tests.llm.sql import equals_sql
 
 WORD = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
 
@@ -105,25 +106,6 @@ def test_texts_that_fool_polynomial_hashes(spark):
     assert {r.doc_id: r.class_id for r in jaccard_groups(rows).collect()} == {1: 1, 2: 2, 3: 1}
 
 
-def test_links_of_the_tables(spark):
-    """Every pair of the given documents with a similarity of 0.8 or more, by brute force over an inverted index."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    sets = {w: grams(w) for w in {words(t) for _, t in rows} if w}
-    holders, links = defaultdict(list), Counter()
-    for w, g in sets.items():
-        shared = Counter(v for x in g for v in holders[x])
-        for v, both in shared.items():
-            if 5 * both >= 4 * (len(g) + len(sets[v]) - both):
-                links[w] += 1
-                links[v] += 1
-        for x in g:
-            holders[x].append(w)
-    got = {r.doc_id: r.n_links for r in jaccard_groups(docs).collect()}
-    want = {k: links[words(t)] for k, t in rows}
-    assert sum(want.values()) > 10 and got == want
-
-
 def test_small_cases(spark):
     a = " ".join(f"w{i}" for i in range(40))
     rows = [(1, None), (2, ""), (3, "..."), (5, "one two"), (4, "One, two!"), (6, "one two three"), (9, a), (8, a + " more"), (7, a + " more"), (10, a.upper())]
@@ -170,3 +152,8 @@ def test_rows_of_one_id_and_words_have_an_order(spark):
     schema = "doc_id long, text string, `x.y` string, m map<string,string>"
     seen = {keep_one_of_each(spark.createDataFrame(rows[::k], schema).repartition(n)).collect()[0][2] for k in (1, -1) for n in (1, 3)}
     assert len(seen) == 1
+
+
+def test_every_link_of_the_tables(spark):
+    """The query against its SQL, which compares all pairs that share a run of five words."""
+    equals_sql(spark, "op5_jaccard_join", "/root/testdata/sf0.01")
