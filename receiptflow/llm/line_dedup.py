@@ -13,14 +13,15 @@ _DOC = ("id", "th")
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, pos, h, words, start, past) of every line with a word; ``th`` is a hash of the whole text.
+    """(id, th, pos, h, h2, words, start, past) of every line with a word; ``th`` is a hash of the whole text.
 
+    ``h`` and ``h2`` are hashes of the line under two seeds; one of 64 bits alone is shared by chance among 10**12 lines.
     ``start`` and ``past`` count the words of the document before the line and up to its end. Rows with equal id and text
     are one document.
     """
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    rows = rows.select(*_DOC, "pos", F.xxhash64(F.trim("line")).alias("h"), F.regexp_count("line", F.lit(WORD)).alias("words"))
+    rows = rows.select(*_DOC, "pos", F.xxhash64(F.trim("line")).alias("h"), F.xxhash64(F.lit(7), F.trim("line")).alias("h2"), F.regexp_count("line", F.lit(WORD)).alias("words"))
     rows = rows.filter("words > 0").repartition(*_DOC).dropDuplicates([*_DOC, "pos"])
     past = F.sum("words").over(Window.partitionBy(*_DOC).orderBy("pos"))
     return rows.withColumn("past", past).withColumn("start", F.col("past") - F.col("words"))
@@ -70,7 +71,7 @@ def extended(lines: DataFrame, met: DataFrame, least_words: int) -> DataFrame:
     """
     met = met.toDF("mid", "mth", "at")
     here = lines.join(met, F.col("id").eqNullSafe(F.col("mid")) & (F.col("th") == F.col("mth"))).drop("mid", "mth")
-    line = F.struct("h", "pos")
+    line = F.struct("pos", "h", "h2")
     found = here.select(
         *_DOC,
         "at",
@@ -85,13 +86,12 @@ def extended(lines: DataFrame, met: DataFrame, least_words: int) -> DataFrame:
     )
     runs = found.select(*_DOC, "at", F.explode(F.filter(either, lambda x: x.isNotNull())).alias("run"))
     runs = runs.filter(F.arrays_overlap("at", F.col("run.pos")))
-    hashes = F.col("run.h")
     return runs.select(
         *_DOC,
         F.get("run.pos", F.lit(0)).alias("first"),
         F.element_at("run.pos", -1).alias("last"),
-        F.xxhash64(hashes).alias("w1"),
-        F.xxhash64(F.lit(1), hashes).alias("w2"),
+        F.xxhash64("run.h").alias("w1"),
+        F.xxhash64("run.h2").alias("w2"),
     )
 
 
