@@ -7,14 +7,17 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from receiptflow.llm.conversation_repair import audit_conversations
 from receiptflow.llm.decontaminate import decontaminate
 from receiptflow.llm.html_text import extract_text
 from receiptflow.llm.jaccard_join import class_name, jaccard_groups
 from receiptflow.llm.language_id import identify
+from receiptflow.llm.lexical_search import search
 from receiptflow.llm.line_dedup import dedup_lines
 from receiptflow.llm.quality_classifier import classify_quality
 from receiptflow.llm.quality_rules import VOTES, judge_quality
 from receiptflow.llm.sentencepiece_codec import encode_texts
+from receiptflow.llm.sharding import shard_documents
 from receiptflow.llm.url_filter import Rule, filter_urls
 from receiptflow.llm.warc import archive_pages
 
@@ -119,6 +122,33 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*base, (F.round(1e6 * F.col("p_good")) / 1e6).alias("p_good"), "kept")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """``conversations`` with faults put in by a checksum of identifier and turn; nulls are one space."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(blank("conv_id"), F.lit(":"), blank("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(blank("text"), "[.!?]", "")).otherwise(blank("text"))
+    out = turns.filter(fault != 0).withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.when(fault == 3, 2).otherwise(1))))
+    return out.select("conv_id", "turn", F.when(fault == 4, "user").otherwise(blank("role")).alias("role"), text.alias("text"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = audit_conversations(damaged(turns)).withColumnRenamed("conv_id", "found")
+    every = turns.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found")) & F.col("audit").isNotNull(), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shard_documents(docs, texts=False).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_html_text": op2_html_text,
@@ -130,10 +160,11 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_sharding": op13_sharding,
 }
 
-
-
 def _pattern(glob: str) -> str:
     """A glob as a regular expression."""
     return re.sub(r"[^\w/]", lambda m: {"*": ".*", "?": "."}.get(m[0], "\\" + m[0]), glob)

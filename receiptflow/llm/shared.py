@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,7 +14,18 @@ from receiptflow.session import ship_package
 from receiptflow.workspace import fresh_folder as fresh_path
 from receiptflow.workspace import materialised as written
 
-__all__ = ["add_columns", "blocks", "drop_written", "fresh_path", "without", "written"]
+__all__ = ["add_columns", "blocks", "drop_written", "fresh_path", "inner_names", "quoted", "without", "written"]
+
+
+def inner_names(*names: str) -> list[str]:
+    """Names for columns that an operator needs on the way, which no table has: made up anew for each call."""
+    tag = uuid.uuid4().hex[:12]
+    return [f"__{n}_{tag}" for n in names]
+
+
+def quoted(name: str) -> str:
+    """A column's name for ``F.col``, whatever characters it has."""
+    return f"`{name.replace('`', '``')}`"
 
 
 def drop_written(df: DataFrame) -> None:
@@ -27,7 +39,7 @@ def drop_written(df: DataFrame) -> None:
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns whose names (in any case) clash with those an operator adds."""
     taken = {n.lower() for n in names}
-    return df.select(*[df[f"`{c.replace('`', '``')}`"] for c in df.columns if c.lower() not in taken])
+    return df.select(*[df[quoted(c)] for c in df.columns if c.lower() not in taken])
 
 
 def add_columns(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from hashlib import blake2b
 
@@ -137,3 +138,40 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray,
             step = mix(value * _U(0xD6E8FEB86659FD93) + here + _U(j + 1))
             value = step if j == 0 else np.where(left > j, step, value)
     return value, out
+
+
+class Vocabulary:
+    """Numbers for given words, and for those of texts: 0 on in the order of the bytes, -1 for any other word.
+
+    Words are looked up by hash; the seed is such that no two of the vocabulary share one, and the bytes decide.
+    """
+
+    def __init__(self, words: set[bytes]):
+        self.spelled = sorted(words)
+        self.words = split_words(pa.array([w.decode(errors="surrogateescape") for w in self.spelled], pa.string()))
+        self.seed = 0
+        while len(np.unique(hashes := self.words.hashes(self.seed))) < len(self.spelled):
+            self.seed += 1
+        self.order = np.argsort(hashes)
+        self.hashes = hashes[self.order]
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[self.hashes >> _U(44)] = True
+
+    def __len__(self) -> int:
+        return len(self.spelled)
+
+    def numbers(self, words: Iterable[bytes]) -> np.ndarray:
+        place = {w: k for k, w in enumerate(self.spelled)}
+        return np.array([place[w] for w in words], np.int64)
+
+    def ids(self, words: Words) -> np.ndarray:
+        hashes = words.hashes(self.seed)
+        out = np.full(len(hashes), -1, np.int64)
+        if len(self.hashes):
+            maybe = np.flatnonzero(self.seen[hashes >> _U(44)])
+            at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
+            same = self.hashes[at] == hashes[maybe]
+            which, as_ = maybe[same], self.order[at[same]]
+            equal = words.same(which, self.words, as_)
+            out[which[equal]] = as_[equal]
+        return out
