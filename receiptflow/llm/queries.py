@@ -216,6 +216,79 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+#: A list of CRC-32's 256 codes, made by its polynomial, and (column, crc) of each row of a table of texts.
+_CRC_CODES = """crc_codes AS MATERIALIZED (SELECT list(c ORDER BY b) AS codes FROM (
+  SELECT b, list_reduce(list_concat([b], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) r(b)))"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of the UTF-8 bytes of ``text``, where ``crc_codes`` is joined."""
+    step = "xor(c >> 8, codes[(xor(c, x) & 255) + 1])"
+    found = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295], {found}), lambda c, x: {step}))"
+
+
+def _repair_sql() -> str:
+    """Damage, faults, then for each place between turns, from the last, the cheapest edits of the rest as cost and letters in a string."""
+    start, system, user, assistant = (f"f[{k}]" for k in range(1, 5))
+
+    def more(rest: str, cost: str, letter: str) -> str:
+        return f"printf('%08d%s', substr({rest}, 1, 8)::INT + {cost}, '{letter}' || substr({rest}, 9))"
+
+    def turn(here: str, to: str, letter: str, others: str = "") -> str:
+        keep = f"CASE WHEN NOT gone AND own = '{letter}' THEN {more(to, 'cut', 'K')} END"
+        return f"least({more(here, '3', 'D')}, {keep}, CASE WHEN NOT gone THEN {more(to, '2 + cut', 'R')} END{others})"
+
+    first = f", CASE WHEN NOT gone AND own = 's' THEN {more(system, 'cut', 'K')} END"
+    raw = f"[{turn(start, user, 'u', first)}, {turn(system, user, 'u')}, {turn(user, assistant, 'a')}, {turn(assistant, user, 'u')}]"
+    both = f"[g[1], g[2], least(g[3], {more('g[4]', '2', 'I')}), least(g[4], {more('g[3]', '2', 'I')})]"
+    full = f"[least(h[1], {more('h[3]', '2', 'I')}), least(h[2], {more('h[3]', '2', 'I')}), h[3], h[4]]"
+    return rf"""
+WITH RECURSIVE {_CRC_CODES},
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+faulty AS (SELECT *, {_crc32("key")} % 20 AS fault FROM keyed, crc_codes),
+after AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM faulty)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS p FROM after),
+looked AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS open, substr(role, 1, 1) AS own,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY p) AS own_before
+  FROM placed),
+turns AS MATERIALIZED (SELECT *, blank OR again AS gone, (open AND NOT blank AND NOT again)::INT AS cut FROM looked),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE again AND NOT blank) AS duplicate, sum(cut) AS truncated,
+         count(*) FILTER (WHERE own_before || own NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id),
+edits(conv_id, p, f) AS (
+  SELECT conv_id, n + 1, ['00000000', '00000004II', '00000002I', '00000000'] FROM counts
+  UNION ALL
+  SELECT conv_id, p, {full} FROM (
+    SELECT conv_id, p, {both} AS h FROM (
+      SELECT e.conv_id, t.p, {raw} AS g FROM edits e JOIN turns t ON t.conv_id IS NOT DISTINCT FROM e.conv_id AND t.p = e.p - 1))),
+audits AS (SELECT conv_id, substr(f[1], 1, 8)::BIGINT AS cost, substr(f[1], 9) AS audit FROM edits WHERE p = 1),
+letters AS (
+  SELECT conv_id, k, letter, sum((letter <> 'I')::INT) OVER w AS p, sum((letter <> 'D')::INT) OVER w AS j
+  FROM (SELECT conv_id, unnest(range(1, length(audit) + 1)) AS k, unnest(string_split(audit, '')) AS letter FROM audits WHERE audit <> '')
+  WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+edited AS (
+  SELECT l.*, t.role, CASE WHEN letter = 'I' THEN '' ELSE t.text END AS text,
+         max((letter = 'K' AND j = 1 AND own = 's')::INT) OVER (PARTITION BY l.conv_id) AS later
+  FROM letters l LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM l.conv_id AND t.p = l.p),
+mended AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (j + later) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY k) AS whole
+  FROM edited WHERE letter <> 'D' GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN mended m ON m.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 ORACLE_SQL = {
     "op10_quality_rules": _quality_sql(),
     "op1_line_dedup": r"""
@@ -299,4 +372,35 @@ firsts AS (SELECT payload_digest, min(page_id) AS first FROM payloads WHERE payl
 SELECT p.page_id, payload_bytes, p.payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first <> page_id THEN first END AS refers_to
 FROM payloads p LEFT JOIN firsts f ON p.payload_digest = f.payload_digest AND payload_bytes >= 100""",
+    "op11_lexical_search": rf"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, w FROM (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents) WHERE len(w) > 0),
+corpus AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs),
+norms AS (SELECT r, doc_id, 100 - 50 + (50 * len(w) * n_docs) // n_terms AS m FROM docs, corpus),
+asked AS (SELECT item_id, row_number() OVER () AS q, list_distinct(w) AS w FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)) WHERE len(w) > 0),
+terms AS (SELECT q, unnest(w) AS term FROM asked),
+found AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs) WHERE term IN (SELECT term FROM terms) GROUP BY r, term),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM found, corpus GROUP BY term, n_docs),
+scores AS (
+  SELECT q, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM terms JOIN weights USING (term) JOIN found USING (term) JOIN norms USING (r) GROUP BY q, r),
+ranked AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scores JOIN norms USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN asked USING (q) WHERE rank <= 50""",
+    "op12_conversation_repair": _repair_sql(),
+    "op13_sharding": f"""
+WITH RECURSIVE {_CRC_CODES},
+docs AS MATERIALIZED (SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, {_crc32("coalesce(text, '')")} AS text_crc32, sha256(coalesce(text, '')) AS sha FROM documents, crc_codes),
+copies AS (SELECT sha, sum(size) AS bytes FROM docs GROUP BY sha),
+units AS MATERIALIZED (
+  SELECT sha, bytes, CASE WHEN bytes * 10240 >= (SELECT sum(size) FROM docs) THEN sha ELSE (('0x' || sha[1:8])::BIGINT % 10240)::VARCHAR END AS unit FROM copies),
+lined AS MATERIALIZED (
+  SELECT unit, bytes, row_number() OVER (ORDER BY bytes DESC, name) AS k FROM (SELECT unit, sum(bytes)::BIGINT AS bytes, min(sha) AS name FROM units GROUP BY unit)),
+dealt(k, shard, loads) AS (
+  SELECT 0::BIGINT, 0::BIGINT, list_transform(range(40), lambda x: 0::BIGINT)
+  UNION ALL
+  SELECT l.k, least, list_transform(loads, lambda x, i: CASE WHEN i = least THEN x + l.bytes ELSE x END)
+  FROM (SELECT *, list_position(loads, list_min(loads))::BIGINT AS least FROM dealt) d JOIN lined l ON l.k = d.k + 1),
+shards AS (SELECT sha, shard - 1 AS shard FROM units JOIN lined USING (unit) JOIN dealt USING (k))
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard::INT AS shard,
+       (row_number() OVER (PARTITION BY shard ORDER BY sha, doc_id NULLS FIRST) - 1)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM docs JOIN shards USING (sha)""",
 }

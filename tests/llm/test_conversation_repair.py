@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from receiptflow.llm import conversation_repair
 from receiptflow.llm.conversation_repair import audit_conversations, cheapest_edits, repair_turns
 from receiptflow.llm.queries import op12_conversation_repair
+from tests.llm.sql import equals_sql
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -156,3 +157,7 @@ def test_identifiers_keep_their_type(spark, kind):
     table = spark.createDataFrame([(1, 0, "user", "A.")], "c long, n long, r string, t string").withColumn("c", F.col("c").cast(kind))
     out = audit_conversations(table, "c", "n", "r", "t")
     assert out.schema["c"].dataType.simpleString() == kind and out.first().audit == "KI"
+
+
+def test_op12_query_equals_its_sql(spark):
+    equals_sql(spark, "op12_conversation_repair", "/root/testdata/sf0.001")

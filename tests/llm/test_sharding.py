@@ -8,6 +8,7 @@ from hashlib import sha256
 import pytest
 
 from receiptflow.llm.sharding import longest_first, shard_documents, write_shards
+from tests.llm.sql import equals_sql
 
 
 def brute(sizes, shards):
@@ -79,3 +80,7 @@ def test_odd_tables_and_files(spark, tmp_path):
     back = spark.read.parquet(f"file://{tmp_path}/out")
     laws(back.collect(), 5)
     assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == [f"shard={k}" for k in range(5)]
+
+
+def test_op13_query_equals_its_sql(spark):
+    equals_sql(spark, "op13_sharding", "/root/testdata/sf0.001")
