@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from receiptflow import schemas
 from receiptflow.functions.expr import as_text, no_reviews, review, stable_uuid
-from receiptflow.operators.matching import match_items
+from receiptflow.operators.matching import match_items, run_lengths, starts
 
 SECTIONS = {"store": schemas.STORE, "receipt": schemas.RECEIPT}
 
@@ -24,10 +24,18 @@ def gather(extractions: DataFrame) -> DataFrame:
     """
     one = F.struct("result_index", "source", "candidate", "confidence")
     gathered = extractions.filter("candidate IS NOT NULL AND receipt_id IS NOT NULL").groupBy("receipt_id").agg(F.collect_list(one).alias("results"))
-    return gathered.withColumn("results", F.array_sort("results", _in_order))
+    return gathered.withColumn("results", in_order("results"))
 
 
-def _in_order(a: Column, b: Column) -> Column:
+def in_order(results: str) -> Column:
+    """The results of a receipt by index, then source, then content, which is compared only where two agree in both."""
+    places = F.array_sort(F.transform(results, lambda r, i: F.struct(r["result_index"], r["source"], i.alias("place"))))
+    plain = F.transform(places, lambda p: F.get(results, p["place"]))
+    pairs = F.array_distinct(F.transform(results, lambda r: F.struct(r["result_index"], r["source"])))
+    return F.when(F.size(pairs) == F.size(results), plain).otherwise(F.array_sort(results, _by_content))
+
+
+def _by_content(a: Column, b: Column) -> Column:
     """Which of two results comes first; the content decides between results of one index and source."""
     out = F.when(a["result_index"] < b["result_index"], -1).when(a["result_index"] > b["result_index"], 1)
     out = out.when(a["source"] < b["source"], -1).when(a["source"] > b["source"], 1)
@@ -81,11 +89,14 @@ def reconcile_receipt(gathered: DataFrame) -> DataFrame:
 
 
 def item_groups(matched: DataFrame) -> DataFrame:
-    """Adds ``groups``: for each group of matched items its members in order of results, groups in first-seen order."""
-    members = lambda g: F.filter("items", lambda x, i: F.get("group_of", i) == g)
-    groups = F.transform(F.sequence(F.lit(1), F.array_max("group_of")), members)
-    empty = F.slice(F.array(F.col("items")), F.lit(1), F.lit(0))
-    return matched.withColumn("groups", F.when(F.size("items") > 0, groups).otherwise(empty))
+    """Adds ``groups``: for each group of matched items its members in order of results, groups in first-seen order.
+
+    Groups are numbered as they are first seen, so sorting items by group and place leaves each group's members in a run.
+    """
+    df = matched.withColumn("by_group", F.array_sort(F.transform("group_of", lambda g, i: F.struct(g.alias("group"), i.alias("i")))))
+    df = df.withColumn("runs", starts("by_group", "group")).withColumn("sizes", run_lengths("runs", "by_group"))
+    members = lambda b, k: F.transform(F.slice("by_group", b + 1, F.get("sizes", k)), lambda x: F.get("items", x["i"]))
+    return df.withColumn("groups", F.transform("runs", members)).drop("by_group", "runs", "sizes")
 
 
 def _values(members: Column, field: str) -> Column:
@@ -140,11 +151,14 @@ def reconcile_items(gathered: DataFrame) -> DataFrame:
     return df.withColumns({"line_items": resolved, "line_items_reviews": reviews}).drop("groups")
 
 
-def reconcile(gathered: DataFrame) -> DataFrame:
-    """(receipt_id, n_results, store, receipt, line_items, reviews): reviews of store, receipt, then items."""
+def reconcile(gathered: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(receipt_id, n_results, store, receipt, line_items, reviews): reviews of store, receipt, then items.
+
+    Columns named in ``carry`` come along.
+    """
     df = reconcile_items(reconcile_receipt(reconcile_store(gathered)))
     reviews = F.concat("store_reviews", "receipt_reviews", "line_items_reviews")
-    return df.select("receipt_id", F.size("results").alias("n_results"), "store", "receipt", "line_items", reviews.alias("reviews"))
+    return df.select("receipt_id", F.size("results").alias("n_results"), "store", "receipt", "line_items", reviews.alias("reviews"), *carry)
 
 
 def review_rows(df: DataFrame, column: str, origin: str) -> DataFrame:

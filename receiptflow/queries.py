@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from receiptflow import schemas
 from receiptflow.adapter import FLAT_SQL, GROUPS_SQL, RESOLVED_SQL, extractions_from_orders, resolved_from_orders
-from receiptflow.functions.expr import float_text, mismatch_confidence, normal_text
+from receiptflow.functions.expr import float_text, mismatch_confidence, no_reviews, normal_text
 from receiptflow.operators import validate as checks
 from receiptflow.operators.checks import check_candidates, check_confidence_alignment, check_records
 from receiptflow.operators.emit import all_reviews, emit, failure_reviews
 from receiptflow.operators.load import accepted, build_payload, detect_duplicates, ingest, payload_errors
-from receiptflow.operators.matching import match_items
+from receiptflow.operators.matching import exact_is_enough, match_items
 from receiptflow.operators.reconcile import (
     disputed_item_fields,
     field_confidence,
@@ -30,13 +30,13 @@ from receiptflow.operators.reconcile import (
     review_rows,
     uncorroborated_item,
 )
-from receiptflow.operators.report import clean_share, review_summary, stored_form
+from receiptflow.operators.report import clean_share, merged_summary, review_summary, stored_form
 from receiptflow.operators.shape import content_hash, shape, shapeable, split_extras
 from receiptflow.operators.stores import resolve_stores, store_id
-from receiptflow.plans.pipeline import outcome_counts, run_pipeline
+from receiptflow.plans.pipeline import load, outcome_counts, prepare, run_pipeline
 from receiptflow.sources.extractions import collect_documents, read_extractions, run_extractors, split_results
-from receiptflow.sources.tables import read_table, write_tables
-from receiptflow.streaming.ingest import stream_ingest
+from receiptflow.sources.tables import Conflict, batch_tables, compact, fingerprints, read_state, read_table, store_batch, write_tables
+from receiptflow.streaming.ingest import ingest_batch, stream_ingest
 from receiptflow.workspace import fresh_folder, materialised
 
 QUERIES: dict = {}
@@ -366,7 +366,7 @@ def _members(matched: DataFrame) -> DataFrame:
 @query(GROUPS_SQL + """
 SELECT receipt_id, key, group_pos, members AS n_members FROM members ANTI JOIN fuzzy USING (receipt_id) GROUP BY ALL""")
 def r6_match_items_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _members(match_items(_gathered(spark, sf_dir)).filter("exact")).groupBy("receipt_id", "key", "group_pos").agg(F.count(F.lit(1)).alias("n_members")).withColumn(
+    return _members(match_items(_gathered(spark, sf_dir)).filter(exact_is_enough("items", F.size("results")))).groupBy("receipt_id", "key", "group_pos").agg(F.count(F.lit(1)).alias("n_members")).withColumn(
         "group_pos", F.col("group_pos").cast("long")
     )
 
@@ -376,7 +376,7 @@ results_in_order AS (SELECT receipt_id, result_index, row_number() OVER (PARTITI
 SELECT m.receipt_id, o.place::INTEGER AS result, (m.pos - 1)::INTEGER AS pos, m.key, m.group_pos::INTEGER AS group_pos
 FROM members m SEMI JOIN fuzzy USING (receipt_id) JOIN results_in_order o ON o.receipt_id = m.receipt_id AND o.result_index = m.result_index""")
 def r7_match_items_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = match_items(_gathered(spark, sf_dir)).filter("NOT exact").select("receipt_id", F.posexplode("items").alias("i", "x"), "group_of")
+    rows = match_items(_gathered(spark, sf_dir)).filter(~exact_is_enough("items", F.size("results"))).select("receipt_id", F.posexplode("items").alias("i", "x"), "group_of")
     return rows.select("receipt_id", "x.result", "x.pos", "x.key", F.get("group_of", F.col("i")).alias("group_pos"))
 
 
@@ -636,11 +636,10 @@ def l4_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(RESOLVED_SQL + _passing_sql("agreed", "agreed_items") + """
 SELECT (SELECT count(DISTINCT receipt_id) FROM base) AS n_receipts, count(DISTINCT p.content_hash) AS n_created,
        count(p.receipt_id) - count(DISTINCT p.content_hash) AS n_duplicate, 0::BIGINT AS n_refused, count(*) FILTER (WHERE p.receipt_id IS NULL) AS n_review_only,
-       (SELECT count(DISTINCT receipt_id) FROM base) - count(*) AS n_without_candidate
+       (SELECT count(DISTINCT receipt_id) FROM base) - count(*) AS n_without_candidate, 0::BIGINT AS n_quarantined
 FROM agreed a LEFT JOIN passing p ON p.receipt_id = a.receipt_id""")
 def p1_run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = extractions_from_orders(spark, sf_dir)
-    return outcome_counts(rows, run_pipeline(rows))
+    return outcome_counts(run_pipeline(extractions_from_orders(spark, sf_dir)))
 
 
 @query(RECONCILED_SQL + """
@@ -687,6 +686,125 @@ def x1_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return photos.join(named, "rid").join(receipts, "content_hash").select("content_hash", "n_photos", "n_created")
 
 
+#: Documents that are broken on purpose, by their order: how, and what is left of them.
+_BROKEN = {59: "cut", 61: "empty", 67: "nameless", 79: "typed", 71: "incomplete", 73: "third"}
+_BROKEN_SQL = "CASE " + " ".join(f"WHEN k % {n} = 0 THEN '{how}'" for n, how in _BROKEN.items()) + " ELSE '' END"
+
+
+def _broken_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, value): a document of each receipt, some cut off, without results, an identifier, a number, a total or a date."""
+    rows = extractions_from_orders(spark, sf_dir).withColumn("how", F.expr(_BROKEN_SQL))
+    c, how = F.col("candidate"), F.col("how")
+    holed = c.withField("receipt.total", F.when(how != "incomplete", c["receipt"]["total"]))
+    holed = holed.withField("receipt.date", F.when((how != "third") | (F.col("result_index") < 2), c["receipt"]["date"]))
+    docs = collect_documents(rows.withColumn("candidate", F.when(c.isNotNull(), holed)))
+    docs = docs.withColumn("k", F.regexp_replace("receipt_id", "-2$", "").cast("long")).withColumn("how", F.expr(_BROKEN_SQL))
+    text = F.to_json(F.struct(F.when(how != "nameless", F.col("receipt_id")).alias("receipt_id"), F.when(how != "empty", F.col("results")).alias("results")))
+    wrong = F.regexp_replace(text, r'"total":[0-9.E+-]+\},"line_items"', '"total":"abc"},"line_items"')
+    return docs.select("k", "receipt_id", F.when(how == "cut", F.substring(text, 1, 40)).when(how == "typed", wrong).otherwise(text).alias("value"))
+
+
+@query(RESOLVED_SQL + _passing_sql("agreed", "agreed_items") + f""",
+docs AS (SELECT receipt_id, k, {_BROKEN_SQL} AS how FROM base),
+fates AS (
+  SELECT d.receipt_id, how, CASE WHEN how IN ('cut', 'empty', 'nameless', 'typed') OR how = 'incomplete' AND d.k % 23 <> 0 THEN 'quarantined'
+         WHEN how = 'incomplete' THEN 'quarantined' WHEN p.receipt_id IS NULL THEN 'review_only'
+         WHEN row_number() OVER (PARTITION BY p.content_hash ORDER BY d.receipt_id) = 1 THEN 'created' ELSE 'duplicate' END AS fate
+  FROM docs d LEFT JOIN passing p ON p.receipt_id = d.receipt_id),
+faults AS (
+  SELECT CASE how WHEN 'cut' THEN 'no JSON' WHEN 'empty' THEN 'no results' ELSE 'receipt_id is required' END AS what FROM docs WHERE how IN ('cut', 'empty', 'nameless')
+  UNION ALL
+  SELECT '$.results[' || result_index || '].' || part || '.receipt.total is no double'
+  FROM docs JOIN results USING (receipt_id), (VALUES ('candidate'), ('confidence')) parts(part) WHERE how = 'typed'
+  UNION ALL
+  SELECT 'receipt.total is required' FROM docs JOIN results USING (receipt_id) WHERE how = 'incomplete'
+  UNION ALL
+  SELECT 'receipt.date is required' FROM docs JOIN results USING (receipt_id) WHERE how = 'third' AND result_index = 2)
+SELECT 'document' AS kind, CASE WHEN how = 'incomplete' AND receipt_id IN (SELECT receipt_id FROM failures) THEN 'without_candidate' ELSE fate END AS what, count(*) AS n
+FROM fates GROUP BY ALL
+UNION ALL SELECT 'fault', what, count(*) FROM faults GROUP BY ALL
+UNION ALL SELECT 'document', 'all', count(*) FROM docs""")
+def x2_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream with broken documents: every one that goes in has a fate, and every fault is stored with its reason."""
+    folder = fresh_folder(spark, "letters")
+    docs = materialised(_broken_documents(spark, sf_dir), "broken")
+    docs.filter("receipt_id NOT LIKE '%-2'").select("value").write.text(f"{folder}/in/first")
+    docs.filter("receipt_id LIKE '%-2'").select("value").write.text(f"{folder}/in/second")
+    stream_ingest(spark, f"{folder}/in/*", f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()
+    read = lambda name: read_table(spark, f"{folder}/tables", name)
+    count = lambda df, kind: df.groupBy(F.lit(kind).alias("kind"), "what").agg(F.count(F.lit(1)).alias("n"))
+    fate = count(read("documents").select(F.col("fate").alias("what")), "document")
+    fault = count(read("quarantine").select(F.explode("errors").alias("what")), "fault")
+    every = spark.read.text(f"{folder}/in/*").agg(F.lit("document").alias("kind"), F.lit("all").alias("what"), F.count(F.lit(1)).alias("n"))
+    return fate.unionByName(fault).unionByName(every)
+
+
+@query(SHAPED_SQL + """,
+held AS (SELECT content_hash, min(receipt_id) AS id FROM passing WHERE k % 2 = 0 GROUP BY content_hash),
+fresh AS (SELECT content_hash, min(receipt_id) AS id FROM passing GROUP BY content_hash)
+SELECT p.receipt_id AS id, CASE WHEN h.id IS NOT NULL THEN h.id WHEN f.id <> p.receipt_id THEN f.id END AS existing_receipt_id
+FROM passing p LEFT JOIN held h USING (content_hash) JOIN fresh f USING (content_hash)""")
+def l5_history_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicates of all receipts against a history stored in two batches and compacted, through its folders of fingerprints."""
+    path, shaped = fresh_folder(spark, "history"), _shaped(spark, sf_dir)
+    state = read_state(spark, path)
+    for n in range(2):
+        half = shaped.filter((F.col("k") % 4 == 2 * n) & (F.col("k") % 2 == 0))
+        outcomes = materialised(ingest(half), "outcomes")
+        bundle = emit(half, _no_reviews(half))
+        state = store_batch(batch_tables(bundle, outcomes, resolve_stores(bundle.stores)), path, f"b{n}", state)
+    compact(spark, path)
+    receipts = shaped.select("record.id", "record.content_hash", F.lit(0).alias("arrival_seq"))
+    return detect_duplicates(receipts, fingerprints(spark, path, read_state(spark, path), receipts)).select("id", "existing_receipt_id")
+
+
+def _no_reviews(shaped: DataFrame) -> DataFrame:
+    return shaped.select("receipt_id", no_reviews().alias("reviews"), no_reviews().alias("validation_reviews"))
+
+
+@query(RESOLVED_SQL + _passing_sql("agreed", "agreed_items") + """
+SELECT content_hash, count(*) AS n_photos, 1::BIGINT AS n_created, count(DISTINCT store_id) AS n_stores FROM passing GROUP BY content_hash""")
+def s6_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches decided from the same state: the later one meets the receipts of the first and decides again."""
+    path = fresh_folder(spark, "writers")
+    rows = extractions_from_orders(spark, sf_dir)
+    batches = [prepare(rows.filter(f"receipt_id {how} '%-2'")) for how in ("NOT LIKE", "LIKE")]
+    seen = read_state(spark, path)
+    decided = [load(b, None, None) for b in batches]
+    for name, batch, result in zip(("one", "two"), batches, decided, strict=True):
+        state = seen
+        while True:
+            try:
+                store_batch(batch_tables(result.bundle, result.outcomes, result.new_stores), path, name, state)
+                break
+            except Conflict:
+                state = read_state(spark, path)
+                stores = read_table(spark, path, "stores", "name string, address string", state)
+                result = load(batch, lambda hashes: fingerprints(spark, path, state, hashes), stores)  # noqa: B023
+    outcomes, receipts = (read_table(spark, path, t) for t in ("outcomes", "receipts"))
+    photos = outcomes.groupBy(F.coalesce("existing_receipt_id", "receipt_id").alias("id")).agg(F.count(F.lit(1)).alias("n_photos"))
+    stores = read_table(spark, path, "stores").groupBy(F.col("id").alias("store_id")).agg(F.count(F.lit(1)).alias("n_stores"))
+    created = receipts.groupBy("content_hash").agg(F.min("id").alias("id"), F.min("store_id").alias("store_id"), F.count(F.lit(1)).alias("n_created"))
+    return created.join(photos, "id").join(stores, "store_id").select("content_hash", "n_photos", "n_created", "n_stores")
+
+
+@query(RECONCILED_SQL + _validated_sql("agreed", "agreed_items") + """
+SELECT extractor_source, flagged_reason, field_name, count(*) AS n_reviews, count(DISTINCT receipt_id) AS n_receipts,
+       round(1e6 * avg(confidence_score)) / 1e6 AS mean_confidence
+FROM (SELECT receipt_id, extractor_source, flagged_reason, field_name, confidence_score FROM all_reviews
+      UNION ALL SELECT receipt_id, source, 'extraction_failed', 'receipt', 0.0 FROM failures
+      UNION ALL SELECT receipt_id, 'validation', 'validation_failed', field_name, confidence_score FROM validation_rows) GROUP BY ALL""")
+def q2_review_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of reviews kept up to date by three batches, one of them delivered twice."""
+    path = fresh_folder(spark, "counts")
+    docs = collect_documents(extractions_from_orders(spark, sf_dir)).select(F.to_json(F.struct("receipt_id", "results")).alias("value"), F.crc32(F.col("receipt_id").cast("binary")).alias("n"))
+    docs = materialised(docs, "documents")
+    for n in (0, 1, 1, 2):
+        ingest_batch(docs.filter(F.col("n") % 3 == n).select("value"), path, f"b{n}")
+    rows = merged_summary(read_table(spark, path, "review_counts"))
+    return rows.withColumn("mean_confidence", F.round(1e6 * F.col("mean_confidence")) / 1e6)
+
+
 @query("""-- over all prices
 SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, (l_extendedprice * 1000)::VARCHAR AS text FROM lineitem""")
 def f1_float_text(spark: SparkSession, sf_dir: str) -> DataFrame:

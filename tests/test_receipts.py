@@ -233,7 +233,7 @@ def test_pipeline_counts_add_up_and_do_not_depend_on_partitions(spark):
     for n in (1, 5):
         df = spark.createDataFrame(rows, EXTRACTION).repartition(n)
         done = run_pipeline(df)
-        counts = outcome_counts(df, done).collect()[0]
+        counts = outcome_counts(done).collect()[0]
         assert counts.n_receipts == sum(counts[1:]) and counts.n_without_candidate == 1
         assert done.bundle.reviews.filter("origin = 'extract'").count() == 2
         seen.append((counts, sorted(r.id for r in done.bundle.reviews.collect()), sorted(map(tuple, done.outcomes.select("receipt_id", "status").collect()))))

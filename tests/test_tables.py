@@ -1,6 +1,9 @@
 """Reading results and images, running extractors, the stored tables, the stream, and running a batch again."""
 
 import json
+import random
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 import pytest
@@ -8,14 +11,14 @@ from pyspark.sql import functions as F
 
 from receiptflow import schemas
 from receiptflow.operators.load import build_payload
-from receiptflow.operators.matching import match_items
+from receiptflow.operators.matching import exact_is_enough, greedy_groups, match_items
 from receiptflow.operators.reconcile import gather
-from receiptflow.operators.report import clean_share, review_summary, stored_form
+from receiptflow.operators.report import clean_share, merged_summary, review_summary, stored_form
 from receiptflow.operators.shape import split_extras
-from receiptflow.plans.pipeline import run_pipeline
+from receiptflow.plans.pipeline import load, outcome_counts, prepare, run_pipeline
 from receiptflow.schemas import EXTRACTION
 from receiptflow.sources.extractions import collect_documents, explode_documents, read_extractions, read_images, run_extractors, split_results
-from receiptflow.sources.tables import read_table, write_tables
+from receiptflow.sources.tables import Conflict, batch_tables, compact, fingerprints, read_state, read_table, store_batch, write_tables
 from receiptflow.streaming.ingest import ingest_batch, stream_ingest
 from receiptflow.workspace import shared_folder
 from tests.test_receipts import CASES, ITEM, failed, result
@@ -69,26 +72,31 @@ def batch(spark, total=84.0):
     return spark.createDataFrame(rows, EXTRACTION)
 
 
+def texts(extractions):
+    return collect_documents(extractions).select(F.to_json(F.struct("receipt_id", "results")).alias("value"))
+
+
 def state(spark, path):
-    names = {"receipts": ("id", "total"), "stores": ("name", "address"), "outcomes": ("receipt_id", "status"), "line_items": ("receipt_id", "description"), "extraction_reviews": ("receipt_id", "field_name")}
-    return {n: sorted(map(tuple, read_table(spark, path, n).select(*c).collect())) for n, c in names.items()}
+    names = {"receipts": ("id", "total"), "stores": ("name", "address"), "outcomes": ("receipt_id", "status"), "line_items": ("receipt_id", "description"), "extraction_reviews": ("receipt_id", "field_name"), "documents": ("receipt_id", "fate")}
+    return {n: sorted(map(tuple, read_table(spark, path, n).select(*c).collect()), key=str) for n, c in names.items()}
 
 
 def test_batches_again_and_uncommitted(spark, tmp_path):
     path = f"{tmp_path}/tables"
-    docs = collect_documents(batch(spark))
-    ingest_batch(docs, path, "00000000")
+    docs = texts(batch(spark))
+    ingest_batch(docs, path, "0")
     first = state(spark, path)
     assert first["receipts"] == [("p", 84.0), ("s", 84.0)] and ("q", "duplicate") in first["outcomes"] and first["extraction_reviews"] == [("s", "receipt")]
-    ingest_batch(docs, path, "00000000")
+    ingest_batch(docs, path, "0")
     assert state(spark, path) == first
+    with pytest.raises(ValueError, match="other documents"):
+        ingest_batch(docs.limit(2), path, "0")
     # another batch of the same receipts makes nothing new, and stays unseen until it is committed
     done = run_pipeline(batch(spark), read_table(spark, path, "receipts"), read_table(spark, path, "stores"))
     assert {r.status for r in done.outcomes.collect()} == {"duplicate"} and done.new_stores.count() == 0
     write_tables(done.bundle, done.outcomes, done.new_stores, path, "1")
     assert len(read_table(spark, path, "outcomes").collect()) == 6
-    for file in (tmp_path / "tables" / "commits" / "batch_id=batch-1").iterdir():
-        file.unlink()
+    (tmp_path / "tables" / "log" / f"{2:020d}.json").unlink()
     assert state(spark, path) == first
 
 
@@ -96,26 +104,170 @@ def test_missing_and_broken_tables(spark, tmp_path):
     assert read_table(spark, str(tmp_path), "receipts", "id string, content_hash string").count() == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_table(spark, str(tmp_path), "receipts")
-    for n in ("receipts", "commits"):
-        (tmp_path / n).mkdir()
-        (tmp_path / n / "part.parquet").write_text("no parquet")
-    with pytest.raises(Exception, match=r"(?s)CANNOT_READ_FILE_FOOTER|not a Parquet|FAILED_READ_FILE|footer"):
-        read_table(spark, str(tmp_path), "receipts", "id string").count()
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / f"{1:020d}.json").write_text("{cut off")
+    with pytest.raises(ValueError, match="cannot be read"):
+        read_table(spark, str(tmp_path), "receipts", "id string")
+
+
+def test_two_writers_of_one_state(spark, tmp_path):
+    """Both decide before either stores: the later one meets the other's receipt, decides again and stores its own only."""
+    path = f"{tmp_path}/tables"
+    first = prepare(batch(spark))
+    rows = [result("x", 0, items=[ITEM]), result("y", 0, items=[ITEM], transaction_ref="of y")]
+    later = prepare(spark.createDataFrame(rows, EXTRACTION))
+    apart = prepare(spark.createDataFrame([result("z", 0, items=[ITEM], transaction_ref="of z", store={"name": "Elsewhere"})], EXTRACTION))
+    seen = read_state(spark, path)
+    tables = [batch_tables(r.bundle, r.outcomes, r.new_stores) for r in (load(first), load(later), load(apart))]
+    store_batch(tables[0], path, "first", seen)
+    with pytest.raises(Conflict):
+        store_batch(tables[1], path, "later", seen)
+    store_batch(tables[2], path, "apart", seen)  # has nothing in common with what came between
+    assert [x[0] for x in state_of(spark, path, "receipts", "id")] == ["p", "s", "z"]
+    now = read_state(spark, path)
+    again = load(later, lambda hashes: fingerprints(spark, path, now, hashes), read_table(spark, path, "stores", state=now))
+    store_batch(batch_tables(again.bundle, again.outcomes, again.new_stores), path, "later", now)
+    assert [x[0] for x in state_of(spark, path, "receipts", "id")] == ["p", "s", "y", "z"]
+    assert state_of(spark, path, "outcomes", "receipt_id", "existing_receipt_id", where="receipt_id = 'x'") == [("x", "p")]
+    assert len(state_of(spark, path, "stores", "name")) == 2
+
+
+def state_of(spark, path, table, *columns, where="true"):
+    return sorted(map(tuple, read_table(spark, path, table).filter(where).select(*columns).collect()))
+
+
+def test_writers_in_threads(spark, tmp_path):
+    """Four writers at once, each with the same receipt and one of its own."""
+    path = f"{tmp_path}/tables"
+    docs = [texts(spark.createDataFrame([result(f"same{k}", 0, items=[ITEM]), result(f"own{k}", 0, items=[ITEM], transaction_ref=f"t{k}")], EXTRACTION)) for k in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: ingest_batch(docs[k], path, f"w{k}"), range(4)))
+    ids = [x[0] for x in state_of(spark, path, "receipts", "id")]
+    assert [x for x in ids if x.startswith("own")] == [f"own{k}" for k in range(4)] and len([x for x in ids if x.startswith("same")]) == 1
+    assert len(state_of(spark, path, "stores", "name")) == 1 and read_state(spark, path).version == 4
+    fates = Counter(x[0] for x in state_of(spark, path, "documents", "fate"))
+    assert fates == {"created": 5, "duplicate": 3}
+
+
+def test_history_reads_only_the_folders_it_needs(spark, tmp_path):
+    path = f"{tmp_path}/tables"
+    shop = lambda k: result(f"r{k:03}", 0, items=[ITEM], transaction_ref=f"t{k}")
+    for n in range(2):
+        ingest_batch(texts(spark.createDataFrame([shop(k) for k in range(100 * n, 100 * n + 100)], EXTRACTION)), path, f"b{n}")
+    before = {t: state_of(spark, path, t, c) for t, c in (("receipts", "id"), ("outcomes", "receipt_id"), ("documents", "receipt_id"))}
+    for folder_rows, depth in ((None, 2), (10, 2), (1, 2)):
+        if folder_rows:
+            assert compact(spark, path, folder_rows) == (folder_rows == 10)
+        now = read_state(spark, path)
+        assert {p.depth for p in now.parts} == {depth}
+        one = read_table(spark, path, "receipts").filter("id = 'r007'").select("content_hash")
+        met = fingerprints(spark, path, now, one)
+        assert "bucket" in met._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1].split("]")[0]
+        assert "r007" in {r.id for r in met.collect()} and met.count() < 20
+    assert before == {t: state_of(spark, path, t, c) for t, c in (("receipts", "id"), ("outcomes", "receipt_id"), ("documents", "receipt_id"))}
+    # what was stored is still found, and a batch is still known
+    ingest_batch(texts(spark.createDataFrame([shop(5), shop(500)], EXTRACTION).withColumn("receipt_id", F.concat(F.lit("z"), "receipt_id"))), path, "b9")
+    assert state_of(spark, path, "outcomes", "receipt_id", "status", where="receipt_id LIKE 'z%'") == [("zr005", "duplicate"), ("zr500", "created")]
+    assert read_state(spark, path).digest("b0") is not None
 
 
 def test_stream_of_documents(spark, tmp_path):
-    collect_documents(batch(spark)).write.json(f"{tmp_path}/in/a")
+    texts(batch(spark)).write.text(f"{tmp_path}/in/a")
     run = lambda: stream_ingest(spark, f"{tmp_path}/in/*", f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
     run()
     run()
     assert [x[0] for x in state(spark, f"{tmp_path}/t")["receipts"]] == ["p", "s"]
     later = batch(spark).withColumn("receipt_id", F.concat(F.lit("z"), "receipt_id"))
-    collect_documents(later).write.json(f"{tmp_path}/in/b")
+    texts(later).write.text(f"{tmp_path}/in/b")
     run()
     got = state(spark, f"{tmp_path}/t")
     assert [x[0] for x in got["receipts"]] == ["p", "s"] and ("zp", "duplicate") in got["outcomes"]
 
 
+def test_no_document_is_lost(spark, tmp_path):
+    """Broken, empty, nameless, wrongly typed, incomplete and half-usable documents, each with a fate and reasons."""
+    good = json.loads(texts(batch(spark)).filter("value LIKE '%\"receipt_id\":\"p\"%'").first().value)
+    change = lambda **x: json.dumps(good | x)
+    one = good["results"][0]
+    typed = json.loads(json.dumps(one))
+    typed["candidate"]["receipt"]["total"] = "much"
+    typed["candidate"]["line_items"][0]["quantity"] = [1]
+    bare = json.loads(json.dumps(one))
+    del bare["candidate"]["receipt"]["date"]
+    lines = {
+        "fine": (json.dumps(good), "created", []),
+        "cut": (json.dumps(good)[:50], "quarantined", ["no JSON"]),
+        "list": ("[1, 2]", "quarantined", ["$ is no object"]),
+        "empty": (change(receipt_id="e", results=[]), "quarantined", ["no results"]),
+        "none": (json.dumps({"receipt_id": "n"}), "quarantined", ["no results"]),
+        "nameless": (json.dumps({"results": [one]}), "quarantined", ["receipt_id is required"]),
+        "typed": (change(receipt_id="t", results=[one, typed]), "quarantined", ["$.results[1].candidate.receipt.total is no double", "$.results[1].candidate.line_items[0].quantity is no double"]),
+        "bare": (change(receipt_id="b", results=[bare]), "quarantined", ["receipt.date is required"]),
+        "half": (change(receipt_id="h", results=[bare, one]), "duplicate", ["receipt.date is required"]),
+        "hollow": (change(receipt_id="o", results=[{"source": "a"}]), "quarantined", ["neither a candidate nor a failure"]),
+    }
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.json").write_text("\n".join([*[x[0] for x in lines.values()], "", lines["cut"][0]]))
+    stream_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+    read = lambda name: read_table(spark, f"{tmp_path}/t", name)
+    assert Counter(r.fate for r in read("documents").collect()) == Counter([x[1] for x in lines.values()] + ["quarantined"])
+    reasons = Counter(e for r in read("quarantine").collect() for e in r.errors)
+    assert reasons == Counter([e for x in lines.values() for e in x[2]] + ["no JSON"])
+    kept = {r.raw for r in read("quarantine").filter("result_index IS NULL").collect()}
+    assert {lines[n][0] for n in ("cut", "list", "empty", "none", "nameless", "typed")} == kept
+    assert {(r.receipt_id, r.result_index) for r in read("quarantine").filter("result_index IS NOT NULL").collect()} == {("b", 0), ("h", 0), ("o", 0)}
+    # a batch of nothing but broken documents is a batch, too
+    (tmp_path / "in" / "y.json").write_text("{")
+    stream_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+    assert read("documents").count() == len(lines) + 2
+
+
+def test_rows_without_id_or_content_are_counted(spark):
+    rows = [result("r", 0, items=[ITEM]), result(None, 0, items=[ITEM]), result(None, 0, items=[ITEM]), failed("f", 0), result("q", 0, items=[ITEM], total=None)]
+    done = run_pipeline(spark.createDataFrame(rows, EXTRACTION))
+    assert outcome_counts(done).first().asDict() == {"n_receipts": 5, "n_created": 1, "n_duplicate": 0, "n_refused": 0, "n_review_only": 0, "n_without_candidate": 1, "n_quarantined": 3}
+    assert done.quarantined.count() == 3
+
+
+def test_documents_of_other_layouts(spark, tmp_path):
+    good = result("r", 0, items=[ITEM], total=84.0) | {"unknown": {"a": 1}}
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.json").write_text(json.dumps(good, default=str, indent=2))
+    (tmp_path / "w" / "b.json").write_text(json.dumps(good | {"receipt_id": "s", "result_index": "no"}, default=str, indent=2))
+    rows, corrupt = read_extractions(spark, f"{tmp_path}/w", whole_files=True)
+    assert [r.receipt_id for r in rows.collect()] == ["r"] and [r.errors for r in corrupt.collect()] == [["$.result_index is no int"]]
+    other = spark.createDataFrame([("r", 0, ("x",), "a"), ("s", None, ("y",), "a")], "receipt_id string, result_index long, candidate struct<store:string>, source string")
+    other.write.parquet(f"{tmp_path}/q")
+    rows, corrupt = read_extractions(spark, f"{tmp_path}/q", "parquet")
+    assert rows.count() == 0 and sorted(r.errors for r in corrupt.collect()) == [["$.candidate.store is no object"]] * 2
+
+
+def test_an_extractor_that_raises_loses_one_image(spark):
+    def choosy(batches):
+        for x in batches:
+            if b"bad" in [bytes(c) for c in x["content"]]:
+                raise KeyError("bad")
+            yield from by_name(iter([x]))
+
+    images = spark.createDataFrame([(f"i{k}", b"bad" if k == 3 else b"shop") for k in range(6)], "image_id string, content binary").coalesce(1)
+    rows = run_extractors(images, [("choosy", choosy), ("calm", by_name)])
+    results, failures = split_results(rows)
+    assert results.groupBy("source").count().orderBy("source").collect() == [("calm", 6), ("choosy", 5)]
+    (lost,) = failures.collect()
+    assert (lost.receipt_id, lost.result_index, lost.failure.flagged_reason, lost.failure.extractor_notes) == ("i3", 0, "extraction_failed", "KeyError: 'bad'")
+    assert rows._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 1
+
+
+def test_summary_of_batches_equals_that_of_all_reviews(spark, tmp_path):
+    path = f"{tmp_path}/tables"
+    rows = [r for results, _ in CASES.values() for r in results] + [failed("f", 0), failed("g", 1)]
+    for k in (0, 1, 1, 2):
+        ingest_batch(texts(spark.createDataFrame([r for r in rows if len(r["receipt_id"]) % 3 == k] or rows[:1], EXTRACTION)), path, f"b{k}")
+    near = lambda df: {tuple(r)[:5]: round(r.mean_confidence, 9) for r in df.collect()}
+    counts = read_table(spark, path, "review_counts")
+    assert near(merged_summary(counts)) == near(review_summary(read_table(spark, path, "extraction_reviews")))
+
+
 def test_payload_and_reports(spark):
     done = run_pipeline(batch(spark))
     sent = {r.receipt_id: json.loads(r.payload) for r in build_payload(done.bundle.shaped, done.bundle.reviews).collect()}
@@ -167,3 +319,31 @@ def test_no_local_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_receipts_of_very_many_items(spark):
+    """Two thousand items in three results, in other orders, with repeated texts and some that only one result has."""
+    items = [(f"article {k % 1900} no {k % 1900}", float(k), 1.0, float(k)) for k in range(2000)]
+    rows = [result("r", 0, "a", items), result("r", 1, "b", items[::-1]), result("r", 2, "c", items[7:] + [("only here", 1.0, 1.0, 1.0)])]
+    plan = match_items(gather(spark.createDataFrame(rows, EXTRACTION)))
+    (got,) = plan.select("exact", "group_of", "items.item.description", "items.result").collect()
+    assert got.group_of == greedy_groups(got.description, got.result)
+
+
+def test_pairing_by_sorts_equals_greedy_groups(spark):
+    rng = random.Random(8)
+    words = ["Rice", "rice ", "Ricf", "Beans in a tin", "Beans in a tim", "beans in a tin of tin", "Oil", "", None, "Tea 100 bags of tea", "Tea 100 bags of teas", "Oats from a big farm", "Oxts frym a big fzrm"]
+    rows = []
+    for r in range(120):
+        own = rng.sample(words, 5)
+        base = [(rng.choice(own), 1.0, 1.0, 1.0) for _ in range(rng.randint(0, 8))]
+        for k in range(rng.randint(1, 3)):
+            other = [x if rng.random() < 0.8 else (rng.choice(own), 1.0, 1.0, 1.0) for x in base if rng.random() < 0.9]
+            rng.shuffle(other)
+            rows.append(result(f"r{r}", k, "abc"[k], other))
+    got = match_items(gather(spark.createDataFrame(rows, EXTRACTION))).select("exact", "group_of", "items.item.description", "items.result", exact_is_enough("items", F.size("results")).alias("plainly")).collect()
+    assert len(got) == 120
+    for r in got:
+        assert r.group_of == greedy_groups(r.description, r.result)
+        assert r.exact or not r.plainly  # what the plain statement lets pass never goes to the helper
+    assert sum(r.exact for r in got) > sum(r.plainly for r in got)

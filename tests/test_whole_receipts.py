@@ -171,7 +171,7 @@ def test_pipeline_counts(spark, con, plain, extractions):
     (got,) = equals_sql(con, "p1_run_pipeline", queries.QUERIES["p1_run_pipeline"](spark, SF))
     stored = Counter(rid.removesuffix("-2") for rid, x in plain.items() if passes(*x[3:]))
     receipts = len({r.receipt_id for r in extractions})
-    assert got == (receipts, len(stored), sum(stored.values()) - len(stored), 0, len(plain) - sum(stored.values()), receipts - len(plain))
+    assert got == (receipts, len(stored), sum(stored.values()) - len(stored), 0, len(plain) - sum(stored.values()), receipts - len(plain), 0)
 
 
 def test_stream_takes_all_results(spark, plain):
