@@ -3,14 +3,17 @@
 The builder keeps the stack of open elements, closes what a start tag implies to be closed (``<p>`` before a block,
 ``<li>``, table parts, options) and reports opening, text and closing; the renderer drops what is not displayed,
 collapses white space, sets blocks apart, marks list items and aligns table cells. Nothing recurses and no tag makes it
-walk the stack, so nesting may be of any depth.
+walk the stack, so nesting may be of any depth. What layout may cost has a bound for each page, in proportion to its
+length (``Room``); beyond it tables are laid out without columns.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
+from itertools import accumulate
 from unicodedata import east_asian_width
 
 import pyarrow as pa
@@ -68,8 +71,10 @@ _PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _DECLARATION = re.compile(r"(?:^|[;{\s])(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
 _COMPOUND = re.compile(r"(\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)\Z", re.I)
-#: Deeper list items and quotes are indented like those of this depth.
+#: Deeper list items and quotes are indented like those of this depth, and deeper tables are rows of text, without columns.
 _DEEPEST = 32
+#: Characters and steps that aligning tables may take for each character of a page, and for any page.
+_ROOM, _ROOM_ANY = 16, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -97,7 +102,7 @@ def style_rules(sheets: list[str]) -> dict[str, list[Style]]:
     Selectors of one element (tag, classes, ids) count, those with combinators, attributes or pseudo-classes do not; of
     conditional blocks ``@media`` for all media or screens without further conditions counts.
     """
-    out: dict[str, list[Style]] = {}
+    best: dict[tuple, Style] = {}  # of equal selectors the one that counts
     place = 0
     for sheet in sheets:
         if "{" not in sheet:
@@ -128,11 +133,17 @@ def style_rules(sheets: list[str]) -> dict[str, list[Style]]:
                     ids = frozenset(n for kind, n in names if kind == "#")
                     classes = frozenset(n for kind, n in names if kind == ".")
                     tag = (part[1] or "").lower()
-                    key = "#" + min(ids) if ids else "." + min(classes) if classes else tag
                     for name, value, important in said:
                         rank = (important, len(ids), len(classes), int(tag not in ("", "*")), place)
-                        out.setdefault(key, []).append(Style(tag, classes, ids, name, value, rank))
+                        key = (tag, classes, ids, name)
+                        if key not in best or rank > best[key].rank:
+                            best[key] = Style(tag, classes, ids, name, value, rank)
                         place += 1
+    used = Counter(c for rule in best.values() for c in rule.classes)
+    out: dict[str, list[Style]] = {}
+    for rule in best.values():  # found by the class that the fewest rules have
+        rarest = min(rule.classes, key=lambda c: (used[c], c), default="")
+        out.setdefault("#" + min(rule.ids) if rule.ids else "." + rarest if rarest else rule.tag, []).append(rule)
     return out
 
 
@@ -215,18 +226,32 @@ class Cell:
     rows: int
 
 
+class Room:
+    """Steps and characters that the layout of a page may still take."""
+
+    def __init__(self, length: int):
+        self.left = _ROOM * length + _ROOM_ANY
+
+    def take(self, n: int) -> bool:
+        self.left -= n
+        return self.left >= 0
+
+
 class Table:
     def __init__(self):
         self.rows: list[list[Cell]] = []
         self.caption: list[str] = []
 
-    def placed(self) -> list[list[tuple[int, Cell]]]:
+    def placed(self, room: Room) -> list[list[tuple[int, Cell]]] | None:
         """Each row's own cells with their first columns: those that cells from above do not reach into."""
         taken: dict[int, int] = {}  # column: rows that a cell from above still covers
         out = []
-        for row in self.rows:
+        for k, row in enumerate(self.rows):
+            if not room.take(len(taken) + sum(cell.columns for cell in row)):
+                return None
             at, here = 0, []
             for cell in row:
+                cell.rows = min(cell.rows, len(self.rows) - k)
                 while at in taken:
                     at += 1
                 here.append((at, cell))
@@ -238,35 +263,57 @@ class Table:
             out.append(here)
         return out
 
-    def lines(self) -> list[str]:
+    def lines(self, room: Room) -> list[str]:
+        return self.caption + (self._aligned(room) or self._in_turn())
+
+    def _in_turn(self) -> list[str]:
+        """Cells of a line each side by side, others below each other."""
+        out = []
+        for row in self.rows:
+            cells = [cell.lines for cell in row if cell.lines]
+            short = all(len(lines) == 1 for lines in cells)
+            out += ["  ".join(lines[0] for lines in cells)] if short and cells else [x for lines in cells for x in lines]
+        return out
+
+    def _aligned(self, room: Room) -> list[str] | None:
         """Cells side by side, each column as wide as its widest cell of one column, two spaces between.
 
         The lines of a cell of several rows go on beside the rows below it; its last row makes room for what is left.
+        None if that takes more than there is room for.
         """
-        placed = self.placed()
+        placed = self.placed(room)
+        if placed is None:
+            return None
         widths: list[int] = []
         for row in placed:
             for at, cell in row:
                 widths += [0] * (at + cell.columns - len(widths))
                 if cell.columns == 1:
                     widths[at] = max([widths[at], *map(width, cell.lines)])
-        out = list(self.caption)
-        reaching: list[tuple[int, Cell, list[str], int]] = []  # column, cell, lines left, rows left with this one
+        begins = [0, *accumulate(w + 2 for w in widths)]  # of the columns, in characters
+        out: list[str] = []
+        reaching: list[tuple[int, Cell, int, int]] = []  # column, cell, lines done, rows left with this one
         for k, row in enumerate(placed):
-            reaching = [(at, cell, left, n - 1) for at, cell, left, n in reaching if n > 1]
-            reaching = sorted(reaching + [(at, cell, cell.lines, min(cell.rows, len(placed) - k)) for at, cell in row], key=lambda x: x[0])
-            height = max((len(left) for _, _, left, n in reaching if n == 1), default=0)
+            reaching = [(at, cell, done, n - 1) for at, cell, done, n in reaching if n > 1]
+            reaching = sorted(reaching + [(at, cell, 0, cell.rows) for at, cell in row], key=lambda x: x[0])
+            height = max((len(cell.lines) - done for _, cell, done, n in reaching if n == 1), default=0)
             height = max(height, int(any(cell.lines for _, cell in row)))
+            if not room.take(len(reaching) * (height + 1)):
+                return None
             for i in range(height):
-                parts, past = [], 0
-                for at, cell, left, _ in reaching:
-                    text = left[i] if i < len(left) else ""
-                    room = sum(widths[at : at + cell.columns]) + 2 * (cell.columns - 1)
-                    gap = sum(widths[past:at]) + 2 * (at - past)
-                    parts.append(" " * gap + text + " " * (room - width(text)) + "  ")
-                    past = at + cell.columns
+                parts, past, pushed = [], 0, 0
+                for at, cell, done, _ in reaching:
+                    if done + i < len(cell.lines) and cell.lines[done + i]:
+                        text = cell.lines[done + i]
+                        gap = begins[at] + pushed - past
+                        if not room.take(gap):
+                            return None
+                        parts.append(" " * gap + text)
+                        past += gap + width(text)
+                        # a cell of several columns may be wider than these
+                        pushed += max(0, width(text) - (begins[at + cell.columns] - 2 - begins[at]))
                 out.append("".join(parts).rstrip())
-            reaching = [(at, cell, left[height:], n) for at, cell, left, n in reaching]
+            reaching = [(at, cell, done + height, n) for at, cell, done, n in reaching]
         return out
 
 
@@ -284,6 +331,8 @@ class Page:
         self.open: list[Open] = []
         self.places: dict[str, list[int]] = {}  # of the open elements of a tag, outermost first
         self.rules = rules or {}
+        self.said: dict[tuple[str, str, str], dict[str, tuple[tuple, str]]] = {}  # by rules, for a tag, its classes and id
+        self.room = Room(0)
         self.sheets: list[str] = []
         self.hidden = 0
         self.visible = True
@@ -294,6 +343,7 @@ class Page:
 
     def run(self, html: str) -> str:
         at, n = 0, len(html)
+        self.room = Room(n)
         while at < n:
             start = html.find("<", at)
             if start < 0:
@@ -313,7 +363,12 @@ class Page:
                 tag = m[2].lower()
                 if m[1]:
                     self.end(tag)
+                elif tag == "plaintext" and not self._foreign():
+                    self.begin("pre", m[3])
+                    self.text(html[at:], entities=False)
+                    at = n
                 elif self.begin(tag, m[3]) and (tag in RAW or tag in ESCAPABLE_RAW) and not self._foreign():
+                    at = self._past_line_feed(tag, html, at)
                     close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
                     stop = close.start() if close else n
                     if tag == "style":
@@ -321,6 +376,8 @@ class Page:
                     elif stop > at:
                         self.text(html[at:stop], tag in ESCAPABLE_RAW)
                     at = stop
+                else:
+                    at = self._past_line_feed(tag, html, at)
         if at < n:
             self.text(html[at:])
         while self.open:
@@ -329,6 +386,13 @@ class Page:
 
     # --- tree ---
 
+    @staticmethod
+    def _past_line_feed(tag: str, html: str, at: int) -> int:
+        """A line feed right after these start tags is no text."""
+        if tag in ("pre", "listing", "textarea"):
+            at += 2 if html.startswith("\r\n", at) else html.startswith("\n", at)
+        return at
+
     def _last(self, tag: str) -> int:
         """The place of the innermost open element of a tag, or -1."""
         found = self.places.get(tag)
@@ -384,11 +448,12 @@ class Page:
         """Display and visibility of an element: of what applies, the last of the highest rank."""
         said: dict[str, tuple[tuple, str]] = {"display": ((False, -1), "none")} if "hidden" in found else {}
         if self.rules:
-            classes, id_ = set(found.get("class", "").split()), found.get("id", "")
-            for key in ("*", "", tag, "#" + id_, *("." + c for c in classes)):
-                for rule in self.rules.get(key, ()):
-                    if rule.rank > said.get(rule.name, ((), ""))[0] and rule.fits(tag, classes, id_):
-                        said[rule.name] = rule.rank, rule.value
+            key = (tag, found.get("class", ""), found.get("id", ""))
+            if key not in self.said:
+                self.said[key] = self._by_rules(tag, set(key[1].split()), key[2])
+            for name, (rank, value) in self.said[key].items():
+                if rank > said.get(name, ((), ""))[0]:
+                    said[name] = rank, value
         if "style" in found:
             for place, (name, value, important) in enumerate(declarations(found["style"])):
                 rank = (important, 1 << 30, place)
@@ -396,6 +461,14 @@ class Page:
                     said[name] = rank, value
         return said.get("display", (None, None))[1], said.get("visibility", (None, None))[1]
 
+    def _by_rules(self, tag: str, classes: set[str], id_: str) -> dict[str, tuple[tuple, str]]:
+        best: dict[str, tuple[tuple, str]] = {}
+        for key in ("*", "", tag, "#" + id_, *("." + c for c in classes)):
+            for rule in self.rules.get(key, ()):
+                if rule.rank > best.get(rule.name, ((), ""))[0] and rule.fits(tag, classes, id_):
+                    best[rule.name] = rule.rank, rule.value
+        return best
+
     def end(self, tag: str) -> None:
         if tag == "br":
             self.begin("br", "")
@@ -468,7 +541,9 @@ class Page:
         flow = self.flows[-1]
         nested = tag in ("ul", "ol", "menu") and bool(self.counters)
         if tag in ("td", "th", "caption"):
-            if self.tables and (tag == "caption" or self.tables[-1].rows):
+            if len(self.tables) > _DEEPEST:
+                flow.space = True
+            elif self.tables and (tag == "caption" or self.tables[-1].rows):
                 self.flows.append(Flow())
                 number = lambda name: int(found[name]) if re.fullmatch(r"[0-9]{1,5}", found.get(name, "")) else 1
                 rows = number("rowspan")
@@ -503,7 +578,9 @@ class Page:
             return
         flow = self.flows[-1]
         if tag in ("td", "th", "caption"):
-            if self.tables and len(self.flows) > 1 and (tag == "caption" or self.tables[-1].rows):
+            if len(self.tables) > _DEEPEST:
+                flow.space = True
+            elif self.tables and len(self.flows) > 1 and (tag == "caption" or self.tables[-1].rows):
                 done = self.flows.pop()
                 if tag == "caption":
                     self.tables[-1].caption += done.finish()
@@ -512,7 +589,7 @@ class Page:
             return
         flow.end_line()
         if tag == "table" and self.tables:
-            lines = self.tables.pop().lines()
+            lines = self.tables.pop().lines(self.room)
             if lines:
                 flow._start()
                 flow.lines += ["".join(flow.prefixes[:_DEEPEST]) + x for x in lines]
@@ -546,8 +623,10 @@ def extract_text(pages: DataFrame, html_col: str = "html", name: str = "text") -
     hides (``display`` and ``visibility``; of rules see ``style_rules``; linked sheets are not read). White space is
     collapsed but in ``pre``; blocks stand on lines of their own, paragraphs, headings, lists and tables between empty
     lines; list items have ``- `` or their number, nested ones are indented (beyond 32 levels no further); table cells are
-    aligned in columns, those of several columns or rows, too.
-    Null stays null, an empty page is empty; very long pages take linear time; broken markup is read leniently and unclosed
+    aligned in columns, those of several columns or rows, too. Tables in more than 32 others are rows of text, and where
+    aligning a page's tables would take more than 16 times its length, the rest of them have no columns: cells of a line
+    each side by side, others below each other.
+    Null stays null, an empty page is empty; time and text of very long pages are linear in their length; broken markup is read leniently and unclosed
     elements end with the page; formatting that reaches across blocks is not opened again, as it changes no text. Rules of
     equal rank: the last one counts. Repeated rows give the same text; an input column named like the output is replaced,
     unless it is the HTML itself; an empty table gives an empty one.

@@ -3,6 +3,7 @@
 import random
 import re
 import time
+from collections import Counter
 from html.parser import HTMLParser
 
 import pytest
@@ -151,10 +152,100 @@ def test_tables_against_a_grid():
         assert visible_text(html) == brute_table(rows), html
 
 
-def test_hostile_pages_take_linear_time():
-    took = []
-    for n in (4000, 16_000):
+HOSTILE = {
+    "stack": lambda n: "<b>" * n + "</i>" * n + "<li><blockquote>x" * (n // 8) + "<td>" * n,
+    "rowspan": lambda n: "<table>" + "<tr><td rowspan=65534>a" * n,
+    "colspan": lambda n: "<table>" + "<tr><td colspan=1000>a<td>b" * n,
+    "nested": lambda n: "<table><tr><td>x" * n,
+    "nested wide": lambda n: "<table><tr><td>a<td>bb<td>" * n,
+    "tall and wide": lambda n: "<table><tr>" + "<td>a" * n + "<td>" + "b<br>" * n + "</table>",
+    "one rule": lambda n: "<style>" + ".c{display:block}" * n + "</style>" + "<p class=c>x" * n,
+    "many rules": lambda n: "<style>" + "".join(f".c.x{k}{{display:none}}" for k in range(n)) + "</style>" + "".join(f"<p class='c y{k}'>x" for k in range(n)),
+    "staircase": lambda n: "<table>" + "".join(f"<tr>{'<td>' * (k % 100)}x" for k in range(n // 50)) + "</table>",
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_hostile_pages_take_linear_time_and_room(kind):
+    """Sixteen times the page: at most so many times the time and the text, and none of the text is lost."""
+    took, sizes = [], []
+    for n in (1000, 4000, 16_000):
+        html = HOSTILE[kind](n)
         began = time.process_time()
-        visible_text("<b>" * n + "</i>" * n + "<li><blockquote>x" * (n // 8) + "<td>" * n)
+        text = visible_text(html)
         took.append(time.process_time() - began)
-    assert took[1] < 10 * max(took[0], 0.05)
+        sizes.append(len(text))
+        assert len(text) <= 20 * len(html) + (1 << 17)
+        letters = Counter(re.sub(r"<style>.*</style>|<[^>]*>", "", html))
+        assert all(text.count(c) >= letters[c] for c in "abx")
+    assert took[2] < 40 * max(took[0], 0.02) and took[2] < 6
+
+
+def test_line_feeds_after_start_tags_and_plain_text():
+    assert visible_text("<pre>\n x\n y</pre>") == " x\n y"
+    assert visible_text("<pre>\n\nx</pre>").splitlines() == ["", "x"]
+    assert visible_text("<textarea>\r\nab</textarea>") == "ab"
+    assert visible_text("a<plaintext>b <b>c</b> &amp;\n</plaintext>d") == "a\n\nb <b>c</b> &amp;\n</plaintext>d"
+
+
+def restated(rows):
+    """Blocks of random pages by a second layout: nested lists, paragraphs and one-row tables, written from a tree."""
+    out = []
+
+    def walk(node, indent):
+        kind, body = node
+        if kind == "p":
+            gap()
+            out.append(indent + body)
+            gap()
+        elif kind == "div":
+            out.append(indent + body)
+        elif kind in ("ul", "ol"):
+            top = indent == ""
+            gap() if top else None
+            for k, (text, inner) in enumerate(body):
+                mark = "- " if kind == "ul" else f"{k + 1}. "
+                out.append(indent + mark + text)
+                for x in inner:
+                    walk(x, indent + " " * len(mark))
+            gap() if top else None
+        elif kind == "table":
+            gap()
+            widths = [max(len(r[c]) for r in body) for c in range(len(body[0]))]
+            out.extend("  ".join(t.ljust(w) for t, w in zip(r, widths)).rstrip() for r in body)
+            gap()
+
+    def gap():
+        if out and out[-1]:
+            out.append("")
+
+    for x in rows:
+        walk(x, "")
+    return "\n".join(out).strip("\n")
+
+
+def test_random_pages_against_a_second_layout():
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdef", k=rng.randint(1, 7)))
+
+    def node(depth):
+        kind = rng.choice(["p", "div", "ul", "ol", "table"] if depth == 0 else ["ul", "ol"])
+        if kind in ("p", "div"):
+            return kind, " ".join(word() for _ in range(rng.randint(1, 5)))
+        if kind == "table":
+            n = rng.randint(1, 4)
+            return kind, [[word() for _ in range(n)] for _ in range(rng.randint(1, 4))]
+        return kind, [(word(), [node(depth + 1)] if depth < 3 and rng.random() < 0.4 else []) for _ in range(rng.randint(1, 4))]
+
+    def html(x):
+        kind, body = x
+        if kind in ("p", "div"):
+            return f"<{kind}>  {body.replace(' ', rng.choice(['  ', chr(10), ' <b></b> ']))}</{kind}>"
+        if kind == "table":
+            return "<table>" + "".join("<tr>" + "".join(f"<td>{t}</td>" for t in r) + rng.choice(["</tr>", ""]) for r in body) + "</table>"
+        return f"<{kind}>" + "".join(f"<li>{t}" + "".join(map(html, inner)) + rng.choice(["</li>", "", "\n"]) for t, inner in body) + f"</{kind}>"
+
+    for _ in range(500):
+        rows = [node(0) for _ in range(rng.randint(1, 6))]
+        page = "".join(map(html, rows))
+        assert visible_text(page) == restated(rows), page
