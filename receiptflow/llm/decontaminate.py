@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from receiptflow.llm.shared import add_columns, drop_written, without, written
+from receiptflow.llm.shared import add_columns, drop_written, inner_names, without, written
 from receiptflow.llm.suffix_automaton import SuffixAutomaton
 from receiptflow.llm.words import Words, split_words, utf8
 from receiptflow.session import ship_package
@@ -184,18 +184,19 @@ def decontaminate(
     if text_col in outputs:
         raise ValueError(f"the text column may not be named {text_col}")
     names = T.ArrayType(T.StringType())
-    out = without(docs, [*outputs, "__spans", "__items"])
-    out = out.withColumns({"__spans": F.array().cast(_SPANS), "__items": F.array().cast(names)})
+    inner = inner_names("spans", "items")
+    out = without(docs, outputs)
+    out = out.withColumns({inner[0]: F.array().cast(_SPANS), inner[1]: F.array().cast(names)})
     first = out
     last = None
     for texts, ids in item_blocks(item_pieces(benchmark, item_id, item_text, window), block_bytes):
         if last is not None:
-            before, out = out, written(_against(out, *last, text_col, window), "decontaminated")
+            before, out = out, written(_against(out, *last, text_col, window, inner), "decontaminated")
             if before is not first:
                 drop_written(before)
         last = texts, ids
     if last is not None:
-        out = _against(out, *last, text_col, window)
+        out = _against(out, *last, text_col, window, inner)
     fields = [
         T.StructField("n_words", T.LongType()),
         T.StructField("n_hit", T.LongType()),
@@ -210,7 +211,7 @@ def decontaminate(
             column = batch.column(batch.schema.get_field_index(text_col))
             words = split_words(column)
             counts = words.counts()
-            spans = [_merged([(s["first"], s["past"]) for s in x]) for x in batch.column("__spans").to_pylist()]
+            spans = [_merged([(s["first"], s["past"]) for s in x]) for x in batch.column(inner[0]).to_pylist()]
             hits = [sum(b - a for a, b in x) for x in spans]
             raw, offsets = utf8(column)
             texts = column.to_pylist() if any(hits) else None
@@ -229,30 +230,32 @@ def decontaminate(
                 pa.array(counts, pa.int64()),
                 pa.array(hits, pa.int64()),
                 pa.array([[{"first": a, "past": b} for a, b in x] for x in spans], _SPANS_ARROW),
-                pa.array([sorted(set(x)) for x in batch.column("__items").to_pylist()], pa.list_(pa.string())),
+                pa.array([sorted(set(x)) for x in batch.column(inner[1]).to_pylist()], pa.list_(pa.string())),
                 pa.array([bool(h) and clean_share * h >= int(n) for h, n in zip(hits, counts, strict=True)], pa.bool_()),
                 pa.array(clean, pa.string()) if texts is not None else column.cast(pa.string()),
             ]
 
         return finish
 
-    return add_columns(out, fields, make, weigh=text_col).drop("__spans", "__items")
+    return add_columns(out, fields, make, weigh=text_col).drop(*inner)
 
 
-def _against(docs: DataFrame, texts: pa.Array, ids: list[list[str]], text_col: str, window: int) -> DataFrame:
-    """``docs`` with the matches of one block of items added to ``__spans`` and ``__items``."""
+def _against(docs: DataFrame, texts: pa.Array, ids: list[list[str]], text_col: str, window: int, inner: list[str]) -> DataFrame:
+    """``docs`` with the matches of one block of items added to the columns ``inner``: spans and items."""
     matcher = docs.sparkSession.sparkContext.broadcast(_Matcher(texts, ids, window))
-    fields = [docs.schema["__spans"], docs.schema["__items"]]
-    before = docs.withColumnsRenamed({"__spans": "__spans0", "__items": "__items0"})
+    fields = [docs.schema[c] for c in inner]
+    past = inner_names("spans", "items")
+    before = docs.withColumnsRenamed(dict(zip(inner, past, strict=True)))
 
     def make():
         machine = matcher.value
 
         def extend(batch: pa.RecordBatch) -> list[pa.Array]:
             found = machine.match(split_words(batch.column(batch.schema.get_field_index(text_col))))
+            spans, names = (batch.column(c) for c in past)
             if not any(s for s, _ in found):
-                return [batch.column("__spans0").cast(_SPANS_ARROW), batch.column("__items0").cast(pa.list_(pa.string()))]
-            spans, names = batch.column("__spans0").to_pylist(), batch.column("__items0").to_pylist()
+                return [spans.cast(_SPANS_ARROW), names.cast(pa.list_(pa.string()))]
+            spans, names = spans.to_pylist(), names.to_pylist()
             for r, (s, hit) in enumerate(found):
                 spans[r] += [{"first": a, "past": b} for a, b in s]
                 names[r] += {x for k in hit for x in machine.names[k]}
@@ -260,4 +263,4 @@ def _against(docs: DataFrame, texts: pa.Array, ids: list[list[str]], text_col: s
 
         return extend
 
-    return add_columns(before, fields, make, weigh=text_col).drop("__spans0", "__items0")
+    return add_columns(before, fields, make, weigh=text_col).drop(*past)

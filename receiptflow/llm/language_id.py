@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,22 +199,26 @@ def pooled(network: Network, data: np.ndarray, offsets: np.ndarray, rows: int |
     return out
 
 
-def sample_labelled(docs: DataFrame, text_col: str, lang_col: str, per_language: int, sample_bytes: int) -> pa.Table:
-    """About ``per_language`` different texts of every label, or all it has, picked by hash.
+def sample_labelled(docs: DataFrame, text_col: str, lang_col: str, per_language: int, language_chars: int) -> pa.Table:
+    """About ``per_language`` different texts of every label, or all it has, picked by hash, each whole.
 
-    Of a picked text a stretch of at most ``sample_bytes`` characters from a place given by its hash is used, so that
-    what comes to the driver has a bound for each label, however long texts are.
+    Of these, rows are taken in the order of their hashes while they have ``language_chars`` characters together, one at
+    least (the shortest, should all be longer), so that what comes to the driver has a bound for each label.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
     rows = rows.withColumn("h", F.xxhash64("text"))
     counts = rows.select("lang", "h").distinct().groupBy("lang").count()
+    # a row for each label, of each of which the network, which is broadcast anyway, holds more
     rows = rows.join(F.broadcast(counts), "lang")
     share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count"))
-    rows = rows.filter(F.pmod("h", F.lit(1_000_003)) < share * 1_000_003)
-    start = F.pmod(F.shiftright("h", 20), F.greatest(F.lit(1), F.length("text") - sample_bytes)).cast("int") + 1
-    picked = rows.select("lang", F.substring("text", start, F.lit(sample_bytes)).alias("text"), "h")
-    return picked.dropDuplicates(["lang", "h"]).orderBy("lang", "h").drop("h").toArrow()
+    picked = rows.filter(F.pmod("h", F.lit(1_000_003)) < share * 1_000_003).dropDuplicates(["lang", "h"])
+    # of about ``per_language`` rows a label: those that would take most of its room by themselves come last
+    large = F.length("text") > language_chars / 8
+    order = Window.partitionBy("lang").orderBy(large, F.when(large, F.length("text")), "h")
+    room = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    taken = picked.withColumns({"room": room, "place": F.row_number().over(order)}).filter((F.col("room") <= language_chars) | (F.col("place") == 1))
+    return taken.select("lang", "text", "h").orderBy("lang", "h").drop("h").toArrow()
 
 
 #: Bytes of the stretches that are learned.
@@ -244,19 +248,19 @@ def identify(
     text_col: str = "text",
     lang_col: str = "lang",
     per_language: int = 300,
-    sample_bytes: int = 2000,
+    language_chars: int = 600_000,
 ) -> DataFrame:
     """Each row of ``docs`` with ``lang_pred`` and ``score``, learned from the rows of ``learn`` with text and label.
 
-    The network is trained on the driver on about ``per_language`` stretches of ``sample_bytes`` characters at most of
-    every label, whatever the size of ``learn``; copies of a text count once. Prediction reads every byte of
+    The network is trained on the driver on about ``per_language`` whole texts of every label, fewer if they have more than
+    ``language_chars`` characters, whatever the size of ``learn``; copies of a text count once. Prediction reads every byte of
     every text and no column but the text. ``score`` is the mean probability of the predicted language over all bytes,
     from 0 to 1; of languages with equal probability the first in order is taken. A text that is null or without a
     letter, and every text if nothing could be learned, gets ``und`` and 0. Very long texts are read in windows, so their
     length bounds nothing but the row itself. Repeated rows are predicted alike; input columns named like the outputs
     are replaced; an empty table gives an empty one.
     """
-    network = train(sample_labelled(learn, text_col, lang_col, per_language, sample_bytes))
+    network = train(sample_labelled(learn, text_col, lang_col, per_language, language_chars))
     shared = docs.sparkSession.sparkContext.broadcast(network)
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from receiptflow.llm.shared import drop_written, without, written
+from receiptflow.llm.shared import drop_written, inner_names, without, written
 
 #: A word, in Java's regular expressions and in RE2.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -135,16 +135,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     window by itself; rows with equal id and text are one document, treated alike, not repetitions of each other. An empty table gives an empty one; input columns named like outputs are replaced.
     """
     names = ["clean_text", "removed_spans"]
-    spans = repeated_runs(docs, id_col, text_col, least_words).toDF("__id", "__th", "__spans")
+    key, hash_, own, cut_, lines_ = inner_names("id", "th", "h", "spans", "lines")
+    spans = repeated_runs(docs, id_col, text_col, least_words).toDF(key, hash_, cut_)
     text = F.col(text_col).cast("string")
-    out = without(docs, [*names, "__id", "__th", "__spans"]).withColumn("__h", F.xxhash64(text))
-    out = out.join(spans.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")), "left")
-    lines, cut = F.split(text, "\n"), F.col("__spans")
+    out = without(docs, names).withColumn(own, F.xxhash64(text))
+    out = out.join(spans.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(hash_)), "left")
+    lines, cut = F.split(text, "\n"), F.col(cut_)
     begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(cut, i - 1)["last"] + 1)
-    past = lambda i: F.coalesce(F.get(cut, i)["first"], F.size("__lines"))
-    parts = F.transform(F.sequence(F.lit(0), F.size(cut)), lambda i: F.slice("__lines", begin(i) + 1, past(i) - begin(i)))
-    out = out.withColumn("__lines", F.when(cut.isNotNull(), lines))
+    past = lambda i: F.coalesce(F.get(cut, i)["first"], F.size(lines_))
+    parts = F.transform(F.sequence(F.lit(0), F.size(cut)), lambda i: F.slice(lines_, begin(i) + 1, past(i) - begin(i)))
+    out = out.withColumn(lines_, F.when(cut.isNotNull(), lines))
     out = out.withColumn("clean_text", F.when(cut.isNull(), text).otherwise(F.array_join(F.flatten(parts), "\n")))
-    return out.withColumn("removed_spans", F.coalesce(cut, F.array().cast(spans.schema["__spans"].dataType))).drop(
-        "__id", "__th", "__h", "__spans", "__lines"
-    )
+    out = out.withColumn("removed_spans", F.coalesce(cut, F.array().cast(spans.schema[cut_].dataType)))
+    return out.drop(key, hash_, own, cut_, lines_)

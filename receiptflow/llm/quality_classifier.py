@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from receiptflow.llm.shared import add_columns, without, written
+from receiptflow.llm.shared import add_columns, quoted, without, written
 from receiptflow.llm.words import split_words
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -197,8 +197,7 @@ def classify_quality(
     each; without labels the classifier says one half of everything; an empty table gives an empty one; input columns
     named like outputs are replaced.
     """
-    outputs = [*FEATURES, "host", "path", "y", "p_text", "host_prior", "path_prior", "p_good", "kept", "__evidence", "__label", "__id"]
-    own = ["__text", "__words", "__host", "__path", "__hash", "__said", "__buckets", "__values"]
+    outputs = ["host", "path", "p_text", "host_prior", "path_prior", "p_good", "kept"]
     given = labels.filter(F.col(label_col).isNotNull() & F.col(label_id).isNotNull()).groupBy(F.col(label_id).alias("__id"))
     given = written(given.agg(F.round(F.avg(F.col(label_col).cast("double"))).alias("__label")), "quality-labels")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -214,12 +213,15 @@ def classify_quality(
     sizes = sample.column("__buckets").combine_chunks().value_lengths().to_numpy()
     flat = [sample.column(c).combine_chunks().flatten().to_numpy() for c in ("__buckets", "__values")]
     model = fit_logistic(x, np.repeat(np.arange(len(sizes)), sizes), *flat, sample.column("__label").to_numpy())
-    table = without(docs.withColumns({"__h": host, "__p": path, "__t": text}), [text_col, *outputs, *own])
-    table = table.withColumnsRenamed({"__h": "host", "__p": "path", "__t": "__text"})
+    # the caller's columns go along under plain names, which clash with none of those used on the way
+    along = without(docs, [text_col, *outputs]).columns
+    back = {f"c{i}": c for i, c in enumerate(along)}
+    own = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(along)]
+    table = docs.select(*own, host.alias("host"), path.alias("path"), text.alias("__text"), F.col(quoted(id_col)).alias("__own"))
     odds = model.log_odds(FEATURES, "__said")
     table = measures(_with_score(table, "__text", "__said", model.words)).drop("__text")
     table = table.withColumn("__evidence", odds - F.lit(model.base)).withColumn("p_text", 1 / (1 + F.exp(-odds)))
-    table = table.drop(*FEATURES, "__said").join(given, F.col(id_col) == F.col("__id"), "left").drop("__id")
+    table = table.drop(*FEATURES, "__said").join(given, F.col("__own") == F.col("__id"), "left").drop("__id", "__own")
     table = written(table, "quality-evidence")
     table = table.withColumn("y", F.coalesce("__label", "p_text"))
     sites = site_posteriors(table)
@@ -232,4 +234,4 @@ def classify_quality(
     out = out.withColumn("host_prior", bounded(host_prior)).withColumn("path_prior", bounded(path_prior))
     out = out.withColumn("p_good", 1 / (1 + F.exp(-(F.col("__evidence") + _odds(F.col("path_prior"))))))
     out = out.withColumn("kept", F.col("p_good") >= at_least)
-    return out.drop(*sites.columns, "__evidence", "__label", "y")
+    return out.select(*[F.col(k).alias(c) for k, c in back.items()], *outputs)

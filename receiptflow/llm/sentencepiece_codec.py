@@ -26,8 +26,11 @@ _U = np.uint64
 _SPACE = "▁"
 #: Bytes of suffixes that are sorted at once; ties are sorted by the next so many, up to the longest piece.
 _SORTED = 16
-#: Bytes that are matched at once; a longer segment is matched by itself.
+#: Bytes that are matched at once.
 _PORTION = 1 << 16
+#: A segment of more bytes is matched in stretches of about so many, side by side, each going on over some of the next one.
+_LONG, _OVERLAP = 1 << 12, 1 << 9
+_LONG_PORTION = 1 << 18
 
 
 def merge_steps(text: str, ids: dict[str, int], scores: list[float]) -> tuple[list[str], list[tuple[float, str, str]]]:
@@ -149,6 +152,11 @@ class Encoder:
         self.pairs = np.full(1 << 21, -1, np.int64)
         self.stay = np.zeros(1 << 21, bool)
         self.byte_ids = np.array(model.bytes_)
+        self.stretches: dict[bytes, np.ndarray] = {}
+        self.sizes = np.array([len(p.encode()) for p in model.pieces], np.int64)  # of tokens in bytes of the text
+        self.sizes[self.byte_ids] = 1
+        self.whole = np.ones(len(model.pieces), bool)  # tokens that are pieces, not bytes of a character without one
+        self.whole[self.byte_ids] = False
         self.seed = 0
         self._forget()
 
@@ -205,8 +213,13 @@ class Encoder:
         new = np.flatnonzero(~old)
         if len(new):
             a, b = segments.starts[first[new]], segments.ends[first[new]]
-            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(b - a) // _PORTION)) + 1).tolist(), len(new)]
-            parts = [self._match(segments.data, a[i:j], b[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True) if j > i]
+            parts, i = [], 0
+            for j in [*np.flatnonzero(b - a > _LONG).tolist(), len(new)]:
+                parts += self._in_portions(segments.data, a[i:j], b[i:j], _PORTION)
+                if j < len(new):
+                    tokens = self._match_long(segments.data, int(a[j]), int(b[j]))
+                    parts.append((tokens, np.array([len(tokens)])))
+                i = j + 1
             where = len(self.starts) - 1 + np.arange(len(new))
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([n for _, n in parts]))])
             self.tokens = np.concatenate([self.tokens, *(t for t, _ in parts)])
@@ -230,6 +243,70 @@ class Encoder:
             self.known.rows,
         )
 
+    def _in_portions(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(ends - starts) // most)) + 1).tolist(), len(starts)]
+        return [self._match(data, starts[i:j], ends[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True) if j > i]
+
+    def _match_long(self, data: np.ndarray, start: int, end: int) -> np.ndarray:
+        """The tokens of a long segment from those of its stretches.
+
+        Every stretch is encoded as if it stood alone. In what two of them share there is nearly always a place where both
+        have a border between tokens and the one before it stays beside the one behind it: there the first is left for the
+        second. All neighbours stay beside each other then, which makes the whole the encoding of the segment. Where
+        there is no such place (a run of one letter, out of step), the next stretch is matched again from a border of the
+        first on.
+        """
+        firsts = np.arange(start, end, _LONG)
+        while (inside := (data[firsts] & 0xC0) == 0x80).any():  # not inside a character
+            firsts[inside] -= 1
+        lasts = np.minimum(firsts + _LONG + _OVERLAP, end)
+        while (inside := (lasts < end) & ((data[np.minimum(lasts, end - 1)] & 0xC0) == 0x80)).any():
+            lasts[inside] -= 1
+        parts = self._in_portions(data, firsts, lasts, _LONG_PORTION)
+        tokens = np.split(np.concatenate([t for t, _ in parts]), np.cumsum(np.concatenate([n for _, n in parts]))[:-1])
+        out, behind, took = [], tokens[0], int(firsts[0])  # tokens from ``took`` on that may still change
+        for k in range(1, len(firsts)):
+            met = self._border(behind, took, tokens[k], int(firsts[k]))
+            if met is None:
+                met = self._again(data, behind, took, int(lasts[k]))
+                if met is None:
+                    return self._match(data, np.array([start]), np.array([end]))[0]
+                out.append(behind[: met[0]])
+                took, behind = met[1:]
+                continue
+            i, j = met
+            out.append(behind[:i])
+            behind, took = tokens[k][j:], int(firsts[k]) + int(self.sizes[tokens[k][:j]].sum())
+        return np.concatenate([*out, behind])
+
+    def _again(self, data: np.ndarray, left: np.ndarray, at: int, end: int) -> tuple[int, int, np.ndarray] | None:
+        """How many tokens to take of the left stretch, where the next one begins, and its tokens up to ``end``."""
+        ends = at + np.cumsum(self.sizes[left])
+        for k in np.argsort(np.abs(ends[:-1] - (ends[-1] - _OVERLAP // 2)), kind="stable")[:16].tolist():
+            text = data[ends[k] : end].tobytes()
+            if text not in self.stretches:  # texts that need this repeat themselves
+                if len(self.stretches) >= 256:
+                    self.stretches.clear()
+                self.stretches[text] = self._match(data, ends[k : k + 1], np.array([end]))[0]
+            fit = self.stretches[text]
+            if self._stay(left[k], fit[0]):
+                return k + 1, int(ends[k]), fit
+        return None
+
+    def _stay(self, left: int, right: int) -> bool:
+        return bool(self.whole[left] and self.whole[right] and self._fits(np.array([left], np.int64), np.array([right], np.int64))[0])
+
+    def _border(self, left: np.ndarray, at: int, right: np.ndarray, begin: int) -> tuple[int, int] | None:
+        """How many tokens to take of the left stretch, from ``at`` on, and to leave out of the right one, from ``begin`` on."""
+        ends = at + np.cumsum(self.sizes[left])
+        starts = begin + np.concatenate([[0], np.cumsum(self.sizes[right])[:-1]])
+        both, i, j = np.intersect1d(ends, starts, assume_unique=True, return_indices=True)
+        # not at once at the edge of the right one, whose first tokens know nothing of what is before them
+        for k in np.argsort(np.abs(both - begin - _OVERLAP // 2)).tolist():
+            if i[k] + 1 < len(left) and self._stay(left[i[k]], right[j[k]]):
+                return int(i[k]) + 1, int(j[k])
+        return None
+
     def _match(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of distinct segments, and how many each has."""
         size = ends - starts
@@ -423,7 +500,8 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", decod
     The model file is read on the driver and sent to the tasks; it is a vocabulary, which does not grow with the texts.
     Null ids and no tokens for a null text, an empty list for an empty one; repeated rows are encoded alike; input columns
     named like the outputs are replaced; an empty table gives an empty one. A character that is in no piece comes as its
-    bytes.
+    bytes. Very long texts take linear time, also without a space: a segment of more than 4096 bytes is matched in
+    stretches side by side (4 MB of letters take seconds and some hundred megabytes).
     """
     model = docs.sparkSession.sparkContext.broadcast(PieceModel.load(model_path))
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]

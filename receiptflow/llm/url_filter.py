@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from receiptflow.llm.shared import add_columns, without
+from receiptflow.llm.shared import add_columns, inner_names, without
 from receiptflow.llm.words import utf8
 
 #: Bytes that UTF-8 never holds: the start of the host, and between host and path.
@@ -114,9 +114,9 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
     outputs are replaced. The rules are code of the caller, sent with the task; they do not grow with the pages.
     """
     host, path = host_and_path(F.col(url_col))
-    framed = without(pages.withColumn("__host", host).withColumn("__path", path), ["host", "path"])
-    framed = framed.withColumnsRenamed({"__host": "host", "__path": "path"})
-    framed = framed.withColumn("__bytes", F.concat("host", "path"))
+    host_, path_, bytes_ = inner_names("host", "path", "bytes")
+    framed = without(pages.withColumns({host_: host, path_: path}), ["host", "path"])
+    framed = framed.withColumnsRenamed({host_: "host", path_: "path"}).withColumn(bytes_, F.concat("host", "path"))
     given, rules = len(rules), [*rules, *(own or [])]
     ranked = sorted(range(len(rules)), key=lambda i: (i >= given, -len(rules[i].text), i))
     texts = [rules[i].text for i in ranked]
@@ -147,4 +147,6 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
         return judge
 
     fields = [T.StructField(n, T.StringType()) for n in ("rule", "verdict", "own_glob")]
-    return add_columns(framed, fields, make, weigh="__bytes", block_bytes=1 << 20).drop("__bytes")
+    # the masks of all rows of a block are in memory together
+    size = max(1 << 12, (1 << 20) // ShiftAnd(globs).words)
+    return add_columns(framed, fields, make, weigh=bytes_, block_bytes=size).drop(bytes_)

@@ -13,6 +13,7 @@ from receiptflow.llm.line_dedup import dedup_lines
 from receiptflow.llm.quality_classifier import classify_quality
 from receiptflow.llm.quality_rules import judge_quality
 from receiptflow.llm.sentencepiece_codec import encode_texts
+from receiptflow.llm.sharding import shard_documents
 from receiptflow.llm.url_filter import Rule, filter_urls
 from receiptflow.llm.warc import archive_pages
 
@@ -60,3 +61,21 @@ def test_near_copies_on_the_same_table(spark):
     kept = keep_one_of_each(table).collect()
     # of the two equal rows one goes; the texts without words all stay
     assert len(kept) == len(ROWS) - 1 and keep_one_of_each(table.limit(0)).count() == 0
+
+
+#: Names that operators have, or have had, for columns of their own.
+INNER = (
+    "__spans __items __spans0 __items0 __h __th __id __lines __bytes __host __path __t __p __label __said __hash __buckets __values __own __site_n "
+    "id th pos h h2 words start past at y n s mean unit alone bytes part place cell f_length f_lines stats head role turn"
+).split()
+
+
+@pytest.mark.parametrize("name", ["line_dedup", "html_text", "url_filter", "decontaminate", "language_id", "quality_classifier", "sentencepiece", "sharding"])
+def test_columns_named_like_inner_ones_come_along(spark, name):
+    if name == "sentencepiece" and not os.path.exists(MODEL):
+        pytest.skip("the public tokenizer file is not here")
+    table = spark.createDataFrame(ROWS, "doc_id long, text string, `a.b` string")
+    odd = table.selectExpr("*", *[f"'{c}' AS `{c}`" for c in INNER])
+    run = OPERATORS[name] if name in OPERATORS else lambda spark, t: shard_documents(t, 3)
+    rows = run(spark, odd).collect()
+    assert len(rows) == len(ROWS) and all(r[c] == c for r in rows for c in INNER)

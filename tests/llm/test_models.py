@@ -5,6 +5,7 @@ import hashlib
 import io
 import os
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -147,6 +148,23 @@ def test_codec_equals_the_library(spark):
 
 
 @pytest.mark.skipif(not os.path.exists(MODEL), reason="the public tokenizer file is not here")
+def test_long_segments_equal_the_library():
+    """Texts without spaces: of words, of random letters, of other scripts, and such that repeat themselves out of step."""
+    import sentencepiece
+
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = ["".join(rng.choice(PARTS).replace(" ", "") for _ in range(9000)), "".join(rng.choices(letters, k=150_000)), "a" * 30_000, "ab" * 9000]
+    texts += ["=" * 9000 + "-" * 9001, "aab" * 5001, "日本語テスト" * 2500, "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(9000)), "\u0378" * 3000 + "x" * 6000]
+    own = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    encoder = Encoder(PieceModel.load(MODEL))
+    for text in texts:
+        assert encoder.encode(pa.array([text])).to_pylist() == [own.encode(text)], text[:60]
+    began = time.process_time()
+    text = "".join(rng.choices(letters, k=2_000_000))
+    assert len(encoder.encode(pa.array([text]))[0]) > 500_000 and time.process_time() - began < 40
+
+
 def test_segments_of_equal_hashes_are_told_apart(monkeypatch):
     import sentencepiece
 
@@ -262,11 +280,19 @@ def test_streams_of_members_and_cut_streams():
 
 def test_every_label_is_sampled_and_copies_count_once(spark):
     rows = [(f"text {k} of label {n}", f"l{n:02}") for n in range(70) for k in range(2)] + [("a hot text", "zz")] * 500
-    sample = sample_labelled(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", per_language=300, sample_bytes=2000)
+    sample = sample_labelled(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", per_language=300, language_chars=2000)
     langs = sample.column("lang").to_pylist()
     assert len(set(langs)) == 71 and langs.count("zz") == 1 and len(langs) == 141
 
 
+def test_samples_are_whole_texts_within_their_room(spark):
+    rows = [("x" * 50_000, "a"), ("y" * 300, "a"), ("z" * 300, "a"), ("w" * 90_000, "b")] + [(f"{k:03}" * 100, "c") for k in range(40)]
+    sample = sample_labelled(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", per_language=300, language_chars=3000).to_pylist()
+    assert {x["text"] for x in sample} <= {x[0] for x in rows}
+    assert sorted(len(x["text"]) for x in sample if x["lang"] == "a") == [300, 300]
+    assert [len(x["text"]) for x in sample if x["lang"] == "b"] == [90_000] and sum(x["lang"] == "c" for x in sample) == 10
+
+
 def test_paths_of_stores():
     names = {"s3a://b/x": "s3://b/x", "dbfs:/tmp/x": "file:///dbfs/tmp/x", "file:/a/b": "file:///a/b", "file:///a": "file:///a", "hdfs://n/x": "hdfs://n/x"}
     assert {k: warc.located(k) for k in names} == names
