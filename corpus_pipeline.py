@@ -15,7 +15,7 @@ from receiptflow.llm.language_id import identify
 from receiptflow.llm.line_dedup import WORD, dedup_lines
 from receiptflow.llm.queries import PIECE_MODEL
 from receiptflow.llm.sentencepiece_codec import encode_texts
-from receiptflow.llm.shared import written
+from receiptflow.llm.shared import drop_written, written
 
 
 def _only(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -30,7 +30,10 @@ def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language, under the predicted one; those without a text or a letter in it go."""
+    """Documents with a language, under the predicted one; those without a text or a letter in it go.
+
+    The network learns from the labels of all documents that come in.
+    """
     found = identify(docs, docs).filter("lang_pred <> 'und'")
     return _only(found.withColumn("lang", F.col("lang_pred")), docs.columns)
 
@@ -82,6 +85,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty one.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    for k, (name, stage) in enumerate(STAGES):
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if k:  # no later plan reads what the stage before has written
+            drop_written(before)
     return docs
