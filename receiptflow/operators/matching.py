@@ -17,14 +17,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from receiptflow.functions.expr import is_plain, normal_text
+from receiptflow.functions.expr import normal_text
 from receiptflow.session import ship_package
 
 SIMILAR = 0.9
 
 
 def flat_items(results: Column) -> Column:
-    """All items of a receipt in order: (result, pos, source, item, scores, key, plain)."""
+    """All items of a receipt in order: (result, pos, source, item, scores, key)."""
     return F.flatten(
         F.transform(
             results,
@@ -37,7 +37,6 @@ def flat_items(results: Column) -> Column:
                     x.alias("item"),
                     F.get(r["confidence"]["line_items"], j).alias("scores"),
                     F.coalesce(normal_text(x["description"]), F.lit("")).alias("key"),
-                    F.coalesce(is_plain(x["description"]), F.lit(True)).alias("plain"),
                 ),
             ),
         )
@@ -97,10 +96,9 @@ def needs_helper(items: str, texts: str, firsts: str, uneven: str, n_results: Co
     A text that every result has equally often finds its group unless another text takes it, so only pairs with a text that
     the results do not have equally often count.
     """
-    odd = F.exists(items, lambda x: ~x["plain"])
     key = lambda b: F.get(texts, b)["key"]
     near = F.exists(uneven, lambda u: F.exists(firsts, lambda b: (key(b) != u) & _may_be_similar(u, key(b))))
-    return (n_results > 1) & (F.size(items) > 0) & (odd | near)
+    return (n_results > 1) & (F.size(items) > 0) & near
 
 
 def uneven_texts(texts: str, firsts: str, n_results: Column) -> Column:
@@ -120,7 +118,6 @@ def exact_is_enough(items: str, n_results: Column) -> Column:
     tenth of their joint length: where that holds for no pair of different texts, no similarity can matter. Where
     every result has the same number of each text, an open group of the same text is always there.
     """
-    plain = F.forall(items, lambda x: x["plain"])
     close = F.exists(
         items,
         lambda a: F.exists(
@@ -134,7 +131,7 @@ def exact_is_enough(items: str, n_results: Column) -> Column:
     texts = lambda i: F.array_sort(F.transform(F.filter(items, lambda x: x["result"] == i), lambda x: x["key"]))
     alike = F.forall(F.sequence(F.lit(0), n_results - 1), lambda i: texts(i) == texts(F.lit(0)))
     # a single result has no item to pair another with
-    return (F.size(items) == 0) | (n_results <= 1) | (plain & (F.when(n_results > 0, alike).otherwise(F.lit(True)) | ~close))
+    return (F.size(items) == 0) | (n_results <= 1) | F.when(n_results > 0, alike).otherwise(F.lit(True)) | ~close
 
 
 @lru_cache(maxsize=100_000)

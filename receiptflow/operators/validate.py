@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from receiptflow import schemas
-from receiptflow.functions.expr import TOLERANCE, mismatch_confidence, missing, no_reviews, present, review
+from receiptflow.functions.expr import TOLERANCE, compensated_sum, mismatch_confidence, missing, no_reviews, present, review
 
 
 def _row(field: str, confidence: Column | None = None) -> Column:
@@ -39,7 +39,7 @@ def expected_sum() -> Column:
 
 
 def sum_mismatch() -> Column:
-    total = F.aggregate("line_items", F.lit(0.0), lambda s, x: s + F.coalesce(x["line_total"], F.lit(0.0)))
+    total = compensated_sum(F.transform("line_items", lambda x: x["line_total"]))
     off = (F.size("line_items") > 0) & (F.abs(total - expected_sum()) >= F.lit(TOLERANCE))
     return present([F.when(off, _row("line_item", mismatch_confidence(total, expected_sum())))])
 
@@ -52,7 +52,7 @@ def no_items() -> Column:
 def validate(resolved: DataFrame) -> DataFrame:
     """``resolved`` with ``validation_reviews``: store, receipt, each item (required, then arithmetic), then the sum.
 
-    The receipt's items are added in their order without compensation. Missing items count as an empty list.
+    The receipt's items are added in their order, with what rounding loses added at the end. Missing items count as an empty list.
     """
     df = resolved.withColumn("line_items", F.coalesce("line_items", F.slice(F.array(F.struct(*_null_item())), F.lit(1), F.lit(0))))
     items = F.flatten(F.transform("line_items", lambda x: F.concat(required_line_item(x), line_arithmetic(x))))

@@ -2,13 +2,14 @@
 
 import datetime
 import random
+import sys
 from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
 from receiptflow import schemas
-from receiptflow.functions.expr import float_text, mismatch_confidence
+from receiptflow.functions.expr import case_folded, compensated_sum, float_text, mismatch_confidence, normal_text
 from receiptflow.operators.checks import check_candidates, check_confidence_alignment, check_records
 from receiptflow.operators.load import detect_duplicates, ingest, payload_errors
 from receiptflow.operators.matching import greedy_groups, match_items
@@ -240,3 +241,38 @@ def test_pipeline_counts_add_up_and_do_not_depend_on_partitions(spark):
     assert seen[0] == seen[1]
     empty = spark.createDataFrame([], EXTRACTION)
     assert run_pipeline(empty).outcomes.count() == 0
+
+
+def test_float_text_with_exponents(spark):
+    rng = random.Random(3)
+    values = [5e-05, -5e-05, 1e-19, 1.5e-300, 1e16, 12345678901234567890.0, 1e22, 9999999999999998.0, 0.0001, 0.0, -0.0, float("inf"), float("-inf"), float("nan")]
+    values += [rng.randint(1, 999) * 10.0**k for k in range(-12, 16)]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(float_text(F.col("v"))).collect()
+    assert [r[0] for r in got] == [str(v) for v in values]
+
+
+def test_case_folding_of_all_letters(spark):
+    letters = [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i <= 0xDFFF]
+    rows = [("".join(letters[i : i + 64]),) for i in range(0, len(letters), 64)] + [(c,) for c in letters if c.casefold() != c.lower()]
+    rows += [("Straße STRASSE ŉ ﬃ İ Σας",), ("",), (" \x1c\u00a0\u3000Reis\x1f\n",), ("\x1c",), (" \n\n",), (None,)]
+    got = spark.createDataFrame(rows, "t string").select("t", case_folded(F.col("t")), normal_text(F.col("t"))).collect()
+    assert len(got) == len(rows)
+    for t, folded, normal in got:
+        assert folded == (None if t is None else t.casefold())
+        assert normal == (None if t is None else t.strip().casefold())
+
+
+def test_sums_are_compensated(spark):
+    rng = random.Random(5)
+    lists = [[rng.choice((0.1, 0.01, 1e9, 33.33, -1e9, 1e16, 1.0, None)) for _ in range(rng.randint(0, 40))] for _ in range(500)]
+    lists += [[0.1] * 10, [1e16, 1.0, -1e16], [float("inf"), 1.0], [1e308, 1e308, -1e308], [None], []]
+    got = spark.createDataFrame([(x,) for x in lists], "x array<double>").select(compensated_sum(F.col("x"))).collect()
+    assert [r[0] for r in got] == [float(sum(v for v in x if v is not None)) for x in lists]
+    assert any(a != b for a, b in zip([r[0] for r in got], map(plain_sum, lists), strict=True))
+
+
+def plain_sum(values):
+    s = 0.0
+    for v in values:
+        s += v or 0.0
+    return s
