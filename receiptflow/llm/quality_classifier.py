@@ -188,7 +188,7 @@ def classify_quality(
     """A row for each row of ``docs``: its columns without the text, ``p_text``, ``host_prior``, ``path_prior``, ``p_good``, ``kept``.
 
     ``labels`` has 0 or 1 for some ids; an id with several has their mean, rounded, and null labels are left out. The
-    classifier is fitted on at most ``train_rows`` labelled rows, picked by the hash of their text. For its site a document counts by its
+    classifier is fitted on at most ``train_rows`` different labelled texts, picked by their hash. For its site a document counts by its
     label or, without one, by the classifier's probability; its own count is left out of the priors it gets itself.
     ``p_good`` joins the odds of the path's prior and the classifier's likelihood ratio; ``kept`` is ``p_good`` of
     ``at_least`` or more, so a tie is kept.
@@ -207,7 +207,9 @@ def classify_quality(
     # the sample: measures and words of labelled rows below a hash, then the first of these by hash
     labelled = docs.select(F.col(id_col).alias("__id"), text.alias("__text")).join(given, "__id").withColumn("__hash", F.xxhash64("__text"))
     share = min(1.0, 2.0 * train_rows / max(1, given.count()))
-    picked = measures(labelled.filter(F.pmod("__hash", F.lit(1_000_003)) < share * 1_000_003))
+    picked = labelled.filter(F.pmod("__hash", F.lit(1_000_003)) < share * 1_000_003)
+    # a text that many rows repeat is one of the sample, or two if their labels differ
+    picked = measures(picked.dropDuplicates(["__hash", "__label"]))
     sample = _with_values(picked, "__text").drop("__text", "__id").orderBy("__hash", "__label").limit(train_rows).toArrow().combine_chunks()
     x = np.column_stack([sample.column(f).to_numpy() for f in FEATURES])
     sizes = sample.column("__buckets").combine_chunks().value_lengths().to_numpy()

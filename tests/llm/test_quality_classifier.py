@@ -130,6 +130,18 @@ def test_held_out_and_edges(spark):
     assert all(0 <= r.p_good <= 1 and r.kept == (r.p_good >= 0.5) and 0 < r.path_prior < 1 for r in got)
 
 
+def test_a_hot_text_does_not_fill_the_sample(spark):
+    tried = spark.createDataFrame([(f"hot text {k}",) for k in range(200)], "t string").withColumn("h", F.xxhash64("t"))
+    (hot,) = tried.filter(F.pmod("h", F.lit(1_000_003)) < 400_000).orderBy("h").limit(1).collect()
+    rows = corpus(200)
+    copies = [(k, hot.t, "h1", "p", 1) for k in range(1000, 1200)]
+    table = spark.createDataFrame(rows + copies, "doc_id long, text string, source string, p string, q int")
+    labels = table.select("doc_id", F.col("q").alias("quality"))
+    got = classify_quality(table.drop("q"), labels, F.lit("h"), F.lit("p"), train_rows=100).filter("doc_id < 1000").collect()
+    good = {k: q for k, _, _, _, q in rows}
+    assert len(got) == 200 and sum((r.p_text >= 0.5) == bool(good[r.doc_id]) for r in got) >= 190
+
+
 def test_without_labels_or_rows(spark):
     table = spark.createDataFrame([(k, t, h, p) for k, t, h, p, _ in corpus(5)], "doc_id long, text string, h string, p string")
     none = spark.createDataFrame([], "doc_id long, quality int")
