@@ -7,14 +7,14 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from receiptflow.session import ship_package
 from receiptflow.workspace import fresh_folder as fresh_path
 from receiptflow.workspace import materialised as written
 
-__all__ = ["add_columns", "blocks", "drop_written", "fresh_path", "inner_names", "quoted", "without", "written"]
+__all__ = ["add_columns", "blocks", "drop_folder", "drop_written", "fresh_path", "inner_names", "quoted", "without", "written"]
 
 
 def inner_names(*names: str) -> list[str]:
@@ -30,10 +30,14 @@ def quoted(name: str) -> str:
 
 def drop_written(df: DataFrame) -> None:
     """Deletes the files behind a table of ``written`` that no later plan reads."""
-    spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        drop_folder(df.sparkSession, folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder with all that is in it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from receiptflow.llm.shared import fresh_path, written
+from receiptflow.llm.shared import drop_folder, drop_written, fresh_path, written
 from receiptflow.session import ship_package
 
 _CHUNK = 1 << 20
@@ -297,9 +297,14 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     ``page_id`` and ``refers_to`` have the type of ``id_col``. Ties: of equal payloads the smallest id is the response, and
     all rows that repeat it. A very long page is one record, in the memory of one task. Other columns, of whatever names,
-    are left out. An empty table gives no archive and no row. The archives stay: they are what is made.
+    are left out. An empty table gives no archive and no row. The normalised archives stay: they are what is made. The whole-file streams
+    go once their members are written.
     """
     folder = fresh_path(pages.sparkSession, "warc")
-    back = read_archives(normalise(write_archives(pages, folder, id_col, url_col, html_col), folder))
+    files = write_archives(pages, f"{folder}/whole", id_col, url_col, html_col)
+    back = read_archives(normalise(files, folder))
+    # the members and their index are written by now, in tables that no later loss of an executor makes anew
+    drop_folder(pages.sparkSession, f"{folder}/whole")
+    drop_written(files)
     kind = pages.schema[id_col].dataType
     return back.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})

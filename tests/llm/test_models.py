@@ -246,6 +246,8 @@ def test_archives_round_trip(spark):
     key = repr
     found = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got]
     assert sorted(found, key=key) == sorted(brute_archive(rows), key=key)
+    (folder,) = {r.archive.removeprefix("file://").rsplit("/", 1)[0] for r in got}
+    assert {x.split("-")[0] for x in os.listdir(folder)} == {"members"}  # the streams they were made from are gone
     assert warc.archive_pages(table.limit(0)).count() == 0
 
 
