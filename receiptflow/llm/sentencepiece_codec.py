@@ -1,7 +1,7 @@
 """Encoding and decoding with a public SentencePiece BPE model by suffix-array matching.
 
 Texts are cut where no piece can reach across (before a space that follows another character, and around ASCII
-characters that stand in no longer piece). The distinct segments of a block of texts are concatenated and indexed by a
+characters that stand in no longer piece). All segments of a batch of texts are concatenated and indexed by a
 suffix array; every piece is binary-searched in it, and each occurrence is an edge from its first to its past-the-end
 position. Edges are sorted by their ends and relaxed position by position, for all segments side by side: the last
 token up to a position is the one piece ending there that BPE would leave next to the last token before it. Two tokens
@@ -26,8 +26,8 @@ _U = np.uint64
 _SPACE = "▁"
 #: Bytes of suffixes that are sorted at once; ties are sorted by the next so many, up to the longest piece.
 _SORTED = 16
-#: Bytes that are matched at once.
-_PORTION = 1 << 16
+#: Bytes of a batch, which is matched at once.
+_PORTION = 1 << 18
 #: A segment of more bytes is matched in stretches of about so many, side by side, each going on over some of the next one.
 _LONG, _OVERLAP = 1 << 12, 1 << 9
 _LONG_PORTION = 1 << 18
@@ -130,10 +130,10 @@ class PieceModel:
 
 
 class Encoder:
-    """Encodes blocks of texts; remembers the segments met before in this task, and which pieces stay side by side."""
+    """Encodes blocks of texts; remembers which pieces stay side by side."""
 
-    def __init__(self, model: PieceModel, remember: int = 300_000):
-        self.model, self.remember = model, remember
+    def __init__(self, model: PieceModel):
+        self.model = model
         usable = sorted((k for k in model.steps if len(model.pieces[k]) > 1), key=lambda k: model.pieces[k].encode())
         raw = [model.pieces[k].encode() for k in usable]
         self.piece_ids = np.array(usable, np.int64)
@@ -157,15 +157,6 @@ class Encoder:
         self.sizes[self.byte_ids] = 1
         self.whole = np.ones(len(model.pieces), bool)  # tokens that are pieces, not bytes of a character without one
         self.whole[self.byte_ids] = False
-        self.seed = 0
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys = np.zeros(0, _U)
-        self.where = np.zeros(0, np.int64)
-        self.known = Words(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
-        self.starts = np.zeros(1, np.int64)
-        self.tokens = np.zeros(0, np.int32)
 
     def encode(self, column: pa.Array) -> pa.Array:
         """A list of ids for each text; null is empty."""
@@ -173,14 +164,10 @@ class Encoder:
         full = pc.greater(pc.binary_length(text), 0)
         text = pc.if_else(full, pc.binary_join_element_wise(pa.scalar(" "), text, pa.scalar("")), text)
         segments = self._segments(text)
-        counts = np.zeros(len(text), np.int64)
+        flat, counts = np.zeros(0, np.int32), np.zeros(len(text), np.int64)
         if len(segments.starts):
-            first, size = self._lookup(segments)
-            total = np.concatenate([[0], np.cumsum(size)])
-            flat = self.tokens[np.repeat(first - total[:-1], size) + np.arange(total[-1])]
-            counts = np.diff(total[segments.rows])
-        else:
-            flat = np.zeros(0, np.int32)
+            flat, size = self._tokens(segments)
+            counts = np.diff(np.concatenate([[0], np.cumsum(size)])[segments.rows])
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
@@ -196,52 +183,17 @@ class Encoder:
         edges = np.flatnonzero(cut)
         return Words(data, edges[:-1], edges[1:], np.searchsorted(edges, offsets))
 
-    def _lookup(self, segments: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Where each segment's tokens begin in ``tokens``, and how many they are."""
-        while True:
-            keys, first, of = np.unique(segments.hashes(self.seed), return_index=True, return_inverse=True)
-            if len(self.keys) > self.remember or len(self.known.data) > 16 * self.remember:
-                self._forget()
-            at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-            old = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-            # the bytes decide: where different segments share a hash, another seed is taken
-            alike = segments.same(np.arange(len(of)), segments, first[of]).all()
-            if alike and segments.same(first[old], self.known, self.where[at[old]]).all():
-                break
-            self.seed += 1
-            self._forget()
-        new = np.flatnonzero(~old)
-        if len(new):
-            a, b = segments.starts[first[new]], segments.ends[first[new]]
-            parts, i = [], 0
-            for j in [*np.flatnonzero(b - a > _LONG).tolist(), len(new)]:
-                parts += self._in_portions(segments.data, a[i:j], b[i:j], _PORTION)
-                if j < len(new):
-                    tokens = self._match_long(segments.data, int(a[j]), int(b[j]))
-                    parts.append((tokens, np.array([len(tokens)])))
-                i = j + 1
-            where = len(self.starts) - 1 + np.arange(len(new))
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([n for _, n in parts]))])
-            self.tokens = np.concatenate([self.tokens, *(t for t, _ in parts)])
-            self._remember(segments, a, b)
-            merged = np.concatenate([self.keys, keys[new]])
-            order = np.argsort(merged, kind="stable")
-            self.keys, self.where = merged[order], np.concatenate([self.where, where])[order]
-        place = self.where[np.searchsorted(self.keys, keys)][of]
-        return self.starts[place], self.starts[place + 1] - self.starts[place]
-
-    def _remember(self, segments: Words, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Keeps the bytes of new segments behind those known."""
-        size = ends - starts
-        total = np.concatenate([[0], np.cumsum(size)])
-        data = segments.data[np.repeat(starts - total[:-1], size) + np.arange(total[-1])]
-        begin = len(self.known.data)
-        self.known = Words(
-            np.concatenate([self.known.data, data]),
-            np.concatenate([self.known.starts, begin + total[:-1]]),
-            np.concatenate([self.known.ends, begin + total[1:]]),
-            self.known.rows,
-        )
+    def _tokens(self, segments: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all segments, and how many each has."""
+        a, b = segments.starts, segments.ends
+        parts, i = [], 0
+        for j in [*np.flatnonzero(b - a > _LONG).tolist(), len(a)]:
+            parts += self._in_portions(segments.data, a[i:j], b[i:j], _PORTION)
+            if j < len(a):
+                tokens = self._match_long(segments.data, int(a[j]), int(b[j]))
+                parts.append((tokens, np.array([len(tokens)])))
+            i = j + 1
+        return np.concatenate([t for t, _ in parts]), np.concatenate([n for _, n in parts])
 
     def _in_portions(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
         cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(ends - starts) // most)) + 1).tolist(), len(starts)]
@@ -308,7 +260,7 @@ class Encoder:
         return None
 
     def _match(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The tokens of distinct segments, and how many each has."""
+        """The tokens of segments, and how many each has."""
         size = ends - starts
         begin = np.concatenate([[0], np.cumsum(size + 1)])  # a byte that no text holds stands behind each segment
         text = np.full(begin[-1] + self.depth, 0xFF, np.uint8)
@@ -520,7 +472,7 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", decod
 
         return encode
 
-    return add_columns(docs, fields, make, weigh=text_col, block_bytes=1 << 19)
+    return add_columns(docs, fields, make, weigh=text_col, block_bytes=_PORTION)
 
 
 def decode_ids(encoded: DataFrame, model_path: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:

@@ -165,20 +165,21 @@ def test_long_segments_equal_the_library():
     assert len(encoder.encode(pa.array([text]))[0]) > 500_000 and time.process_time() - began < 40
 
 
-def test_segments_of_equal_hashes_are_told_apart(monkeypatch):
+def test_every_occurrence_of_a_text_is_indexed(monkeypatch):
+    """The indexed text is the whole batch: copies and repeated segments too, and nothing is kept from batch to batch."""
     import sentencepiece
 
     own = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-    a, b = "a", "b"
-    for _ in range(11):
-        a, b = a + b, b + a
-    texts = [a, b, "one two", "two one", a]
-    assert Encoder(PieceModel.load(MODEL)).encode(pa.array(texts)).to_pylist() == own.encode(texts)
-    honest = Words.hashes
-    monkeypatch.setattr(Words, "hashes", lambda self, seed=0: honest(self, seed) if seed else (self.ends - self.starts).astype("uint64"))
     encoder = Encoder(PieceModel.load(MODEL))
-    assert encoder.encode(pa.array(["one"])).to_pylist() == own.encode(["one"]) and encoder.seed == 0
-    assert encoder.encode(pa.array(texts)).to_pylist() == own.encode(texts) and encoder.seed == 1
+    sizes = []
+    index = Encoder._edges
+    monkeypatch.setattr(Encoder, "_edges", lambda self, text, n: sizes.append(n) or index(self, text, n))
+    texts = ["one two one two", "two one", "one two one two", None, "", "two"] * 3
+    expected = [own.encode(x or "") for x in texts]
+    for _ in range(2):
+        assert encoder.encode(pa.array(texts)).to_pylist() == expected
+    whole = sum(len(x) + 1 + len(x.split()) for x in texts if x)  # a space in front, and a byte behind each segment
+    assert sizes == [whole, whole]
 
 
 @pytest.mark.skipif(not os.path.exists(MODEL), reason="the public tokenizer file is not here")
