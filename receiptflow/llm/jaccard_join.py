@@ -30,6 +30,8 @@ from receiptflow.session import ship_package
 BRANCHES = 2
 COORDINATES = 64
 CELL = 400
+#: n-grams of the texts of a cell from which it is cut into smaller ones, so that memory is bounded by bytes, not by texts.
+CELL_GRAMS = 1 << 22
 #: Mean similarity from which a large bucket counts as alike.
 ALIKE = 0.5
 _U = np.uint64
@@ -115,17 +117,17 @@ def with_key(docs: DataFrame, text_col: str, name: str = "__key") -> DataFrame:
 
 
 def _sketched(ids: DataFrame, n: int) -> DataFrame:
-    """(id, text) as (id, key, sketch)."""
+    """(id, text) as (id, key, sketch, size), the last being the number of n-grams."""
 
     def make():
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
             words = split_words(batch.column(1))
             values, rows = shingles(words.hashes(), words.rows, n)
-            return [pa.array(_keys(words), pa.binary()), _sketches(values, rows)]
+            return [pa.array(_keys(words), pa.binary()), _sketches(values, rows), pa.array(np.diff(rows), pa.int64())]
 
         return compute
 
-    fields = [T.StructField("key", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.IntegerType()))]
+    fields = [T.StructField("key", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.IntegerType())), T.StructField("size", T.LongType())]
     return add_columns(ids, fields, make, weigh="text").drop("text")
 
 
@@ -192,13 +194,28 @@ def _buckets(nodes: DataFrame, runs: int) -> tuple[DataFrame, list[DataFrame]]:
 def _cells(nodes: DataFrame, buckets: DataFrame) -> DataFrame:
     """A row for each text in each cell: a bucket, or a pair of blocks of one; with all buckets of the text."""
     own = buckets.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("bucket", "blocks"))).alias("b"))
-    rows = nodes.select("key", "sketch").join(own, "key")
-    rows = rows.select("key", "sketch", F.col("b.bucket").alias("buckets"), F.explode("b").alias("x"))
-    rows = rows.select("key", "sketch", "buckets", "x.*")
+    rows = nodes.select("key", "sketch", "size").join(own, "key")
+    rows = rows.select("key", "sketch", "size", F.col("b.bucket").alias("buckets"), F.explode("b").alias("x"))
+    rows = rows.select("key", "sketch", "size", "buckets", "x.*")
     rows = rows.withColumn("side", F.pmod(F.xxhash64("key", "bucket"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")
-    return rows.select("bucket", low, high, "side", "key", "buckets", "sketch")
+    return rows.select("bucket", low, high, "side", "key", "buckets", "size", "sketch")
+
+
+def _smaller_cells(rows: DataFrame) -> DataFrame:
+    """Cells that are to be cut into ``parts`` as pairs of their parts: within a block, or one part of each of two blocks.
+
+    A part is a hash of the key, and its number goes behind that of the block, so each pair of texts still meets once.
+    """
+    most = F.lit(1 << 20)
+    part = F.pmod(F.xxhash64("bucket", "key"), F.col("parts")).cast("long")
+    rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    one = F.col("low") == F.col("high")
+    first = F.when(one, F.least("part", "other")).when(F.col("side") == F.col("low"), F.col("part")).otherwise(F.col("other"))
+    second = F.when(one, F.greatest("part", "other")).when(F.col("side") == F.col("low"), F.col("other")).otherwise(F.col("part"))
+    low, high, side = (F.col("low") * most + first, F.col("high") * most + second, F.col("side") * most + F.col("part"))
+    return rows.select("key", "bucket", low.alias("low"), high.alias("high"), side.alias("side"), "buckets")
 
 
 # --- comparing the texts of a cell -----------------------------------------------------------------------------------
@@ -278,8 +295,11 @@ def _owned(buckets: np.ndarray, here: np.ndarray, a: np.ndarray, b: np.ndarray)
     return out
 
 
-def _promising(least: int) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
-    """Rows of cells that share ``least`` sketch values with another row whose pair belongs to this cell."""
+def _promising(least: int, most_grams: int) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
+    """Rows of cells that share ``least`` sketch values with another row whose pair belongs to this cell.
+
+    They come with the number of parts that the cell is to be cut into for ``most_grams`` n-grams a part.
+    """
 
     def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
         values, _ = _lists(table.column("sketch"))
@@ -294,7 +314,10 @@ def _promising(least: int) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
                 x, y = x[near], y[near]
                 own = _owned(buckets, here, x, y)
                 kept[x[own]] = kept[y[own]] = True
-        rows = table.drop_columns(["sketch"]).filter(pa.array(kept))
+        cuts = _cuts(table)
+        grams = np.add.reduceat(np.where(kept, table.column("size").to_numpy(), 0), cuts[:-1])
+        parts = pa.array(np.repeat(np.maximum(1, -(-grams // most_grams)), np.diff(cuts)), pa.int64())
+        rows = table.drop_columns(["sketch", "size"]).append_column("parts", parts).filter(pa.array(kept))
         yield from rows.combine_chunks().to_batches()
 
     return compare
@@ -308,7 +331,7 @@ def _linked(numerator: int, denominator: int) -> Callable[[pa.Table], Iterator[p
         for first, past in zip(cuts[:-1], cuts[1:], strict=True):
             cell = table.slice(first, past - first)
             keys = np.array(cell.column("key").to_pylist(), object)
-            _, at = np.unique(keys, return_index=True)  # repeated ids may have brought a set twice
+            at = np.argsort(keys)
             if len(at) < 2:
                 continue
             cell, keys = cell.take(at), keys[at]
@@ -408,27 +431,30 @@ def jaccard_groups(
     ``kept`` is true for the rows of the class's least (id, key): one row, unless the same id and words are repeated.
 
     Null and empty texts and texts without words are linked to nothing: key, class_key null, class_id their own id,
-    n_links 0, n_copies 1, kept. A very long text is one row of its cells, with all its n-grams. Equal similarities need
+    n_links 0, n_copies 1, kept. A very long text is one row of its cells, with all its n-grams; a cell with many n-grams
+    is compared part by part, so a task holds two parts of about ``CELL_GRAMS`` or two texts. Equal similarities need
     no order: all links count. An empty table gives an empty one. Other columns are left out.
     No candidates are capped: a bucket is split, or compared as pairs of blocks, however large.
     """
     rows = written(_sketched(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), n), "sketches")
     nodes = rows.filter("key IS NOT NULL").groupBy("key")
-    nodes = written(nodes.agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n_copies"), F.first("sketch").alias("sketch")), "nodes")
+    nodes = written(nodes.agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n_copies"), F.first("sketch").alias("sketch"), F.first("size").alias("size")), "nodes")
     share = similarity[0] / similarity[1]
     buckets, tables = _buckets(nodes, runs_for(share, recall))
-    schema = "bucket long, low int, high int, side int, key binary, buckets array<long>"
-    near = written(by_cell(_cells(nodes, buckets), _promising(least_shared(share)), schema, "sketch"), "near")
+    schema = "bucket long, low int, high int, side int, key binary, buckets array<long>, parts long"
+    near = written(by_cell(_cells(nodes, buckets), _promising(least_shared(share), CELL_GRAMS), schema, "sketch"), "near")
     for table in tables:
         drop_written(table)
     wanted = near.select("key").distinct().join(nodes.select("key", "id"), "key").select("id", F.col("key").alias("wanted"))
     texts = docs.select(F.col(id_col).alias("id0"), F.col(text_col).cast("string").alias("text"))
     texts = texts.join(wanted, F.col("id0").eqNullSafe(F.col("id"))).select("text", "wanted")
     sets = written(_sets(texts, n), "sets")
-    links = written(by_cell(near.join(sets, "key"), _linked(*similarity), "key binary, links long, root binary", "grams"), "links")
+    # an id that stands on many rows of the same words brings their set once for each
+    once = sets.groupBy("key").agg(F.first("grams").alias("grams"))
+    links = written(by_cell(_smaller_cells(near).join(once, "key"), _linked(*similarity), "key binary, links long, root binary", "grams"), "links")
     labels = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("key").agg(F.sum("links").alias("n_links"))
-    joined = nodes.drop("sketch").join(labels, "key", "left").join(counts, "key", "left")
+    joined = nodes.drop("sketch", "size").join(labels, "key", "left").join(counts, "key", "left")
     joined = joined.withColumn("class_key", F.coalesce("label", "key")).drop("label")
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("key"))
     heads = joined.groupBy("class_key").agg(F.min(order).alias("head"))

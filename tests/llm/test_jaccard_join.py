@@ -126,6 +126,31 @@ def test_split_buckets_and_blocks(spark, monkeypatch):
     check(spark, [(k, line + " " + t) for k, t in enumerate(corpus(13, 90, 2, 12))])
 
 
+@pytest.mark.parametrize("cell", [12, 400])
+def test_cells_of_many_grams_are_cut(spark, monkeypatch, cell):
+    """Cells within a block and across two, cut into parts of a few texts each: no link is lost or counted twice."""
+    monkeypatch.setattr(jaccard_join, "CELL", cell)
+    monkeypatch.setattr(jaccard_join, "CELL_GRAMS", 300)
+    check(spark, list(enumerate(corpus(15, 5, 70, 40))))
+    rows = [(i, low, high, side, b"%d" % i, parts) for i, (low, high, side, parts) in enumerate([(0, 0, 0, 3)] * 9 + [(0, 1, 0, 4)] * 8 + [(0, 1, 1, 4)] * 8 + [(1, 1, 1, 1)] * 3)]
+    cells = spark.createDataFrame(rows, "i long, low int, high int, side int, key binary, parts long").selectExpr("*", "7L AS bucket", "array(7L) AS buckets")
+    met = Counter()
+    found = {}
+    for r in jaccard_join._smaller_cells(cells).collect():
+        found.setdefault((r.low, r.high), []).append((int(bytes(r.key)), r.side))
+    for (low, high), own in found.items():
+        met.update((a, b) for a, x in own for b, y in own if a < b and (low == high or x != y))
+    expected = {(a, b) for a in range(9) for b in range(9) if a < b} | {(a, b) for a in range(9, 17) for b in range(17, 25)} | {(25, 26), (25, 27), (26, 27)}
+    assert set(met) == expected and set(met.values()) == {1}
+
+
+def test_repeated_rows_of_one_id_bring_one_set(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text)] * 300 + [(2, text + " more")] * 3 + [(1, "other words that are on the same id")] * 2
+    got = {(r.doc_id, r.n_links, r.n_copies, r.class_id) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1, 300, 1), (2, 1, 3, 1), (1, 0, 2, 1)}
+
+
 def test_keeps_one_row_of_each_class(spark):
     rng = random.Random(2)
     texts = corpus(14, 20, 6)
