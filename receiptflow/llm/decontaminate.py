@@ -18,6 +18,7 @@ from receiptflow.session import ship_package
 _U = np.uint64
 _SPANS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("past", T.LongType())]))
 _SPANS_ARROW = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
+_NAMES_ARROW = pa.list_(pa.string())
 
 
 class _Matcher:
@@ -83,6 +84,17 @@ class _Matcher:
                 out[r][1].update(hit)
         return out
 
+    def extend(self, words: Words, spans: pa.Array, names: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Spans and item ids of each row with those of this block's items added."""
+        found = self.match(words)
+        if not any(s for s, _ in found):
+            return spans.cast(_SPANS_ARROW), names.cast(_NAMES_ARROW)
+        lists, ids = spans.to_pylist(), names.to_pylist()
+        for r, (s, hit) in enumerate(found):
+            lists[r] += [{"first": a, "past": b} for a, b in s]
+            ids[r] += {x for k in hit for x in self.names[k]}
+        return pa.array(lists, _SPANS_ARROW), pa.array(ids, _NAMES_ARROW)
+
     def _runs(self, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and past-the-end word of the runs that the automaton has to see."""
         if not len(ids):
@@ -175,7 +187,8 @@ def decontaminate(
 
     Different item texts come to the driver in blocks of about ``block_bytes`` of texts and ids, each with its own
     automaton, so what is broadcast has a bound. One block is met in the scan of ``docs``; of several, each is a round
-    whose result is written to the shared folder before the next, so a task never holds two.
+    whose result is written to the shared folder before the next, so a task never holds two. The last block is met and the
+    outputs are made in one step, so a task has one Python worker.
     Items of equal text are all named, sorted as strings. A null text has no words and stays null; very long texts are one row of a batch, read in linear time; items that are null or without words match nothing; a null item id is
     reported as ``null``; repeated rows get the same result; either table may be empty; input columns named like
     outputs are replaced.
@@ -195,8 +208,7 @@ def decontaminate(
             if before is not first:
                 drop_written(before)
         last = texts, ids
-    if last is not None:
-        out = _against(out, *last, text_col, window, inner)
+    matcher = docs.sparkSession.sparkContext.broadcast(None if last is None else _Matcher(*last, window))
     fields = [
         T.StructField("n_words", T.LongType()),
         T.StructField("n_hit", T.LongType()),
@@ -207,11 +219,16 @@ def decontaminate(
     ]
 
     def make():
+        machine = matcher.value
+
         def finish(batch: pa.RecordBatch) -> list[pa.Array]:
             column = batch.column(batch.schema.get_field_index(text_col))
             words = split_words(column)
             counts = words.counts()
-            spans = [_merged([(s["first"], s["past"]) for s in x]) for x in batch.column(inner[0]).to_pylist()]
+            found, hit_items = (batch.column(c) for c in inner)
+            if machine is not None:
+                found, hit_items = machine.extend(words, found, hit_items)
+            spans = [_merged([(s["first"], s["past"]) for s in x]) for x in found.to_pylist()]
             hits = [sum(b - a for a, b in x) for x in spans]
             raw, offsets = utf8(column)
             texts = column.to_pylist() if any(hits) else None
@@ -230,7 +247,7 @@ def decontaminate(
                 pa.array(counts, pa.int64()),
                 pa.array(hits, pa.int64()),
                 pa.array([[{"first": a, "past": b} for a, b in x] for x in spans], _SPANS_ARROW),
-                pa.array([sorted(set(x)) for x in batch.column(inner[1]).to_pylist()], pa.list_(pa.string())),
+                pa.array([sorted(set(x)) for x in hit_items.to_pylist()], _NAMES_ARROW),
                 pa.array([bool(h) and clean_share * h >= int(n) for h, n in zip(hits, counts, strict=True)], pa.bool_()),
                 pa.array(clean, pa.string()) if texts is not None else column.cast(pa.string()),
             ]
@@ -251,15 +268,8 @@ def _against(docs: DataFrame, texts: pa.Array, ids: list[list[str]], text_col: s
         machine = matcher.value
 
         def extend(batch: pa.RecordBatch) -> list[pa.Array]:
-            found = machine.match(split_words(batch.column(batch.schema.get_field_index(text_col))))
-            spans, names = (batch.column(c) for c in past)
-            if not any(s for s, _ in found):
-                return [spans.cast(_SPANS_ARROW), names.cast(pa.list_(pa.string()))]
-            spans, names = spans.to_pylist(), names.to_pylist()
-            for r, (s, hit) in enumerate(found):
-                spans[r] += [{"first": a, "past": b} for a, b in s]
-                names[r] += {x for k in hit for x in machine.names[k]}
-            return [pa.array(spans, _SPANS_ARROW), pa.array(names, pa.list_(pa.string()))]
+            words = split_words(batch.column(batch.schema.get_field_index(text_col)))
+            return list(machine.extend(words, *(batch.column(c) for c in past)))
 
         return extend
 

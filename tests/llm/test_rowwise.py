@@ -70,6 +70,16 @@ def test_decontaminate_empty_tables(spark):
     assert [r.n_words for r in decontaminate(full, items).collect()] == [2]
 
 
+def test_decontaminate_takes_one_python_worker_a_task(spark):
+    """Every Python step of a stage holds a worker of its own in each task, and workers keep their memory."""
+    docs = spark.createDataFrame([(1, "zz one two three four five yy")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "one two three four five"), (2, "six seven eight nine ten")], "item_id long, text string")
+    for block in (1 << 20, 10):
+        got = decontaminate(docs, items, window=5, block_bytes=block)
+        assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert [(r.n_words, r.n_hit, r["items"], r.clean_text) for r in got.collect()] == [(7, 5, ["1"], "zz yy")]
+
+
 def brute_measures(text):
     text = text or ""
     words = re.findall("[^\\x20\\x09-\\x0D]+", text)
