@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from receiptflow.session import ship_package
 from receiptflow.workspace import fresh_folder as fresh_path
-from receiptflow.workspace import materialised as written
+from receiptflow.workspace import written
 
 __all__ = ["add_columns", "blocks", "drop_folder", "drop_written", "fresh_path", "inner_names", "quoted", "without", "written"]
 
