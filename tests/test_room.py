@@ -93,3 +93,30 @@ def test_a_batch_is_written_once(spark):
     for x in before:
         new.remove(x)
     assert new == ["arrivals", "outcomes", "receipts"]
+
+
+def test_the_source_of_a_stream_is_small_and_whole(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(text):
+        seen.add(1)
+        return text
+
+    docs = spark.createDataFrame([("1", "one"), ("1-2", "two"), ("7", "three")], "receipt_id string, value string")
+    docs = docs.select("receipt_id", F.udf(look, "string").asNondeterministic()("value").alias("value"))
+    queries._write_source(docs, f"{tmp_path}/in")
+    assert seen.value == 3 and sorted(r.value for r in spark.read.text(f"{tmp_path}/in/*").select("value").collect()) == ["one", "three", "two"]
+    assert [r.value for r in spark.read.text(f"{tmp_path}/in/photo=second").collect()] == ["two"]
+    names = [f for _, _, fs in os.walk(tmp_path / "in") for f in fs if f.startswith("part-")]
+    assert names and all(f.endswith(".gz") for f in names)
+
+
+def test_payloads_move_without_the_ids_of_items(spark):
+    shaped = shape(reconcile(gather(batch(spark))))
+    reviews = review_rows(shaped.select("receipt_id", no_reviews().alias("v")), "v", "validate")
+    plan = build_payload(shaped, reviews)._jdf.queryExecution().analyzed()
+    joins = [plan.apply(i) for i in range(20) if plan.apply(i) is not None and plan.apply(i).nodeName() == "Join"]
+    left = joins[0].children().head().schema()
+    assert "line_order" in left.json() and [f.name() for f in left.fields()] == ["receipt_id", "store", "record", "line_items"]
+    items = left.apply("line_items").dataType().elementType()
+    assert "id" not in list(items.fieldNames()) and "receipt_id" not in list(items.fieldNames())
