@@ -291,7 +291,7 @@ UNION ALL SELECT 'review', (SELECT {_UUID} FROM (SELECT sha256('=' || receipt_id
   concat_ws('; ', CASE WHEN k % 2 = 0 THEN 'confidence_score is not between 0 and 1' END, CASE WHEN k % 3 = 0 THEN 'flagged_reason is unknown' END,
             CASE WHEN k % 5 = 0 THEN 'status is unknown' END) FROM failures""")
 def t2_check_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shaped, k = _shaped(spark, sf_dir), F.col("k")
+    shaped, k = _records(spark, sf_dir), F.col("k")
     none = lambda every, name: F.when(k % every != 0, F.col(name))
     receipts = shaped.select("k", "record.*").withColumn("total", none(3, "total"))
     stores = shaped.select("k", "store.*").withColumn("address", none(5, "address"))
