@@ -622,8 +622,8 @@ def l2_payload_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(LOADED_SQL + """
 SELECT p.receipt_id AS id, CASE WHEN f.id <> p.receipt_id THEN f.id END AS existing_receipt_id FROM passing p JOIN first_of f USING (content_hash)""")
 def l3_detect_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    receipts = _shaped(spark, sf_dir).select("record.id", "record.content_hash", F.lit(0).alias("arrival_seq"))
-    return detect_duplicates(receipts).select("id", "existing_receipt_id")
+    receipts = _records(spark, sf_dir).select("record.id", "record.content_hash", F.lit(0).alias("arrival_seq"))
+    return detect_duplicates(materialised(receipts, "arrivals")).select("id", "existing_receipt_id")
 
 
 @query(SHAPED_SQL + """,
