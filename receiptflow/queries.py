@@ -224,9 +224,11 @@ created AS (SELECT p.* FROM passing p JOIN first_of f ON p.receipt_id = f.id)"""
 def _loaded(spark: SparkSession, sf_dir: str):
     df = _resolved(spark, sf_dir)
     checked = checks.validate(df)
-    shaped = materialised(shape(df.filter(shapeable(df))), "shaped")
+    shaped = shape(df.filter(shapeable(df)))
     bundle = emit(shaped, checked)
-    outcomes = materialised(ingest(shaped), "outcomes")
+    arrived = materialised(arrivals(shaped), "arrivals")
+    outcomes = materialised(decide(arrived), "outcomes")
+    dropped(arrived)
     stores = resolve_stores(accepted(bundle.stores, outcomes))
     return bundle, outcomes, stores
 
