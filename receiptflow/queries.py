@@ -635,10 +635,10 @@ SELECT p.receipt_id, CASE WHEN k % 6 = 0 THEN 'validation_error' WHEN n.id IS NO
        CASE WHEN k % 6 = 0 THEN NULL WHEN n.id IS NOT NULL THEN n.id WHEN f.id <> p.receipt_id THEN f.id END AS existing_receipt_id
 FROM passing p LEFT JOIN held n USING (content_hash) LEFT JOIN fresh f USING (content_hash)""")
 def l4_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, k, r = _shaped(spark, sf_dir), F.col("k"), F.col("record")
+    df, k, r = _records(spark, sf_dir), F.col("k"), F.col("record")
     existing = df.filter(k % 2 == 0).select("record.id", "record.content_hash")
     batch = df.withColumn("record", r.withField("content_hash", F.when(k % 6 != 0, r["content_hash"])))
-    return ingest(batch, existing).select("receipt_id", "status", "existing_receipt_id")
+    return decide(materialised(arrivals(batch), "arrivals"), existing).select("receipt_id", "status", "existing_receipt_id")
 
 
 # --- the whole way ---
